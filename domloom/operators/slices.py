@@ -1,0 +1,62 @@
+"""Ordered concatenation of a page's pieces, cut into one slice per context node.
+
+Text and HTML of nested nodes are nested stretches of one page-wide string.  So a page's pieces
+are joined once, and every context takes its stretch by byte offsets that a running sum gives:
+linear in the page, one exchange on ``page_id``, nested contexts included.  The group held together
+is one page, which was one ``html`` value before.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+# A piece or a mark sits at (pos, phase, tie).  Nodes open at (pre, 0, 0) and close at
+# (last, 1, -2 * depth), so that of nodes ending together the deeper closes first.
+
+
+def _at(pos, phase, tie):
+    return F.struct(F.col(pos).alias("pos"), F.lit(phase).alias("phase"), tie.cast("long").alias("tie"))
+
+
+def open_at() -> Column:
+    return _at("pre", 0, F.lit(0))
+
+
+def close_at() -> Column:
+    return _at("last", 1, -2 * F.col("depth"))
+
+
+def _marks(contexts: DataFrame, inner: bool) -> DataFrame:
+    begin = _at("pre", 0, F.lit(1)) if inner else _at("pre", -1, F.lit(0))
+    end = _at("last", 1, (-1 if inner else 1) - 2 * F.col("depth"))
+    edges = F.array(
+        F.struct(begin.alias("at"), F.lit(1).alias("edge")),
+        F.struct(end.alias("at"), F.lit(-1).alias("edge")),
+    )
+    return contexts.select("page_id", F.col("pre").alias("ctx"), F.inline(edges))
+
+
+def slices(pieces: DataFrame, contexts: DataFrame, inner: bool = False, name: str = "text") -> DataFrame:
+    """``(page_id, pre, <name>)`` for every context.  ``pieces``: ``(page_id, at, piece)``."""
+    rows = pieces.unionByName(_marks(contexts, inner), allowMissingColumns=True)
+    upto = Window.partitionBy("page_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_live", F.sum("edge").over(upto))
+    rows = rows.filter("edge is not null or _live > 0")
+    rows = rows.withColumn("_off", F.coalesce(F.sum(F.octet_length("piece")).over(upto), F.lit(0)))
+    text = F.when(F.col("piece").isNotNull(), F.struct("at", "piece"))
+    mark = F.when(F.col("ctx").isNotNull(), F.struct("ctx", (-F.col("edge")).alias("side"), F.col("_off").alias("off")))
+    page = rows.groupBy("page_id").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(text)), lambda t: t["piece"]), "").alias("_whole"),
+        F.sort_array(F.collect_list(mark)).alias("_marks"),
+    )
+    # Sorted marks alternate: begin and end of one context, then of the next.
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.size("_marks") - 2, F.lit(2)),
+        lambda i: F.struct(
+            F.get("_marks", i)["ctx"].alias("pre"), F.get("_marks", i)["off"].alias("lo"), F.get("_marks", i + 1)["off"].alias("hi")
+        ),
+    )
+    spans = page.filter(F.size("_marks") > 0).select("page_id", F.col("_whole").cast("binary").alias("_bytes"), F.inline(pairs))
+    cut = F.substring(F.col("_bytes"), (F.col("lo") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
+    return spans.select("page_id", "pre", cut.cast("string").alias(name))
