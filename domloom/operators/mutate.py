@@ -16,7 +16,9 @@ from domloom.plans.match import match, scope_filter
 from domloom.plans.selector import Selector, compile_selector
 from domloom.schema import DOCUMENT, ELEMENT, NODE_COLUMNS, TEXT
 
-PAGE = Window.partitionBy("page_id")
+
+def _page():
+    return Window.partitionBy("page_id")
 
 
 def _flagged(nodes: DataFrame, targets, scope: str, include_root: bool) -> DataFrame:
@@ -47,13 +49,13 @@ def decompose(nodes: DataFrame, targets, scope: str = "body", include_root: bool
     """
     rows = _flagged(nodes, targets, scope, include_root)
     rows = rows.withColumn("_hit", _guard(F.col("_hit") & (F.col("kind") == DOCUMENT), "RootNode", F.col("_hit")))
-    upto = PAGE.orderBy("pre").rowsBetween(Window.unboundedPreceding, 0)
+    upto = _page().orderBy("pre").rowsBetween(Window.unboundedPreceding, 0)
     reach = F.max(F.when(F.col("_hit"), F.col("last"))).over(upto)
     rows = rows.withColumn("_reach", reach).filter("_reach is null or _reach < pre")
     if scope == "body" and not include_root and not isinstance(targets, DataFrame):
         return without_index(rows)
     # The body itself may be gone; the root element is then what searches start from.
-    has_body = F.max((F.col("tag") == "body") & (F.col("depth") == 2)).over(PAGE)
+    has_body = F.max((F.col("tag") == "body") & (F.col("depth") == 2)).over(_page())
     return without_index(rows.withColumn("in_body", F.when(has_body, F.col("in_body")).otherwise(F.col("depth") >= 2)))
 
 
@@ -78,7 +80,7 @@ def unwrap(nodes: DataFrame, targets, scope: str = "body") -> DataFrame:
     here = F.struct(F.col("pre").alias("pos"), F.lit(0).alias("phase"), F.when(F.col("_hit"), 1).otherwise(0).alias("edge"))
     gone = F.struct(F.col("last").alias("pos"), F.lit(1).alias("phase"), F.lit(-1).alias("edge"))
     rows = rows.select(*columns, "_hit", F.inline(F.array_compact(F.array(here, F.when(F.col("_hit"), gone)))))
-    before = PAGE.orderBy("pos", "phase").rowsBetween(Window.unboundedPreceding, -1)
+    before = _page().orderBy("pos", "phase").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_open", F.coalesce(F.sum("edge").over(before), F.lit(0))).filter("phase = 0 and not _hit")
     rows = rows.withColumn("depth", (F.col("depth") - F.col("_open")).cast("int")).select(*columns)
     # The new parent is the latest kept node one level up.  Each row stands once as a possible
@@ -106,7 +108,7 @@ def append_text(nodes: DataFrame, targets, text: str | Column, scope: str = "bod
     one = F.col("_hit").cast("int")
     deeper = spot.orderBy(F.col("depth").desc()).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_n", F.sum(one).over(deeper)).withColumn("_step", F.sum(one).over(spot))
-    rows = rows.withColumn("_step", F.max("_step").over(PAGE) + 1)
+    rows = rows.withColumn("_step", F.max("_step").over(_page()) + 1)
     value = F.lit(text) if isinstance(text, str) else text
     is_body = (F.col("tag") == "body") & (F.col("depth") == 2)
     is_head = (F.col("tag") == "head") & (F.col("depth") == 2)
