@@ -1,11 +1,18 @@
 """Querying, extracting from and rewriting large tables of HTML pages with Spark."""
 
-from domloom.errors import SelectorParseError
-from domloom.operators.index import with_index
-from domloom.operators.select import select, select_first
-from domloom.plans.selector import compile_selector
-from domloom.sources.shred import rejects, shred
-from domloom.sources.store import materialize, write_nodes
+import sys
+
+from pyspark import cloudpickle
+
+# Executors get the shredder's code with each job, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from domloom.errors import SelectorParseError  # noqa: E402
+from domloom.operators.index import with_index  # noqa: E402
+from domloom.operators.select import select, select_first  # noqa: E402
+from domloom.plans.selector import compile_selector  # noqa: E402
+from domloom.sources.shred import rejects, shred  # noqa: E402
+from domloom.sources.store import materialize, spread, write_nodes  # noqa: E402
 
 __all__ = [
     "SelectorParseError",
@@ -15,6 +22,7 @@ __all__ = [
     "select",
     "select_first",
     "shred",
+    "spread",
     "with_index",
     "write_nodes",
 ]

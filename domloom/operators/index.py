@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-from domloom.functions.props import attr
-from domloom.schema import ELEMENT, INDEX_COLUMNS, NODE_COLUMNS, TEXT
+from pyspark.sql import DataFrame
+
+from domloom.schema import INDEX_COLUMNS, NODE_COLUMNS
+
+_FAMILY = "partition by page_id, parent"
+_ORDERED = f"{_FAMILY} order by pre rows between unbounded preceding"
+_TYPED = "partition by page_id, parent, tag"
+# Nodes that make their parent non-empty: elements, and text with at least one character.
+_CONTENT = "kind = 1 or (kind = 3 and data <> '')"
+_EXPRESSIONS = [
+    "get(filter(attrs, a -> a.name = 'id'), 0).value as id",
+    "get(filter(attrs, a -> a.name = 'class'), 0).value as class",
+    f"cast(row_number() over ({_FAMILY} order by pre) as bigint) as sib_idx",
+    f"count(1) over ({_FAMILY}) as sib_n",
+    f"if(kind = 1, count(if(kind = 1, 1, null)) over ({_ORDERED} and current row), null) as el_idx",
+    f"""if(kind = 1, count(if(kind = 1, 1, null)) over ({_FAMILY})
+        - count(if(kind = 1, 1, null)) over ({_ORDERED} and current row) + 1, null) as el_rev""",
+    f"if(kind = 1, cast(row_number() over ({_TYPED} order by pre) as bigint), null) as ty_idx",
+    f"if(kind = 1, count(1) over ({_TYPED}) - row_number() over ({_TYPED} order by pre) + 1, null) as ty_rev",
+    f"last(if(kind = 1, pre, null), true) over ({_ORDERED} and 1 preceding) as prev_el",
+    f"""kind = 1 and coalesce(last(if({_CONTENT}, pre, null), true) over (
+        partition by page_id order by pre desc rows between unbounded preceding and 1 preceding) > last, true) as hollow""",
+]
 
 
 def without_index(nodes: DataFrame) -> DataFrame:
@@ -18,11 +36,6 @@ def has_index(nodes: DataFrame) -> bool:
     return set(INDEX_COLUMNS) <= set(nodes.columns)
 
 
-def content() -> Column:
-    """Nodes that make their parent non-empty: elements and text with at least one character."""
-    return (F.col("kind") == ELEMENT) | ((F.col("kind") == TEXT) & (F.col("data") != ""))
-
-
 def with_index(nodes: DataFrame) -> DataFrame:
     """Add the index columns, all computed inside one ``page_id`` partitioning.
 
@@ -32,29 +45,4 @@ def with_index(nodes: DataFrame) -> DataFrame:
     one tag; ``prev_el``: label of the previous element sibling; ``hollow``: no element or text inside.
     The windows a query does not read are pruned by Catalyst, so this is free to apply early.
     """
-    if has_index(nodes):
-        return nodes
-    is_el = F.col("kind") == ELEMENT
-    family = Window.partitionBy("page_id", "parent")
-    ordered = family.orderBy("pre")
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    typed = Window.partitionBy("page_id", "parent", "tag")
-    backwards = Window.partitionBy("page_id").orderBy(F.col("pre").desc())
-    following = backwards.rowsBetween(Window.unboundedPreceding, -1)
-    el_idx = F.when(is_el, F.count(F.when(is_el, 1)).over(upto))
-    ty_idx = F.when(is_el, F.row_number().over(typed.orderBy("pre")).cast("long"))
-    next_content = F.last(F.when(content(), F.col("pre")), ignorenulls=True).over(following)
-    return nodes.select(
-        *NODE_COLUMNS,
-        attr("id").alias("id"),
-        attr("class").alias("class"),
-        F.row_number().over(ordered).cast("long").alias("sib_idx"),
-        F.count(F.lit(1)).over(family).alias("sib_n"),
-        el_idx.alias("el_idx"),
-        (F.count(F.when(is_el, 1)).over(family) - el_idx + 1).alias("el_rev"),
-        ty_idx.alias("ty_idx"),
-        F.when(is_el, F.count(F.lit(1)).over(typed) - ty_idx + 1).alias("ty_rev"),
-        F.last(F.when(is_el, F.col("pre")), ignorenulls=True).over(before).alias("prev_el"),
-        (is_el & (next_content.isNull() | (next_content > F.col("last")))).alias("hollow"),
-    )
+    return nodes if has_index(nodes) else nodes.selectExpr(*NODE_COLUMNS, *_EXPRESSIONS)

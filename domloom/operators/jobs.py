@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from domloom.functions.props import attr
 from domloom.operators.mutate import strip_tags
-from domloom.operators.select import body, select
+from domloom.operators.select import select
 from domloom.operators.text import text
 from domloom.plans.match import match_parts
 from domloom.plans.selector import compile_selector
@@ -69,7 +69,7 @@ def extract_fields(pages: DataFrame, nodes: DataFrame, fields: dict, scope: str
     if of_text:
         wanted = hits.filter(F.col("rule").isin(of_text))
         # One slice per node even when several fields want its text.
-        texts = text(wanted.dropDuplicates(["page_id", "pre"]), nodes).withColumnRenamed("text", "value")
+        texts = text(wanted, nodes).withColumnRenamed("text", "value")
         texts = wanted.select("page_id", "rule", "pre").join(texts, ["page_id", "pre"])
         found = texts.select("page_id", "rule", "pre", "value") if found is None else found.unionByName(texts)
     columns = []
@@ -103,4 +103,4 @@ def host_counts(edges: DataFrame) -> DataFrame:
 def clean_text(nodes: DataFrame, drop: list) -> DataFrame:
     """``(page_id, text)``: the body's text after dropping what the selectors match."""
     kept = strip_tags(nodes, drop)
-    return text(body(kept), kept).select("page_id", "text")
+    return text("body", kept, include_root=True).select("page_id", "text")

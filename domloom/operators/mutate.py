@@ -1,40 +1,22 @@
 """Edits: node table -> new node table.
 
-Targets are a selector (text or compiled) or a DataFrame with ``page_id, pre``.  A selector without
-combinators is decided on the row itself; anything else is one outer join on ``(page_id, pre)``.
+Targets are selectors or a DataFrame of nodes (see operators.targets).
 ``last`` is not shrunk by removals: it stays a valid upper bound of the subtree.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domloom.operators.contain import contained
-from domloom.operators.index import with_index, without_index
-from domloom.plans.match import match, scope_filter
-from domloom.plans.selector import Selector, compile_selector
-from domloom.schema import DOCUMENT, ELEMENT, NODE_COLUMNS, TEXT
+from domloom.operators.index import without_index
+from domloom.operators.targets import flagged
+from domloom.schema import DOCUMENT, ELEMENT, NODE_COLUMNS
 
-
-def _page():
-    return Window.partitionBy("page_id")
-
-
-def _flagged(nodes: DataFrame, targets, scope: str, include_root: bool) -> DataFrame:
-    """``nodes`` with a never-NULL boolean ``_hit``."""
-    if isinstance(targets, (list, tuple)):
-        compiled = [t if isinstance(t, Selector) else compile_selector(t) for t in targets]
-        targets = Selector(", ".join(t.text for t in compiled), [p for t in compiled for p in t.parts])
-    if isinstance(targets, str):
-        targets = compile_selector(targets)
-    if isinstance(targets, Selector):
-        if targets.is_flat:
-            hit = targets.column() & scope_filter(scope, include_root)
-            return with_index(nodes).withColumn("_hit", F.coalesce(hit, F.lit(False)))
-        targets = match(nodes, targets, scope, include_root)
-    marks = targets.select("page_id", "pre").distinct().withColumn("_hit", F.lit(True))
-    return nodes.join(marks, ["page_id", "pre"], "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
+# Fixed names of the elements whose children make up the two search scopes.
+_IS_BODY = "tag = 'body' and depth = 2"
+_IS_HEAD = "tag = 'head' and depth = 2"
 
 
 def _guard(condition: Column, error: str, value: Column) -> Column:
@@ -47,16 +29,15 @@ def decompose(nodes: DataFrame, targets, scope: str = "body", include_root: bool
 
     Subtrees nest, so a running maximum of the targets' ``last`` tells every covered row: no join.
     """
-    rows = _flagged(nodes, targets, scope, include_root)
+    rows = flagged(nodes, targets, scope, include_root)
     rows = rows.withColumn("_hit", _guard(F.col("_hit") & (F.col("kind") == DOCUMENT), "RootNode", F.col("_hit")))
-    upto = _page().orderBy("pre").rowsBetween(Window.unboundedPreceding, 0)
-    reach = F.max(F.when(F.col("_hit"), F.col("last"))).over(upto)
-    rows = rows.withColumn("_reach", reach).filter("_reach is null or _reach < pre")
+    upto = "partition by page_id order by pre rows between unbounded preceding and current row"
+    rows = rows.selectExpr("*", f"max(if(_hit, last, null)) over ({upto}) as _reach").filter("_reach is null or _reach < pre")
     if scope == "body" and not include_root and not isinstance(targets, DataFrame):
         return without_index(rows)
     # The body itself may be gone; the root element is then what searches start from.
-    has_body = F.max((F.col("tag") == "body") & (F.col("depth") == 2)).over(_page())
-    return without_index(rows.withColumn("in_body", F.when(has_body, F.col("in_body")).otherwise(F.col("depth") >= 2)))
+    has_body = f"max({_IS_BODY}) over (partition by page_id)"
+    return without_index(rows.withColumn("in_body", F.expr(f"if({has_body}, in_body, depth >= 2)")))
 
 
 remove = decompose
@@ -75,24 +56,25 @@ def strip_tags(nodes: DataFrame, selectors: list, scope: str = "body") -> DataFr
 def unwrap(nodes: DataFrame, targets, scope: str = "body") -> DataFrame:
     """Drop the targets; their children take their place."""
     columns = NODE_COLUMNS
-    rows = _flagged(nodes, targets, scope, False).select(*columns, "_hit")
+    rows = flagged(nodes, targets, scope)
     # Targets still open before each node = +1 where one opens, -1 after its last label.
-    here = F.struct(F.col("pre").alias("pos"), F.lit(0).alias("phase"), F.when(F.col("_hit"), 1).otherwise(0).alias("edge"))
-    gone = F.struct(F.col("last").alias("pos"), F.lit(1).alias("phase"), F.lit(-1).alias("edge"))
-    rows = rows.select(*columns, "_hit", F.inline(F.array_compact(F.array(here, F.when(F.col("_hit"), gone)))))
-    before = _page().orderBy("pos", "phase").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_open", F.coalesce(F.sum("edge").over(before), F.lit(0))).filter("phase = 0 and not _hit")
-    rows = rows.withColumn("depth", (F.col("depth") - F.col("_open")).cast("int")).select(*columns)
+    rows = rows.selectExpr(
+        *columns,
+        "_hit",
+        """inline(array_compact(array(
+            struct(pre as pos, 0 as phase, if(_hit, 1, 0) as edge),
+            if(_hit, struct(last as pos, 1 as phase, -1 as edge), null))))""",
+    )
+    before = "partition by page_id order by pos, phase rows between unbounded preceding and 1 preceding"
+    rows = rows.selectExpr("*", f"coalesce(sum(edge) over ({before}), 0L) as _open").filter("phase = 0 and not _hit")
+    rows = rows.withColumn("depth", F.expr("cast(depth - _open as int)"))
     # The new parent is the latest kept node one level up.  Each row stands once as a possible
     # parent (side 1, its own level) and once as a child (side 0, the level above).
-    sides = F.array(
-        F.struct((F.col("depth") - 1).alias("_level"), F.lit(0).alias("_side")),
-        F.struct(F.col("depth").alias("_level"), F.lit(1).alias("_side")),
-    )
-    rows = rows.select(*columns, F.inline(sides))
-    level = Window.partitionBy("page_id", "_level").orderBy("pre", "_side").rowsBetween(Window.unboundedPreceding, -1)
-    up = F.last(F.when(F.col("_side") == 1, F.col("pre")), ignorenulls=True).over(level)
-    return rows.withColumn("parent", up).filter("_side = 0").select(*columns)
+    sides = "inline(array(struct(depth - 1 as _level, 0 as _side), struct(depth as _level, 1 as _side)))"
+    rows = rows.selectExpr(*columns, sides)
+    level = "partition by page_id, _level order by pre, _side rows between unbounded preceding and 1 preceding"
+    up = f"last(if(_side = 1, pre, null), true) over ({level})"
+    return rows.withColumn("parent", F.expr(up)).filter("_side = 0").select(*columns)
 
 
 def append_text(nodes: DataFrame, targets, text: str | Column, scope: str = "body", include_root: bool = False) -> DataFrame:
@@ -102,43 +84,35 @@ def append_text(nodes: DataFrame, targets, text: str | Column, scope: str = "bod
     number of texts that land on one spot (targets ending together), so no row is renumbered by rank
     and everything is local to ``(page_id, last)``.
     """
-    rows = _flagged(nodes, targets, scope, include_root).select(*NODE_COLUMNS, "_hit")
-    rows = rows.withColumn("_hit", F.col("_hit") & (F.col("kind") == ELEMENT))
-    spot = Window.partitionBy("page_id", "last")
-    one = F.col("_hit").cast("int")
-    deeper = spot.orderBy(F.col("depth").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_n", F.sum(one).over(deeper)).withColumn("_step", F.sum(one).over(spot))
-    rows = rows.withColumn("_step", F.max("_step").over(_page()) + 1)
-    value = F.lit(text) if isinstance(text, str) else text
-    is_body = (F.col("tag") == "body") & (F.col("depth") == 2)
-    is_head = (F.col("tag") == "head") & (F.col("depth") == 2)
-    end = F.col("last") * F.col("_step") + F.col("_n")
-    kept = dict(
-        {c: F.col(c) for c in NODE_COLUMNS},
-        pre=F.col("pre") * F.col("_step"),
-        last=end,
-        parent=F.col("parent") * F.col("_step"),
-    )
-    added = dict(
-        kept,
-        node_id=F.lit(None).cast("long"),
-        pre=end,
-        parent=kept["pre"],
-        depth=F.col("depth") + 1,
-        kind=F.lit(TEXT),
-        ns=F.lit(""),
-        tag=F.lit(""),
-        attrs=F.filter("attrs", lambda a: F.lit(False)),
-        data=value,
-        in_head=F.col("in_head") | is_head,
-        in_body=F.col("in_body") | is_body,
+    rows = flagged(nodes, targets, scope, include_root)
+    rows = rows.withColumn("_text", F.lit(text) if isinstance(text, str) else text)
+    rows = rows.selectExpr(*NODE_COLUMNS, "_text", "_hit and kind = 1 as _hit")
+    spot = "partition by page_id, last"
+    deeper = f"{spot} order by depth desc rows between unbounded preceding and current row"
+    rows = rows.selectExpr(
+        "*", f"count(if(_hit, 1, null)) over ({deeper}) as _n", f"count(if(_hit, 1, null)) over ({spot}) as _here"
     )
-    both = [F.struct(*[c[n].alias(n) for n in NODE_COLUMNS]) for c in (kept, added)]
-    return rows.select(F.inline(F.array_compact(F.array(both[0], F.when(F.col("_hit"), both[1])))))
+    rows = rows.selectExpr("*", "max(_here) over (partition by page_id) + 1 as _step")
+    kept = {c: c for c in NODE_COLUMNS} | {"pre": "pre * _step", "last": "last * _step + _n", "parent": "parent * _step"}
+    added = kept | {
+        "node_id": "cast(null as bigint)",
+        "pre": kept["last"],
+        "parent": kept["pre"],
+        "depth": "depth + 1",
+        "kind": "3",
+        "ns": "''",
+        "tag": "''",
+        "attrs": "filter(attrs, a -> false)",
+        "data": "_text",
+        "in_head": f"in_head or {_IS_HEAD}",
+        "in_body": f"in_body or {_IS_BODY}",
+    }
+    old, new = (f"struct({', '.join(f'{e} as {c}' for c, e in row.items())})" for row in (kept, added))
+    return rows.selectExpr(f"inline(array_compact(array({old}, if(_hit, {new}, null))))")
 
 
 def _edit_attrs(nodes, targets, scope, include_root, on_error, error, edit) -> DataFrame:
-    rows = _flagged(nodes, targets, scope, include_root)
+    rows = flagged(nodes, targets, scope, include_root)
     wrong = F.col("_hit") & (F.col("kind") != ELEMENT)
     if on_error == "raise":
         rows = rows.withColumn("_hit", _guard(wrong, error, F.col("_hit")))

@@ -1,119 +1,113 @@
-"""HTML of context nodes."""
+"""HTML of context nodes.
+
+``contexts`` is a selector or a DataFrame of nodes (see operators.targets).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.functions.props import is_empty_text_node
-from domloom.functions.strings import escape_attr, escape_text
-from domloom.operators.slices import close_at, open_at, slices
-from domloom.schema import COMMENT, DOCTYPE, ELEMENT, TEXT
+from domloom.operators.slices import slices
+from domloom.operators.targets import flagged
 
 # Fixed values of the HTML standard's serialization rules.
 NO_CLOSE = "area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split()
 VERBATIM = "style script xmp iframe noembed noframes plaintext".split()
 
+_BLANK = r"not coalesce(data, '') rlike '[^ \\t\\n\\f\\r]'"
+# Each pretty line starts with a NUL (never in page text) and two blanks per level of the page; the
+# context's own level is taken off its slice afterwards.
+_PAD = "'\\u0000', repeat('  ', depth), "
+
+
+def _in(column: str, values: list) -> str:
+    return f"{column} in ({', '.join(repr(v) for v in values)})"
 
-def _name(tag_with_ns: bool) -> Column:
-    return F.concat(F.col("ns"), F.lit(":"), F.col("tag")) if tag_with_ns else F.col("tag")
 
+def _escaped(value: str, attr: bool = False) -> str:
+    value = f"replace(replace({value}, '&', '&amp;'), '\\u00a0', '&nbsp;')"
+    if attr:
+        return f"replace({value}, '\"', '&quot;')"
+    return f"replace(replace({value}, '<', '&lt;'), '>', '&gt;')"
 
-def _open_piece(raw: bool, tag_with_ns: bool, full_doctype: bool) -> Column:
-    def value(a):
-        v = a["value"] if raw else escape_attr(a["value"])
-        # Written without a value in the source: printed without one.
-        return F.concat(F.lit(" "), a["name"], F.coalesce(F.concat(F.lit('="'), v, F.lit('"')), F.lit("")))
 
-    attrs = F.array_join(F.transform("attrs", value), "")
-    data = F.col("data") if raw else F.when(F.col("_verbatim"), F.col("data")).otherwise(escape_text(F.col("data")))
-    doctype = F.col("data") if full_doctype else F.substring_index("data", " ", 1)
-    return (
-        F.when(F.col("kind") == ELEMENT, F.concat(F.lit("<"), _name(tag_with_ns), attrs, F.lit(">")))
-        .when(F.col("kind") == TEXT, data)
-        .when(F.col("kind") == COMMENT, F.concat(F.lit("<!--"), F.col("data"), F.lit("-->")))
-        .when(F.col("kind") == DOCTYPE, F.concat(F.lit("<!DOCTYPE "), doctype, F.lit(">")))
-    )
+def _prints(raw=False, without_closing=False, tag_with_ns=False, full_doctype=False, skip_ws_nodes=False, skip_comment=False):
+    """SQL for what a node prints where it opens and where it closes."""
+    tag = "concat(ns, ':', tag)" if tag_with_ns else "tag"
+    # An attribute written without a value is printed without one.
+    value = "a.value" if raw else _escaped("a.value", attr=True)
+    attrs = f"array_join(transform(attrs, a -> concat(' ', a.name, coalesce(concat('=\"', {value}, '\"'), ''))), '')"
+    data = "data" if raw else f"if(_verbatim, data, {_escaped('data')})"
+    doctype = "data" if full_doctype else "substring_index(data, ' ', 1)"
+    opening = f"""case
+        when kind = 1 then concat('<', {tag}, {attrs}, '>')
+        when kind = 3 {f"and not ({_BLANK})" if skip_ws_nodes else ""} then {data}
+        when kind = 8 {"and false" if skip_comment else ""} then concat('<!--', data, '-->')
+        when kind = 10 then concat('<!DOCTYPE ', {doctype}, '>') end"""
+    closes = "false" if without_closing else f"kind = 1 and not {_in('tag', NO_CLOSE)}"
+    return opening, f"if({closes}, concat('</', {tag}, '>'), null)"
 
 
-def _pieces(nodes: DataFrame, line=None, *, raw=False, without_closing=False, tag_with_ns=False, full_doctype=False) -> DataFrame:
-    """``(page_id, at, piece)``: what each node prints when it opens and when it closes."""
-    before = Window.partitionBy("page_id").orderBy("pre").rowsBetween(Window.unboundedPreceding, -1)
+def _html(contexts, nodes: DataFrame, inner: bool, prints, scope: str, include_root: bool) -> DataFrame:
+    before = "partition by page_id order by pre rows between unbounded preceding"
+    rows = flagged(nodes, contexts, scope, include_root)
     # A verbatim element holds text only, so it is the nearest element before its text.
-    holder = F.last(F.when(F.col("kind") == ELEMENT, F.struct("pre", "tag")), ignorenulls=True).over(before)
-    nodes = nodes.withColumn("_holder", holder)
-    is_verbatim = (F.col("_holder.pre") == F.col("parent")) & F.col("_holder.tag").isin(VERBATIM)
-    nodes = nodes.withColumn("_verbatim", F.coalesce(is_verbatim, F.lit(False)))
-    line = line or (lambda piece, kind_is_text: piece)
-    opening = line(_open_piece(raw, tag_with_ns, full_doctype), F.col("kind").isin(TEXT, COMMENT))
-    closing = line(F.concat(F.lit("</"), _name(tag_with_ns), F.lit(">")), F.lit(False))
-    closes = (F.col("kind") == ELEMENT) & ~F.col("tag").isin(NO_CLOSE) & F.lit(not without_closing)
-    events = F.array_compact(
-        F.array(
-            F.struct(open_at().alias("at"), opening.alias("piece")),
-            F.when(closes, F.struct(close_at().alias("at"), closing.alias("piece"))),
-        )
-    )
-    return nodes.select("page_id", F.inline(events)).filter("piece is not null")
-
-
-def outer_html(contexts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(page_id, pre, html)``: each context with its subtree."""
-    return slices(_pieces(nodes), contexts, name="html")
+    rows = rows.selectExpr(
+        "page_id", "pre", "last", "parent", "depth", "kind", "ns", "tag", "attrs", "data", "_hit",
+        f"last(if(kind = 1, struct(pre, tag), null), true) over ({before} and 1 preceding) as _holder",
+        f"max(if(_hit, last, null)) over ({before} and current row) as _reach",
+    ).filter("_reach >= pre")
+    rows = rows.selectExpr("*", f"coalesce(_holder.pre = parent and {_in('_holder.tag', VERBATIM)}, false) as _verbatim")
+    return slices(rows, *prints, inner=inner, note="cast(depth as string)", name="html")
 
 
-def inner_html(contexts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(page_id, pre, html)``: what is inside each context."""
-    return slices(_pieces(nodes), contexts, inner=True, name="html")
+def outer_html(contexts, nodes: DataFrame, scope: str = "body", include_root: bool = False) -> DataFrame:
+    """``(page_id, pre, html)``: each context with its subtree."""
+    return _html(contexts, nodes, False, _prints(), scope, include_root).drop("note")
 
 
-def _pretty(contexts, nodes, inner, indent, skip_ws_nodes, skip_comment, without_text_indent, **flags):
-    if skip_ws_nodes:
-        nodes = nodes.filter(~is_empty_text_node())
-    if skip_comment:
-        nodes = nodes.filter(F.col("kind") != COMMENT)
-    # Each line starts with a NUL (never in page text) and two blanks per level of the page; the
-    # context's own level is taken off its slice afterwards.
-    mark = "\0"
+def inner_html(contexts, nodes: DataFrame, scope: str = "body", include_root: bool = False) -> DataFrame:
+    """``(page_id, pre, html)``: what is inside each context."""
+    return _html(contexts, nodes, True, _prints(), scope, include_root).drop("note")
 
-    def line(piece, is_text):
-        pad = F.concat(F.lit(mark), F.repeat(F.lit("  "), F.col("depth")))
-        if without_text_indent:
-            pad = F.when(is_text, F.lit("")).otherwise(pad)
-        return F.concat(pad, piece, F.lit("\n"))
 
-    out = slices(_pieces(nodes, line, **flags), contexts, inner=inner, name="html")
-    level = contexts.select("page_id", "pre", (F.col("depth") + (1 if inner else 0)).alias("_level"))
-    lead = F.concat(F.lit(mark), F.repeat(F.lit("  "), F.col("_level")))
-    html = F.replace(F.col("html"), lead, F.lit("  " * indent))
-    return out.join(level, ["page_id", "pre"]).select("page_id", "pre", html.alias("html"))
+def _pretty(contexts, nodes, inner, indent, without_text_indent, scope, include_root, flags):
+    opening, closing = _prints(**flags)
+    pad = _PAD if not without_text_indent else "if(kind in (3, 8), '', concat(" + _PAD.rstrip(", ") + ")), "
+    lines = f"concat({pad}{opening}, '\\n')", f"concat({_PAD}{closing}, '\\n')"
+    out = _html(contexts, nodes, inner, lines, scope, include_root)
+    lead = f"concat('\\u0000', repeat('  ', cast(note as int) + {int(inner)}))"
+    return out.select("page_id", "pre", F.replace("html", F.expr(lead), F.lit("  " * indent)).alias("html"))
 
 
 def outer_html_pretty(
-    contexts: DataFrame,
+    contexts,
     nodes: DataFrame,
     indent: int = 0,
-    skip_ws_nodes: bool = False,
-    skip_comment: bool = False,
-    raw: bool = False,
-    without_closing: bool = False,
-    tag_with_ns: bool = False,
     without_text_indent: bool = False,
-    full_doctype: bool = False,
+    scope: str = "body",
+    include_root: bool = False,
+    **flags: bool,
 ) -> DataFrame:
     """Each context with its subtree, one tag, text or comment per line, two blanks per level.
 
-    ``indent``: level of the first line; ``raw``: no escaping; ``without_closing``: no end tags;
-    ``tag_with_ns``: ``html:div``; ``without_text_indent``: text and comments start at the margin;
-    ``full_doctype``: public and system identifiers too.
+    ``indent``: level of the first line; ``without_text_indent``: text and comments start at the
+    margin.  Flags: ``skip_ws_nodes``: no blank text; ``skip_comment``: no comments; ``raw``: no
+    escaping; ``without_closing``: no end tags; ``tag_with_ns``: ``html:div``; ``full_doctype``: public
+    and system identifiers too.
     """
-    return _pretty(contexts, nodes, False, indent, skip_ws_nodes, skip_comment, without_text_indent, raw=raw,
-                   without_closing=without_closing, tag_with_ns=tag_with_ns, full_doctype=full_doctype)
+    return _pretty(contexts, nodes, False, indent, without_text_indent, scope, include_root, flags)
 
 
-def inner_html_pretty(contexts: DataFrame, nodes: DataFrame, indent: int = 0, skip_ws_nodes: bool = False,
-                      skip_comment: bool = False, raw: bool = False, without_closing: bool = False,
-                      tag_with_ns: bool = False, without_text_indent: bool = False, full_doctype: bool = False) -> DataFrame:
+def inner_html_pretty(
+    contexts,
+    nodes: DataFrame,
+    indent: int = 0,
+    without_text_indent: bool = False,
+    scope: str = "body",
+    include_root: bool = False,
+    **flags: bool,
+) -> DataFrame:
     """As :func:`outer_html_pretty`, children only."""
-    return _pretty(contexts, nodes, True, indent, skip_ws_nodes, skip_comment, without_text_indent, raw=raw,
-                   without_closing=without_closing, tag_with_ns=tag_with_ns, full_doctype=full_doctype)
+    return _pretty(contexts, nodes, True, indent, without_text_indent, scope, include_root, flags)

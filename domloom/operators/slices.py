@@ -2,61 +2,62 @@
 
 Text and HTML of nested nodes are nested stretches of one page-wide string.  So a page's pieces
 are joined once, and every context takes its stretch by byte offsets that a running sum gives:
-linear in the page, one exchange on ``page_id``, nested contexts included.  The group held together
-is one page, which was one ``html`` value before.
+linear in the page, one exchange on ``page_id`` (none on a bucketed table), nested contexts included.
+The group held together is one page, which was one ``html`` value before.
+
+Places are ``(pos, phase, tie)``.  A node opens at ``(pre, 0, 0)`` and closes at
+``(last, 1, -2 * depth)``, so that of nodes ending together the deeper closes first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A piece or a mark sits at (pos, phase, tie).  Nodes open at (pre, 0, 0) and close at
-# (last, 1, -2 * depth), so that of nodes ending together the deeper closes first.
-
-
-def _at(pos, phase, tie):
-    return F.struct(F.col(pos).alias("pos"), F.lit(phase).alias("phase"), tie.cast("long").alias("tie"))
-
-
-def open_at() -> Column:
-    return _at("pre", 0, F.lit(0))
+_OUTER = ("-1", "0L", "1L - 2 * depth")
+_INNER = ("0", "1L", "-1L - 2 * depth")
+_PLACE = "page_id order by pos, phase, tie rows between unbounded preceding and current row"
 
 
-def close_at() -> Column:
-    return _at("last", 1, -2 * F.col("depth"))
+def _event(pos: str, phase: str, tie: str, piece: str, ctx: str, edge: str, note: str) -> str:
+    return (
+        f"named_struct('pos', {pos}, 'phase', {phase}, 'tie', {tie}, 'piece', {piece}, "
+        f"'ctx', {ctx}, 'edge', {edge}, 'note', {note})"
+    )
 
 
-def _marks(contexts: DataFrame, inner: bool) -> DataFrame:
-    begin = _at("pre", 0, F.lit(1)) if inner else _at("pre", -1, F.lit(0))
-    end = _at("last", 1, (-1 if inner else 1) - 2 * F.col("depth"))
-    edges = F.array(
-        F.struct(begin.alias("at"), F.lit(1).alias("edge")),
-        F.struct(end.alias("at"), F.lit(-1).alias("edge")),
-    )
-    return contexts.select("page_id", F.col("pre").alias("ctx"), F.inline(edges))
-
-
-def slices(pieces: DataFrame, contexts: DataFrame, inner: bool = False, name: str = "text") -> DataFrame:
-    """``(page_id, pre, <name>)`` for every context.  ``pieces``: ``(page_id, at, piece)``."""
-    rows = pieces.unionByName(_marks(contexts, inner), allowMissingColumns=True)
-    upto = Window.partitionBy("page_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_live", F.sum("edge").over(upto))
-    rows = rows.filter("edge is not null or _live > 0")
-    rows = rows.withColumn("_off", F.coalesce(F.sum(F.octet_length("piece")).over(upto), F.lit(0)))
-    text = F.when(F.col("piece").isNotNull(), F.struct("at", "piece"))
-    mark = F.when(F.col("ctx").isNotNull(), F.struct("ctx", (-F.col("edge")).alias("side"), F.col("_off").alias("off")))
-    page = rows.groupBy("page_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(text)), lambda t: t["piece"]), "").alias("_whole"),
-        F.sort_array(F.collect_list(mark)).alias("_marks"),
-    )
-    # Sorted marks alternate: begin and end of one context, then of the next.
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size("_marks") - 2, F.lit(2)),
-        lambda i: F.struct(
-            F.get("_marks", i)["ctx"].alias("pre"), F.get("_marks", i)["off"].alias("lo"), F.get("_marks", i + 1)["off"].alias("hi")
+def _piece(pos: str, phase: str, tie: str, piece: str) -> str:
+    event = _event(pos, phase, tie, piece, "cast(null as bigint)", "cast(null as int)", "cast(null as string)")
+    return f"if({piece} is not null, {event}, null)"
+
+
+def slices(rows: DataFrame, opening: str, closing: str | None = None, inner: bool = False, note: str = "cast(null as string)",
+           name: str = "text") -> DataFrame:
+    """``(page_id, pre, <name>, note)`` for every row with ``_hit``.
+
+    ``opening`` and ``closing`` are SQL expressions: what a row prints where it opens and closes
+    (NULL: nothing).  ``note`` is a string expression handed on from the context row.
+    """
+    begin_phase, begin_tie, end_tie = _INNER if inner else _OUTER
+    none = "cast(null as string)"
+    begin = _event("pre", begin_phase, begin_tie, none, "pre", "1", note)
+    end = _event("last", "1", end_tie, none, "pre", "-1", none)
+    events = [f"if(_hit, {begin}, null)", f"if(_hit, {end}, null)", _piece("pre", "0", "0L", "_opening")]
+    if closing:
+        events.append(_piece("last", "1", "-2L * depth", "_closing"))
+    rows = rows.selectExpr("*", f"{opening} as _opening", f"{closing or none} as _closing")
+    events = rows.selectExpr("page_id", f"inline(array_compact(array({', '.join(events)})))")
+    events = events.selectExpr("*", f"sum(edge) over (partition by {_PLACE}) as _live").filter("edge is not null or _live > 0")
+    events = events.selectExpr("*", f"coalesce(sum(octet_length(piece)) over (partition by {_PLACE}), 0L) as _off")
+    page = events.groupBy("page_id").agg(
+        F.expr(
+            "array_join(transform(sort_array(collect_list(if(piece is not null, struct(pos, phase, tie, piece), null))), t -> t.piece), '') as _whole"
         ),
+        F.expr("sort_array(collect_list(if(ctx is not null, struct(ctx, -edge as side, _off as off, note), null))) as _marks"),
     )
-    spans = page.filter(F.size("_marks") > 0).select("page_id", F.col("_whole").cast("binary").alias("_bytes"), F.inline(pairs))
-    cut = F.substring(F.col("_bytes"), (F.col("lo") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
-    return spans.select("page_id", "pre", cut.cast("string").alias(name))
+    # Sorted marks alternate: begin and end of one context, then of the next.
+    pairs = """inline(transform(sequence(0, size(_marks) - 2, 2), i -> struct(
+        get(_marks, i).ctx as pre, get(_marks, i).off as lo, get(_marks, i + 1).off as hi, get(_marks, i).note as note)))"""
+    spans = page.filter("size(_marks) > 0").selectExpr("page_id", "cast(_whole as binary) as _bytes", pairs)
+    cut = "cast(substring(_bytes, cast(lo + 1 as int), cast(hi - lo as int)) as string)"
+    return spans.selectExpr("page_id", "pre", f"{cut} as {name}", "note")

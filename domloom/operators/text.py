@@ -1,56 +1,62 @@
-"""Text of context nodes."""
+"""Text of context nodes.
+
+``contexts`` is a selector or a DataFrame of nodes (see operators.targets).  The selector form is
+the fast one: contexts are recognised while the rows stream by.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.functions.props import is_comment, is_empty_text_node, is_text
+from domloom.functions.props import is_empty_text_node
 from domloom.functions.strings import trim_unicode
-from domloom.operators.slices import open_at, slices
+from domloom.operators.slices import slices
+from domloom.operators.targets import flagged
 
 
-def text(contexts: DataFrame, nodes: DataFrame, strip: bool = False, per_fragment: bool = False, separator: str = "",
-         skip_empty: bool = False) -> DataFrame:
+def text(contexts, nodes: DataFrame, strip: bool = False, per_fragment: bool = False, separator: str = "",
+         skip_empty: bool = False, scope: str = "body", include_root: bool = False) -> DataFrame:
     """``(page_id, pre, text)``: all text below each context, concatenated in document order.
 
     ``strip`` trims the whole text once; ``separator`` and ``skip_empty`` have no effect unless
     ``per_fragment=True``, which applies all three to every text node before joining.
     A comment context gives its own data.
     """
-    pieces = nodes.filter(is_text())
+    rows = flagged(nodes, contexts, scope, include_root).filter("_hit or kind = 3")
+    whole = F.coalesce("note", "text")
     if per_fragment:
-        if skip_empty:
-            pieces = pieces.filter(~is_empty_text_node())
         piece = trim_unicode(F.col("data")) if strip else F.col("data")
-        # Every fragment carries a leading separator; the one before the first is cut off below.
-        pieces = pieces.select("page_id", open_at().alias("at"), F.concat(F.lit(separator), piece).alias("piece"))
-        out = slices(pieces, contexts)
-        return out.withColumn("text", F.substring("text", len(separator) + 1, 2**31 - 1)) if separator else out
-    comments = contexts.filter(is_comment()).select("page_id", open_at().alias("at"), F.col("data").alias("piece"))
-    below = slices(pieces.select("page_id", open_at().alias("at"), F.col("data").alias("piece")), contexts.filter(~is_comment()))
-    own = contexts.filter(is_comment()).select("page_id", "pre", F.col("data").alias("text"))
-    out = below.unionByName(own)
-    return out.withColumn("text", trim_unicode(F.col("text"))) if strip else out
-
-
-def text_shallow(contexts: DataFrame, nodes: DataFrame, separator: str = "", strip: bool = False, skip_empty: bool = False) -> DataFrame:
+        used = F.col("kind") == 3
+        if skip_empty:
+            used = used & ~is_empty_text_node()
+        # Every fragment carries a separator before it; the one before the first is cut off again.
+        rows = rows.withColumn("data", F.when(F.col("kind") != 3, F.col("data")).when(used, F.concat(F.lit(separator), piece)))
+        whole = F.coalesce("note", F.substring("text", len(separator) + 1, 2**31 - 1))
+    elif strip:
+        whole = trim_unicode(whole)
+    out = slices(rows, "if(kind = 3, data, null)", note="if(kind = 8, data, null)")
+    return out.select("page_id", "pre", whole.alias("text"))
+
+
+def text_shallow(contexts, nodes: DataFrame, separator: str = "", strip: bool = False, skip_empty: bool = False,
+                 scope: str = "body", include_root: bool = False) -> DataFrame:
     """``(page_id, pre, text)``: own text of a text context, then its direct text children, joined.
 
     ``strip`` trims each part, ``skip_empty`` drops blank parts, ``separator`` goes between parts.
     """
-    blank = is_empty_text_node()
     part = trim_unicode(F.col("data")) if strip else F.col("data")
-    kids = nodes.filter(is_text() & (F.col("data") != ""))
-    own = is_text()
-    if skip_empty:
-        kids, own = kids.filter(~blank), own & ~blank
-    kids = kids.select("page_id", F.col("parent").alias("pre"), F.struct(F.col("pre").alias("at"), part.alias("part")).alias("p"))
-    selves = contexts.select("page_id", "pre", F.when(own, F.struct(F.col("pre").alias("at"), part.alias("part"))).alias("p"))
     if skip_empty:
-        kids = kids.filter("p.part <> ''")
-        selves = selves.withColumn("p", F.when(F.col("p.part") != "", F.col("p")))
-    # Children come with their parent's label; an inner semi-join keeps those of contexts only.
-    kids = kids.join(contexts.select("page_id", "pre"), ["page_id", "pre"], "left_semi")
-    parts = F.transform(F.sort_array(F.collect_list("p")), lambda x: x["part"])
-    return selves.unionByName(kids).groupBy("page_id", "pre").agg(F.array_join(parts, separator).alias("text"))
+        part = F.when(~is_empty_text_node() & (part != ""), part)
+    rows = flagged(nodes, contexts, scope, include_root).filter("_hit or kind = 3").withColumn("_part", part)
+    # A row counts for itself when it is a context, and for its parent when it is text.
+    rows = rows.selectExpr(
+        "page_id",
+        """inline(array_compact(array(
+            if(_hit, named_struct('pre', pre, 'ctx', true, 'part', if(kind = 3 and _part is not null, struct(pre as at, _part as part), null)), null),
+            if(kind = 3 and data <> '' and _part is not null,
+               named_struct('pre', parent, 'ctx', false, 'part', struct(pre as at, _part as part)), null))))""",
+    )
+    parts = F.transform(F.sort_array(F.collect_list("part")), lambda p: p["part"])
+    grouped = rows.groupBy("page_id", "pre").agg(F.max("ctx").alias("ctx"), F.array_join(parts, separator).alias("text"))
+    return grouped.filter("ctx").select("page_id", "pre", "text")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from domloom.operators.index import with_index
 from domloom.session import shared_dir
@@ -17,6 +16,16 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("page_id", "url", "html")
 
 
+def spread(pages: DataFrame) -> DataFrame:
+    """Use all cores on an input with fewer splits than cores (one small file); else unchanged.
+
+    Parsing costs far more than moving the text.  Inputs of ordinary size have splits enough and are
+    not moved.  For plain scans: counting their splits runs no job.
+    """
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+
+
 def write_nodes(nodes: DataFrame, table: str, path: str, buckets: int = 8) -> DataFrame:
     """Write a node table bucketed by page and return it as read back.
 
@@ -42,7 +51,3 @@ def materialize(pages: DataFrame, buckets: int = 8) -> DataFrame:
     spark = pages.sparkSession
     name = f"domloom_nodes_{uuid.uuid4().hex}"
     return write_nodes(shred(pages), name, f"{shared_dir(spark)}/nodes", buckets)
-
-
-def in_body(nodes: DataFrame) -> DataFrame:
-    return nodes.filter(F.col("in_body"))

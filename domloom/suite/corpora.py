@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from domloom.functions.strings import escape_text
 from domloom.session import tune
-from domloom.sources.store import materialize, read_pages
+from domloom.sources.store import materialize, read_pages, spread
 
 _written: dict[tuple, DataFrame] = {}
 
@@ -45,7 +45,7 @@ def _nodes(spark: SparkSession, sf_dir: str, corpus) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, corpus.__name__)
     if key not in _written:
         tune(spark)
-        _written[key] = materialize(corpus(spark, sf_dir), buckets=spark.sparkContext.defaultParallelism)
+        _written[key] = materialize(spread(corpus(spark, sf_dir)), buckets=spark.sparkContext.defaultParallelism)
     return _written[key]
 
 

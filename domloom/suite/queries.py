@@ -14,6 +14,7 @@ from domloom.plans.selector import compile_selector
 from domloom.session import shared_dir
 from domloom.sources import sql as sql_face
 from domloom.sources.shred import shred
+from domloom.sources.store import spread
 from domloom.sources.tokens import tokens
 from domloom.streaming.extract import read_page_stream, run_extract
 from domloom.suite.corpora import doc_nodes, doc_pages, page_nodes, pages
@@ -30,7 +31,7 @@ def _n(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _texts(hits: DataFrame, nodes: DataFrame) -> DataFrame:
+def _texts(hits, nodes: DataFrame) -> DataFrame:
     """``page_id, match_idx, text`` of matches."""
     values = text(hits, nodes)
     return s.with_match_idx(values).select("page_id", "match_idx", "text")
@@ -46,7 +47,7 @@ def _attrs(hits: DataFrame, name: str) -> DataFrame:
 @query
 def shred_counts(spark, sf):
     """The shred job itself, straight from the raw pages."""
-    return shred(pages(spark, sf)).groupBy(F.col("kind").cast("long").alias("kind"), "tag").agg(F.count(F.lit(1)).alias("n"))
+    return shred(spread(pages(spark, sf))).groupBy(F.col("kind").cast("long").alias("kind"), "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -178,7 +179,7 @@ def doc_matches(spark, sf):
 @query
 def sel_tag(spark, sf):
     n = page_nodes(spark, sf)
-    return _texts(s.select(n, "p"), n)
+    return _texts("p", n)
 
 
 @query
@@ -223,7 +224,7 @@ def sel_universal(spark, sf):
 @query
 def sel_class(spark, sf):
     n = page_nodes(spark, sf)
-    return _texts(s.select(n, ".ad"), n)
+    return _texts(".ad", n)
 
 
 @query
@@ -285,7 +286,7 @@ def sel_child(spark, sf):
 @query
 def sel_adjacent(spark, sf):
     n = page_nodes(spark, sf)
-    return _texts(s.select(n, "h1 + p"), n)
+    return _texts("h1 + p", n)
 
 
 @query
@@ -466,7 +467,7 @@ def text_own(spark, sf):
 @query
 def text_deep(spark, sf):
     n = page_nodes(spark, sf)
-    return text(s.select(n, "article"), n).select("page_id", "text")
+    return text("article", n).select("page_id", "text")
 
 
 @query
@@ -481,13 +482,13 @@ def text_nested(spark, sf):
 @query
 def text_strip(spark, sf):
     n = doc_nodes(spark, sf)
-    return text(s.select(n, "div"), n, strip=True).select("page_id", "text")
+    return text("div", n, strip=True).select("page_id", "text")
 
 
 @query
 def text_shallow_parts(spark, sf):
     n = doc_nodes(spark, sf)
-    return s.with_match_idx(text_shallow(s.select(n, "li"), n, separator="|", strip=True, skip_empty=True)).select(
+    return s.with_match_idx(text_shallow("li", n, separator="|", strip=True, skip_empty=True)).select(
         "page_id", "match_idx", "text"
     )
 
@@ -495,13 +496,13 @@ def text_shallow_parts(spark, sf):
 @query
 def text_shallow_blank(spark, sf):
     n = doc_nodes(spark, sf)
-    return text_shallow(s.select(n, "div"), n, separator="|").select("page_id", "text")
+    return text_shallow("div", n, separator="|").select("page_id", "text")
 
 
 @query
 def text_fragments(spark, sf):
     n = doc_nodes(spark, sf)
-    out = text(s.select(n, "div"), n, strip=True, per_fragment=True, separator=" / ", skip_empty=True)
+    out = text("div", n, strip=True, per_fragment=True, separator=" / ", skip_empty=True)
     return out.select("page_id", "text")
 
 
@@ -515,39 +516,38 @@ def raw_value(spark, sf):
 @query
 def outer_html(spark, sf):
     n = page_nodes(spark, sf)
-    return serialize.outer_html(s.select(n, "nav"), n).select("page_id", "html")
+    return serialize.outer_html("nav", n).select("page_id", "html")
 
 
 @query
 def inner_html(spark, sf):
     n = page_nodes(spark, sf)
-    return serialize.inner_html(s.select(n, "ul"), n).select("page_id", "html")
+    return serialize.inner_html("ul", n).select("page_id", "html")
 
 
 @query
 def outer_html_docs(spark, sf):
     """Whole documents back to HTML: attributes with and without value, comments, escapes."""
     n = doc_nodes(spark, sf)
-    return serialize.outer_html(s.select(n, "div"), n).select("page_id", "html")
+    return serialize.outer_html("div", n).select("page_id", "html")
 
 
 @query
 def pretty_outer(spark, sf):
     n = page_nodes(spark, sf)
-    return serialize.outer_html_pretty(s.select(n, "nav"), n).select("page_id", "html")
+    return serialize.outer_html_pretty("nav", n).select("page_id", "html")
 
 
 @query
 def pretty_inner(spark, sf):
     n = page_nodes(spark, sf)
-    return serialize.inner_html_pretty(s.select(n, "ul"), n, indent=2).select("page_id", "html")
+    return serialize.inner_html_pretty("ul", n, indent=2).select("page_id", "html")
 
 
 @query
 def pretty_flags(spark, sf):
     n = doc_nodes(spark, sf)
-    return serialize.outer_html_pretty(
-        s.select(n, "div"), n, indent=1, skip_ws_nodes=True, skip_comment=True, raw=True, without_closing=True,
+    return serialize.outer_html_pretty("div", n, indent=1, skip_ws_nodes=True, skip_comment=True, raw=True, without_closing=True,
         tag_with_ns=True, without_text_indent=True,
     ).select("page_id", "html")
 
@@ -564,13 +564,13 @@ def decompose(spark, sf):
 @query
 def decompose_shallow(spark, sf):
     n = mutate.decompose_shallow(doc_nodes(spark, sf), "ul ul")
-    return _texts(s.select(n, "li"), n)
+    return _texts("li", n)
 
 
 @query
 def unwrap(spark, sf):
     n = mutate.unwrap(page_nodes(spark, sf), "b")
-    return serialize.inner_html(s.select(n, "article"), n).select("page_id", "html")
+    return serialize.inner_html("article", n).select("page_id", "html")
 
 
 @query
@@ -589,19 +589,19 @@ def strip_tags(spark, sf):
 @query
 def append_text(spark, sf):
     n = mutate.append_text(page_nodes(spark, sf), "article, p", " [end]")
-    return text(s.select(n, "article"), n).select("page_id", "text")
+    return text("article", n).select("page_id", "text")
 
 
 @query
 def set_attr(spark, sf):
     n = mutate.set_attr(page_nodes(spark, sf), "nav a", "rel", "nofollow")
-    return serialize.outer_html(s.select(n, "nav"), n).select("page_id", "html")
+    return serialize.outer_html("nav", n).select("page_id", "html")
 
 
 @query
 def remove_attr(spark, sf):
     n = mutate.remove_attr(page_nodes(spark, sf), "a", "href")
-    return serialize.inner_html(s.select(n, "ul"), n).select("page_id", "html")
+    return serialize.inner_html("ul", n).select("page_id", "html")
 
 
 @query
@@ -695,7 +695,7 @@ def stream_extract(spark, sf):
 @query
 def sql_nodes(spark, sf):
     sql_face.register(spark)
-    pages(spark, sf).createOrReplaceTempView("domloom_pages")
+    spread(pages(spark, sf)).createOrReplaceTempView("domloom_pages")
     return spark.sql(
         """SELECT p.page_id, n.tag, count(*) AS n
            FROM domloom_pages p, LATERAL html_nodes(p.html) n
