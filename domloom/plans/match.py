@@ -15,7 +15,7 @@ table.  The cost per page is that of a sort, whatever the number of matches.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domloom.operators.index import with_index
@@ -62,54 +62,47 @@ def match_parts(nodes: DataFrame, rules: dict, scope: str, include_root: bool) -
             final = step == len(part.steps) - 1
             cond = compound.column(flag) & in_scope if final else compound.column(flag)
             conditions.append(cond)
-            role = F.struct(
-                F.lit(number).alias("part"), F.lit(rule).alias("rule"), F.lit(step).alias("step"), F.lit(final).alias("final")
-            )
-            roles.append(F.when(cond, role))
+            roles.append((cond, f"named_struct('part', {number}, 'step', {step}, 'final', {str(final).lower()})"))
     tags = {s.tag for _, p in parts for s in p.steps}
     if None not in tags:
         nodes = nodes.filter(F.col("tag").isin(sorted(tags)))
     rows = nodes.filter(any_of(conditions))
     if len(roles) == 1:
         return rows.select(F.lit(parts[0][0]).alias("rule"), *columns)
-    rows = rows.select(*columns, F.explode(F.array_compact(F.array(*roles))).alias("_role"))
-    rows = rows.select(*columns, "_role.*", (F.col("_role.step") == 0).alias("_ok"))
+    rows = rows.select(*columns, F.inline(F.array_compact(F.array(*[F.when(c, F.expr(role)) for c, role in roles]))))
+    rows = rows.selectExpr("*", "step = 0 as _ok")
     for step in range(1, max(len(p.steps) for _, p in parts)):
         rows = _decide(rows, step, parts)
-    return rows.filter("final").select("rule", *columns)
+    rule = F.lit(parts[0][0])
+    if len(rules) > 1:
+        rule = F.get(F.array(*[F.lit(r) for r, _ in parts]), "part")
+    return rows.filter("final").select(rule.alias("rule"), *columns)
 
 
 def _decide(rows: DataFrame, step: int, parts) -> DataFrame:
     """Settle the candidates of ``step`` against the nodes matched up to ``step - 1``."""
-    here = F.col("step") == step
-    left = F.col("_ok") & (F.col("step") == step - 1)
-    page = ["page_id", "part"] if len(parts) > 1 else ["page_id"]
-    before = (Window.unboundedPreceding, -1)
-    order = [F.col("pre"), F.col("step").desc()]
+    page = "page_id, part" if len(parts) > 1 else "page_id"
+    left = f"_ok and step = {step - 1}"
+    before = "order by pre, step desc rows between unbounded preceding and 1 preceding"
 
     def meet(link):
-        key = F.when(here, F.col(link)).when(F.col("step") == step - 1, F.col("pre"))
-        return F.max(left).over(Window.partitionBy(*page, key))
+        key = f"case step when {step} then {link} when {step - 1} then pre end"
+        return f"max({left}) over (partition by {page}, {key})"
 
     hits = {
-        " ": lambda: F.max(F.when(left, F.col("last"))).over(Window.partitionBy(*page).orderBy(*order).rowsBetween(*before))
-        >= F.col("pre"),
-        ">": lambda: meet("parent"),
-        "+": lambda: meet("prev_el"),
-        "~": lambda: F.max(left).over(Window.partitionBy(*page, "parent").orderBy(*order).rowsBetween(*before)),
+        " ": f"max(if({left}, last, null)) over (partition by {page} {before}) >= pre",
+        ">": meet("parent"),
+        "+": meet("prev_el"),
+        "~": f"max({left}) over (partition by {page}, parent {before})",
     }
     by_combinator = {}
     for number, (_, part) in enumerate(parts):
         if step < len(part.steps):
-            by_combinator.setdefault(part.combinators[step], []).append(number)
-    hit = None
-    for combinator, numbers in by_combinator.items():
-        value = hits[combinator]()
-        hit = F.when(F.col("part").isin(numbers), value) if hit is None else hit.when(F.col("part").isin(numbers), value)
-    rows = rows.withColumn("_hit", F.coalesce(hit, F.lit(False)))
-    rows = rows.withColumn("_ok", F.when(here, F.col("_hit")).otherwise(F.col("_ok"))).drop("_hit")
+            by_combinator.setdefault(part.combinators[step], []).append(str(number))
+    whens = " ".join(f"when part in ({', '.join(numbers)}) then {hits[c]}" for c, numbers in by_combinator.items())
+    rows = rows.selectExpr("* except (_ok)", f"if(step = {step}, coalesce(case {whens} end, false), _ok) as _ok")
     # Settled rows stay only while they matter: as matched nodes of this step, or as results.
-    return rows.filter((F.col("step") > step) | (F.col("_ok") & (here | F.col("final"))))
+    return rows.filter(f"step > {step} or (_ok and (step = {step} or final))")
 
 
 def match(nodes: DataFrame, selector: Selector, scope: str = "body", include_root: bool = False) -> DataFrame:
