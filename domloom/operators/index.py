@@ -11,6 +11,10 @@ _ORDERED = f"{_FAMILY} order by pre rows between unbounded preceding"
 _TYPED = "partition by page_id, parent, tag"
 # Nodes that make their parent non-empty: elements, and text with at least one character.
 _CONTENT = "kind = 1 or (kind = 3 and data <> '')"
+# Fixed names of the elements whose text is printed as it is.  They hold text only, so such an element
+# is the nearest element before its text.
+_VERBATIM = "'style', 'script', 'xmp', 'iframe', 'noembed', 'noframes', 'plaintext'"
+_NEAREST = "last(if(kind = 1, struct(pre, tag), null), true) over (partition by page_id order by pre rows between unbounded preceding and 1 preceding)"
 _EXPRESSIONS = [
     "get(filter(attrs, a -> a.name = 'id'), 0).value as id",
     "get(filter(attrs, a -> a.name = 'class'), 0).value as class",
@@ -24,6 +28,7 @@ _EXPRESSIONS = [
     f"last(if(kind = 1, pre, null), true) over ({_ORDERED} and 1 preceding) as prev_el",
     f"""kind = 1 and coalesce(last(if({_CONTENT}, pre, null), true) over (
         partition by page_id order by pre desc rows between unbounded preceding and 1 preceding) > last, true) as hollow""",
+    f"kind = 3 and coalesce({_NEAREST}.pre = parent and {_NEAREST}.tag in ({_VERBATIM}), false) as verbatim",
 ]
 
 
@@ -42,7 +47,8 @@ def with_index(nodes: DataFrame) -> DataFrame:
     ``id``, ``class``: plain columns, so that filters on them reach the Parquet scan;
     ``sib_idx/sib_n``: position among all siblings, and their number; ``el_idx/el_rev``: position
     among element siblings from the front and the back; ``ty_idx/ty_rev``: the same among siblings of
-    one tag; ``prev_el``: label of the previous element sibling; ``hollow``: no element or text inside.
+    one tag; ``prev_el``: label of the previous element sibling; ``hollow``: no element or text inside;
+    ``verbatim``: text printed without escapes.
     The windows a query does not read are pruned by Catalyst, so this is free to apply early.
     """
     return nodes if has_index(nodes) else nodes.selectExpr(*NODE_COLUMNS, *_EXPRESSIONS)

@@ -1,6 +1,6 @@
 """HTML of context nodes.
 
-``contexts`` is a selector or a DataFrame of nodes (see operators.targets).
+``contexts`` is a selector or a DataFrame of nodes.
 """
 
 from __future__ import annotations
@@ -8,12 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.operators.slices import slices
-from domloom.operators.targets import flagged
+from domloom.operators.assemble import assemble, contexts_of
+from domloom.operators.index import with_index
 
 # Fixed values of the HTML standard's serialization rules.
 NO_CLOSE = "area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split()
-VERBATIM = "style script xmp iframe noembed noframes plaintext".split()
 
 _BLANK = r"not coalesce(data, '') rlike '[^ \\t\\n\\f\\r]'"
 # Each pretty line starts with a NUL (never in page text) and two blanks per level of the page; the
@@ -38,7 +37,7 @@ def _prints(raw=False, without_closing=False, tag_with_ns=False, full_doctype=Fa
     # An attribute written without a value is printed without one.
     value = "a.value" if raw else _escaped("a.value", attr=True)
     attrs = f"array_join(transform(attrs, a -> concat(' ', a.name, coalesce(concat('=\"', {value}, '\"'), ''))), '')"
-    data = "data" if raw else f"if(_verbatim, data, {_escaped('data')})"
+    data = "data" if raw else f"if(verbatim, data, {_escaped('data')})"
     doctype = "data" if full_doctype else "substring_index(data, ' ', 1)"
     opening = f"""case
         when kind = 1 then concat('<', {tag}, {attrs}, '>')
@@ -50,16 +49,14 @@ def _prints(raw=False, without_closing=False, tag_with_ns=False, full_doctype=Fa
 
 
 def _html(contexts, nodes: DataFrame, inner: bool, prints, scope: str, include_root: bool) -> DataFrame:
-    before = "partition by page_id order by pre rows between unbounded preceding"
-    rows = flagged(nodes, contexts, scope, include_root)
-    # A verbatim element holds text only, so it is the nearest element before its text.
-    rows = rows.selectExpr(
-        "page_id", "pre", "last", "parent", "depth", "kind", "ns", "tag", "attrs", "data", "_hit",
-        f"last(if(kind = 1, struct(pre, tag), null), true) over ({before} and 1 preceding) as _holder",
-        f"max(if(_hit, last, null)) over ({before} and current row) as _reach",
-    ).filter("_reach >= pre")
-    rows = rows.selectExpr("*", f"coalesce(_holder.pre = parent and {_in('_holder.tag', VERBATIM)}, false) as _verbatim")
-    return slices(rows, *prints, inner=inner, note="cast(depth as string)", name="html")
+    opening, closing = (f"if(pre = _lo, null, {p})" if inner else p for p in prints)
+    # Of nodes that end together the deeper closes first.
+    items = f"""inline(array(
+        struct(struct(pre as pos, 0 as phase, 0 as tie) as at, {opening} as piece),
+        struct(struct(last as pos, 1 as phase, -depth as tie) as at, {closing} as piece)))"""
+    rows = with_index(nodes).select("page_id", "pre", "last", "depth", "kind", "ns", "tag", "attrs", "data", "verbatim")
+    chosen = contexts_of(contexts, nodes, scope, include_root)
+    return assemble(chosen, rows, items, "cast(depth as string)").withColumnRenamed("joined", "html")
 
 
 def outer_html(contexts, nodes: DataFrame, scope: str = "body", include_root: bool = False) -> DataFrame:

@@ -1,7 +1,6 @@
 """Text of context nodes.
 
-``contexts`` is a selector or a DataFrame of nodes (see operators.targets).  The selector form is
-the fast one: contexts are recognised while the rows stream by.
+``contexts`` is a selector or a DataFrame of nodes.
 """
 
 from __future__ import annotations
@@ -9,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.functions.props import is_empty_text_node
+from domloom.functions.props import is_empty_text_node, is_text
 from domloom.functions.strings import trim_unicode
-from domloom.operators.slices import slices
+from domloom.operators.assemble import assemble, contexts_of
 from domloom.operators.targets import flagged
 
 
@@ -23,20 +22,18 @@ def text(contexts, nodes: DataFrame, strip: bool = False, per_fragment: bool = F
     ``per_fragment=True``, which applies all three to every text node before joining.
     A comment context gives its own data.
     """
-    rows = flagged(nodes, contexts, scope, include_root).filter("_hit or kind = 3")
-    whole = F.coalesce("note", "text")
+    used, piece = is_text(), F.col("data")
     if per_fragment:
-        piece = trim_unicode(F.col("data")) if strip else F.col("data")
-        used = F.col("kind") == 3
         if skip_empty:
             used = used & ~is_empty_text_node()
-        # Every fragment carries a separator before it; the one before the first is cut off again.
-        rows = rows.withColumn("data", F.when(F.col("kind") != 3, F.col("data")).when(used, F.concat(F.lit(separator), piece)))
-        whole = F.coalesce("note", F.substring("text", len(separator) + 1, 2**31 - 1))
-    elif strip:
-        whole = trim_unicode(whole)
-    out = slices(rows, "if(kind = 3, data, null)", note="if(kind = 8, data, null)")
-    return out.select("page_id", "pre", whole.alias("text"))
+        if strip:
+            piece = trim_unicode(piece)
+    rows = nodes.select("page_id", "pre", "kind", F.when(used, piece).alias("piece"))
+    chosen = contexts_of(contexts, nodes, scope, include_root)
+    items = "inline(array(struct(pre as at, piece)))"
+    out = assemble(chosen, rows, items, "if(kind = 8, data, null)", separator if per_fragment else "")
+    whole = F.coalesce("note", "joined")
+    return out.select("page_id", "pre", (trim_unicode(whole) if strip and not per_fragment else whole).alias("text"))
 
 
 def text_shallow(contexts, nodes: DataFrame, separator: str = "", strip: bool = False, skip_empty: bool = False,

@@ -38,4 +38,4 @@ NODES = T.StructType(
 
 NODE_COLUMNS = NODES.fieldNames()
 # Added by operators.index.with_index.
-INDEX_COLUMNS = ["id", "class", "sib_idx", "sib_n", "el_idx", "el_rev", "ty_idx", "ty_rev", "prev_el", "hollow"]
+INDEX_COLUMNS = ["id", "class", "sib_idx", "sib_n", "el_idx", "el_rev", "ty_idx", "ty_rev", "prev_el", "hollow", "verbatim"]
