@@ -109,7 +109,7 @@ def any_of(columns) -> Column:
 
 
 def _test_id(_flags, value):
-    return F.coalesce(F.col("id") == value, F.lit(False))
+    return F.col("id").isNotNull() & (F.col("id") == value)
 
 
 def _test_class(_flags, name):
