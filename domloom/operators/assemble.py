@@ -9,11 +9,12 @@ when it finds them small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domloom.operators.contain import contained_pairs
-from domloom.operators.select import select
+from domloom.operators.select import compiled, select
+from domloom.plans.selector import any_of
 
 
 def contexts_of(contexts, nodes: DataFrame, scope: str, include_root: bool) -> DataFrame:
@@ -23,15 +24,25 @@ def contexts_of(contexts, nodes: DataFrame, scope: str, include_root: bool) -> D
     return select(nodes, contexts, scope, include_root, on_error="raise")
 
 
-def assemble(contexts: DataFrame, nodes: DataFrame, items: str, note: str = "cast(null as string)", separator: str = "") -> DataFrame:
-    """``(page_id, pre, joined, note)`` for every context.
+def may_be_context(contexts) -> Column:
+    """A condition on one node row that holds for every context; the fewer other rows, the better."""
+    if isinstance(contexts, DataFrame):
+        return F.lit(True)
+    last = [p.steps[-1] for p in compiled(contexts).parts]
+    return F.lit(True) if any(True for c in last for _ in c.complex_nots()) else any_of(c.column() for c in last)
+
+
+def assemble(contexts: DataFrame, nodes: DataFrame, items: str, note: str = "cast(null as string)", separator: str = "",
+             keys: tuple = ()) -> DataFrame:
+    """``(page_id, pre, *keys, joined, note)`` for every context.
 
     ``nodes`` must hold the contexts themselves.  ``items``: SQL on (node, ``_lo`` = its context's
     label) for a generator of ``(at, piece)`` rows, at least one row per node, NULL pieces not used.
-    ``note`` is a string expression handed on from the context row.
+    ``note`` is a string expression handed on from the context row.  ``keys`` are more context
+    columns; a node may be a context once per value.
     """
-    pairs = contained_pairs(contexts, nodes, include_self=True, carry=f"{note} as _note")
-    rows = pairs.selectExpr("page_id", "_lo", "_note", items)
+    pairs = contained_pairs(contexts, nodes, True, f"{note} as _note", *keys)
+    rows = pairs.selectExpr("page_id", "_lo", "_note", *keys, items)
     joined = f"array_join(transform(sort_array(collect_list(if(piece is null, null, struct(at, piece)))), p -> p.piece), {separator!r}) as joined"
-    grouped = rows.groupBy("page_id", "_lo").agg(F.expr(joined), F.expr("max(_note) as note"))
+    grouped = rows.groupBy("page_id", "_lo", *keys).agg(F.expr(joined), F.expr("max(_note) as note"))
     return grouped.withColumnRenamed("_lo", "pre")

@@ -27,9 +27,9 @@ def _inside(include_self: bool):
     return F.expr(f"page_id = _page and _block = _at_block and _pre {'>=' if include_self else '>'} _lo and _pre <= _hi")
 
 
-def contained_pairs(outer: DataFrame, inner: DataFrame, include_self: bool, carry: str = "1 as _one") -> DataFrame:
-    """``inner`` rows with ``_lo``, the label of an ``outer`` node around them, and a column of that node."""
-    spans = outer.selectExpr("page_id as _page", "pre as _lo", "last as _hi", carry, f"{blocks('pre', 'last')} as _block")
+def contained_pairs(outer: DataFrame, inner: DataFrame, include_self: bool, *carry: str) -> DataFrame:
+    """``inner`` rows with ``_lo``, the label of an ``outer`` node around them, and the ``carry`` columns of that node."""
+    spans = outer.selectExpr("page_id as _page", "pre as _lo", "last as _hi", *carry, f"{blocks('pre', 'last')} as _block")
     points = inner.selectExpr("*", f"{block_of('pre')} as _at_block", "pre as _pre")
     return points.join(spans, _inside(include_self))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from domloom.functions.props import attr
+from domloom.operators.assemble import assemble
 from domloom.operators.mutate import strip_tags
 from domloom.operators.select import select
 from domloom.operators.text import text
@@ -58,20 +59,18 @@ def extract_fields(pages: DataFrame, nodes: DataFrame, fields: dict, scope: str
     ``which`` ``'first'`` (a string, NULL when nothing matches) or ``'all'`` (an array in document order).
     """
     hits = match_rules(nodes, {name: spec[0] for name, spec in fields.items()}, scope)
-    value = None
+    of_text = F.col("rule").isin([name for name, spec in fields.items() if spec[1] == "text()"])
+    value = F.lit(None).cast("string")
     for name, (_, what, _) in fields.items():
         if what != "text()":
-            value = (F.when if value is None else value.when)(F.col("rule") == name, attr(what))
-    of_text = [name for name, spec in fields.items() if spec[1] == "text()"]
-    found = None
-    if value is not None:
-        found = hits.filter(~F.col("rule").isin(of_text)).select("page_id", "rule", "pre", value.alias("value"))
-    if of_text:
-        wanted = hits.filter(F.col("rule").isin(of_text))
-        # One slice per node even when several fields want its text.
-        texts = text(wanted, nodes).withColumnRenamed("text", "value")
-        texts = wanted.select("page_id", "rule", "pre").join(texts, ["page_id", "pre"])
-        found = texts.select("page_id", "rule", "pre", "value") if found is None else found.unionByName(texts)
+            value = F.when(F.col("rule") == name, attr(what)).otherwise(value)
+    # One pass for all fields: an attribute's node is treated as a leaf, so it meets only itself.
+    hits = hits.select(
+        "page_id", "pre", F.when(of_text, F.col("last")).otherwise(F.col("pre")).alias("last"), "rule", value.alias("_value")
+    )
+    rows = nodes.select("page_id", "pre", F.when(F.col("kind") == 3, F.col("data")).alias("piece"))
+    found = assemble(hits, rows, "inline(array(struct(pre as at, piece)))", "_value", keys=("rule",))
+    found = found.select("page_id", "rule", "pre", F.when(of_text, F.col("joined")).otherwise(F.col("note")).alias("value"))
     columns = []
     for name, (_, _, which) in fields.items():
         mine = F.col("rule") == name

@@ -12,7 +12,8 @@ from domloom.plans.match import match
 from domloom.plans.selector import Selector, compile_selector
 
 
-def _compiled(selector: str | Selector) -> Selector:
+def compiled(selector: str | Selector) -> Selector:
+    """``selector`` itself, or the compiled text."""
     return selector if isinstance(selector, Selector) else compile_selector(selector)
 
 
@@ -29,7 +30,7 @@ def select(
     matches nothing; with ``on_error='raise'`` it raises.
     """
     try:
-        return match(nodes, _compiled(selector), scope, include_root)
+        return match(nodes, compiled(selector), scope, include_root)
     except SelectorParseError:
         if on_error == "raise":
             raise
@@ -84,7 +85,7 @@ def any_css_matches(nodes: DataFrame, selectors: list) -> DataFrame:
     parts = []
     for s in selectors:
         try:
-            parts.extend(_compiled(s).parts)
+            parts.extend(compiled(s).parts)
         except SelectorParseError:
             pass
     if not parts:

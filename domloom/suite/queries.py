@@ -52,7 +52,7 @@ def shred_counts(spark, sf):
 
 @query
 def token_counts(spark, sf):
-    return _n(tokens(pages(spark, sf)), "kind", "tag")
+    return _n(tokens(spread(pages(spark, sf))), "kind", "tag")
 
 
 @query
