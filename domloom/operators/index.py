@@ -6,30 +6,49 @@ from pyspark.sql import DataFrame
 
 from domloom.schema import INDEX_COLUMNS, NODE_COLUMNS
 
-_FAMILY = "partition by page_id, parent"
-_ORDERED = f"{_FAMILY} order by pre rows between unbounded preceding"
-_TYPED = "partition by page_id, parent, tag"
 # Nodes that make their parent non-empty: elements, and text with at least one character.
 _CONTENT = "kind = 1 or (kind = 3 and data <> '')"
 # Fixed names of the elements whose text is printed as it is.  They hold text only, so such an element
 # is the nearest element before its text.
 _VERBATIM = "'style', 'script', 'xmp', 'iframe', 'noembed', 'noframes', 'plaintext'"
-_NEAREST = "last(if(kind = 1, struct(pre, tag), null), true) over (partition by page_id order by pre rows between unbounded preceding and 1 preceding)"
-_EXPRESSIONS = [
-    "get(filter(attrs, a -> a.name = 'id'), 0).value as id",
-    "get(filter(attrs, a -> a.name = 'class'), 0).value as class",
-    f"cast(row_number() over ({_FAMILY} order by pre) as bigint) as sib_idx",
-    f"count(1) over ({_FAMILY}) as sib_n",
-    f"if(kind = 1, count(if(kind = 1, 1, null)) over ({_ORDERED} and current row), null) as el_idx",
-    f"""if(kind = 1, count(if(kind = 1, 1, null)) over ({_FAMILY})
-        - count(if(kind = 1, 1, null)) over ({_ORDERED} and current row) + 1, null) as el_rev""",
-    f"if(kind = 1, cast(row_number() over ({_TYPED} order by pre) as bigint), null) as ty_idx",
-    f"if(kind = 1, count(1) over ({_TYPED}) - row_number() over ({_TYPED} order by pre) + 1, null) as ty_rev",
-    f"last(if(kind = 1, pre, null), true) over ({_ORDERED} and 1 preceding) as prev_el",
-    f"""kind = 1 and coalesce(last(if({_CONTENT}, pre, null), true) over (
-        partition by page_id order by pre desc rows between unbounded preceding and 1 preceding) > last, true) as hollow""",
-    f"kind = 3 and coalesce({_NEAREST}.pre = parent and {_NEAREST}.tag in ({_VERBATIM}), false) as verbatim",
+
+_BEFORE = "rows between unbounded preceding and 1 preceding"
+_UPTO = "rows between unbounded preceding and current row"
+_TYPED = "partition by page_id, parent, tag"
+_FAMILY = "partition by page_id, parent"
+_PAGE = "partition by page_id order by pre"
+
+# One step per window partitioning, the finest first.
+_STEPS = [
+    [
+        f"row_number() over ({_TYPED} order by pre) as _ty",
+        f"count(1) over ({_TYPED}) as _ty_n",
+    ],
+    [
+        f"row_number() over ({_FAMILY} order by pre) as _sib",
+        f"count(1) over ({_FAMILY}) as sib_n",
+        f"count(if(kind = 1, 1, null)) over ({_FAMILY} order by pre {_UPTO}) as _el",
+        f"count(if(kind = 1, 1, null)) over ({_FAMILY}) as _el_n",
+        f"last(if(kind = 1, pre, null), true) over ({_FAMILY} order by pre {_BEFORE}) as prev_el",
+    ],
+    [
+        f"lead(if({_CONTENT}, pre, null), 1) ignore nulls over ({_PAGE}) as _next",
+        f"last(if(kind = 1, struct(pre, tag), null), true) over ({_PAGE} {_BEFORE}) as _near",
+    ],
 ]
+_COLUMNS = {
+    "id": "get(filter(attrs, a -> a.name = 'id'), 0).value",
+    "class": "get(filter(attrs, a -> a.name = 'class'), 0).value",
+    "sib_idx": "cast(_sib as bigint)",
+    "sib_n": "sib_n",
+    "el_idx": "if(kind = 1, _el, null)",
+    "el_rev": "if(kind = 1, _el_n - _el + 1, null)",
+    "ty_idx": "if(kind = 1, cast(_ty as bigint), null)",
+    "ty_rev": "if(kind = 1, _ty_n - _ty + 1, null)",
+    "prev_el": "prev_el",
+    "hollow": "kind = 1 and coalesce(_next > last, true)",
+    "verbatim": f"kind = 3 and coalesce(_near.pre = parent and _near.tag in ({_VERBATIM}), false)",
+}
 
 
 def without_index(nodes: DataFrame) -> DataFrame:
@@ -41,7 +60,7 @@ def has_index(nodes: DataFrame) -> bool:
     return set(INDEX_COLUMNS) <= set(nodes.columns)
 
 
-def with_index(nodes: DataFrame) -> DataFrame:
+def with_index(nodes: DataFrame, partitioned: bool = False) -> DataFrame:
     """Add the index columns, all computed inside one ``page_id`` partitioning.
 
     ``id``, ``class``: plain columns, so that filters on them reach the Parquet scan;
@@ -50,5 +69,14 @@ def with_index(nodes: DataFrame) -> DataFrame:
     one tag; ``prev_el``: label of the previous element sibling; ``hollow``: no element or text inside;
     ``verbatim``: text printed without escapes.
     The windows a query does not read are pruned by Catalyst, so this is free to apply early.
+
+    The page-wide step comes first, because its exchange serves the finer ones.  With
+    ``partitioned`` (rows already partitioned by page) it comes last and leaves each page in document
+    order, so that storing the rows needs no further sort.
     """
-    return nodes if has_index(nodes) else nodes.selectExpr(*NODE_COLUMNS, *_EXPRESSIONS)
+    if has_index(nodes):
+        return nodes
+    rows = nodes.select(*NODE_COLUMNS)
+    for step in _STEPS if partitioned else _STEPS[::-1]:
+        rows = rows.selectExpr("*", *step)
+    return rows.selectExpr(*NODE_COLUMNS, *[f"{_COLUMNS[c]} as {c}" for c in INDEX_COLUMNS])

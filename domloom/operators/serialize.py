@@ -51,9 +51,9 @@ def _prints(raw=False, without_closing=False, tag_with_ns=False, full_doctype=Fa
 def _html(contexts, nodes: DataFrame, inner: bool, prints, scope: str, include_root: bool) -> DataFrame:
     opening, closing = (f"if(pre = _lo, null, {p})" if inner else p for p in prints)
     # Of nodes that end together the deeper closes first.
-    items = f"""inline(array(
+    items = f"""inline(array_compact(array(
         struct(struct(pre as pos, 0 as phase, 0 as tie) as at, {opening} as piece),
-        struct(struct(last as pos, 1 as phase, -depth as tie) as at, {closing} as piece)))"""
+        if(kind = 1, struct(struct(last as pos, 1 as phase, -depth as tie) as at, {closing} as piece), null))))"""
     rows = with_index(nodes).select("page_id", "pre", "last", "depth", "kind", "ns", "tag", "attrs", "data", "verbatim")
     chosen = contexts_of(contexts, nodes, scope, include_root)
     return assemble(chosen, rows, items, "cast(depth as string)").withColumnRenamed("joined", "html")

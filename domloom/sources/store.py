@@ -35,7 +35,7 @@ def write_nodes(nodes: DataFrame, table: str, path: str, buckets: int = 8) -> Da
     """
     spark = nodes.sparkSession
     (
-        with_index(nodes.repartition(buckets, "page_id"))
+        with_index(nodes.repartition(buckets, "page_id"), partitioned=True)
         .write.format("parquet")
         .option("path", path)
         .bucketBy(buckets, "page_id")
