@@ -34,8 +34,8 @@ def scope_filter(scope: str, include_root: bool) -> Column:
     return inside | ((F.col("tag") == scope) & (F.col("depth") == 2)) if include_root else inside
 
 
-def _with_not_flags(nodes: DataFrame, parts: list[Complex]):
-    """Add one flag column per complex ``:not`` argument (an outer join with its matches)."""
+def _with_not_flags(rows: DataFrame, nodes: DataFrame, parts: list[Complex]):
+    """Add to ``rows`` one flag column per complex ``:not`` argument (an outer join with its matches)."""
     flags = {}
     for part in parts:
         for step in part.steps:
@@ -44,9 +44,9 @@ def _with_not_flags(nodes: DataFrame, parts: list[Complex]):
                     continue
                 name = f"_not{len(flags)}"
                 hits = match_parts(nodes, {0: [arg]}, "document", True).select("page_id", "pre", F.lit(True).alias(name))
-                nodes = nodes.join(hits, ["page_id", "pre"], "left")
+                rows = rows.join(hits, ["page_id", "pre"], "left")
                 flags[id(arg)] = F.coalesce(F.col(name), F.lit(False))
-    return nodes, lambda arg: flags[id(arg)]
+    return rows, lambda arg: flags[id(arg)]
 
 
 def match_parts(nodes: DataFrame, rules: dict, scope: str, include_root: bool) -> DataFrame:
@@ -54,7 +54,9 @@ def match_parts(nodes: DataFrame, rules: dict, scope: str, include_root: bool) -
     nodes = with_index(nodes)
     columns = nodes.columns
     parts = [(rule, p) for rule, ps in rules.items() for p in ps]
-    nodes, flag = _with_not_flags(nodes, [p for _, p in parts])
+    tags = {s.tag for _, p in parts for s in p.steps}
+    rows = nodes if None in tags else nodes.filter(F.col("tag").isin(sorted(tags)))
+    rows, flag = _with_not_flags(rows, nodes, [p for _, p in parts])
     in_scope = scope_filter(scope, include_root)
     roles, conditions = [], []
     for number, (rule, part) in enumerate(parts):
@@ -63,10 +65,7 @@ def match_parts(nodes: DataFrame, rules: dict, scope: str, include_root: bool) -
             cond = compound.column(flag) & in_scope if final else compound.column(flag)
             conditions.append(cond)
             roles.append((cond, f"named_struct('part', {number}, 'step', {step}, 'final', {str(final).lower()})"))
-    tags = {s.tag for _, p in parts for s in p.steps}
-    if None not in tags:
-        nodes = nodes.filter(F.col("tag").isin(sorted(tags)))
-    rows = nodes.filter(any_of(conditions))
+    rows = rows.filter(any_of(conditions))
     if len(roles) == 1:
         return rows.select(F.lit(parts[0][0]).alias("rule"), *columns)
     rows = rows.select(*columns, F.inline(F.array_compact(F.array(*[F.when(c, F.expr(role)) for c, role in roles]))))
