@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domloom.llm import licenses, packing, sharding, simhash, tokens, toxicity, urls
+from domloom.llm import licenses, minhash, packing, repeats, sharding, simhash, tokens, toxicity, urls
 from domloom.llm.common import table
 
 
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -40,5 +44,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_token_counts, op4_license_scan, op5_best_fit_packing, op6_toxicity, op7_byte_shards, op8_simhash)}
+def op10_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_components(table(spark, sf_dir, "documents"), 85)
+
+
+QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_url_filter, op3_token_counts, op4_license_scan, op5_best_fit_packing, op6_toxicity, op7_byte_shards, op8_simhash, op10_minhash_components)}
 ORACLES: dict[str, str] = {}
