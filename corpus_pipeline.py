@@ -12,6 +12,9 @@ from domloom.llm.common import shared_folder, table
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", stages.drop_toxic),
+    ("minhash_near_dedup", stages.drop_near_copies),
+    ("suffix_array_dedup", stages.cut_repeats),
+    ("benchmark_decontamination", stages.drop_contaminated),
     ("best_fit_packing", stages.pack_sequences),
 ]
 

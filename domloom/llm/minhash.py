@@ -254,3 +254,11 @@ def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id
     out = base.select("doc_id", "n", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.coalesce(component, F.lit(0)) == F.coalesce("doc_id", F.lit(0))).alias("kept"))
+
+
+def keep_one(docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, that are the least of their component; rows with null ids stay."""
+    kept = near_components(docs, percent, id_column, text_column).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.where(F.col(id_column).isNotNull())
+    own = rows.join(kept, rows[id_column] == kept["kept_id"], "left_semi")
+    return own.unionByName(docs.where(F.col(id_column).isNull()))

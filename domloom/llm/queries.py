@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from domloom.llm import licenses, minhash, packing, repeats, sharding, simhash, tokens, toxicity, urls
+from domloom.llm import decontaminate, licenses, minhash, packing, repeats, sharding, simhash, tokens, toxicity, urls
 from domloom.llm.common import table
 
 
@@ -44,9 +44,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(table(spark, sf_dir, "documents"), 85)
 
 
-QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_url_filter, op3_token_counts, op4_license_scan, op5_best_fit_packing, op6_toxicity, op7_byte_shards, op8_simhash, op10_minhash_components)}
+QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_url_filter, op3_token_counts, op4_license_scan, op5_best_fit_packing, op6_toxicity, op7_byte_shards, op8_simhash, op9_benchmark_leaks, op10_minhash_components)}
 ORACLES: dict[str, str] = {}

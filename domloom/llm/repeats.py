@@ -360,3 +360,35 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         F.when(F.col("copy"), F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(F.col("copy"), F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept", "digest")).alias("kept_sha256"),
     )
+
+
+def cut_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with the covered bytes taken out of the texts; all columns stay, ``n_chars`` follows the text.
+
+    A character that loses some of its bytes goes whole.  Rows of whose text nothing but white space is left after a
+    removal are dropped; all others stay, those with null ids, null or empty texts as they are.
+    """
+    _, copies, marks = covered(docs, id_column, text_column)
+    lost = copies.dropDuplicates(["doc_id", "digest"]).join(marks, ["doc_id", "digest"], "left").where("copy OR marks IS NOT NULL")
+    lost = lost.select(F.col("doc_id").alias("lost_id"), F.col("digest").alias("lost_digest"), "copy", "marks")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).cast("long").alias("id"), F.sha2(text_bytes(text_column), 256).alias("digest"))
+    joined = rows.join(lost, (F.col("id") == F.col("lost_id")) & (F.col("digest") == F.col("lost_digest")), "left").select("row", "copy", "marks")
+    names = docs.columns
+
+    def shorten(batches):
+        for batch in batches:
+            fields = dict(zip(names, batch.column("row").flatten()))
+            texts, keep = fields[text_column].to_pylist(), []
+            for i, (copy, own) in enumerate(zip(batch.column("copy").to_pylist(), batch.column("marks").to_pylist())):
+                if copy:
+                    texts[i] = ""
+                elif own:
+                    data = texts[i].encode()
+                    texts[i] = np.frombuffer(data, np.uint8)[~_flags(len(data), own)].tobytes().decode(errors="ignore")
+                keep.append(not (copy or own) or bool(texts[i].strip()))
+            fields[text_column] = pa.array(texts, fields[text_column].type)
+            if "n_chars" in fields:
+                fields["n_chars"] = pa.array([None if t is None else len(t) for t in texts], fields["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(fields.values()), names=names).filter(pa.array(keep, pa.bool_()))
+
+    return joined.mapInArrow(shorten, docs.schema)
