@@ -18,7 +18,8 @@ DIMENSIONS = 8
 GRAMS = (3, 4, 5)
 #: Bound of the training sample: labelled rows.
 SAMPLE = 10_000
-EPOCHS, RATE = 6, 0.5
+#: Examples seen in training, over as many passes as the sample needs; AdaGrad's rate.
+SEEN, RATE = 60_000, 0.5
 #: Bytes of a chunk of text handled at once; chunks end between words.
 CHUNK = 1 << 22
 
@@ -96,7 +97,7 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> np.ndarray:
     for t in texts:
         found = np.concatenate([features([p])[0] for p in chunks(t)])
         bags.append(np.unique(found, return_counts=True))
-    for _ in range(EPOCHS):
+    for _ in range(-(-SEEN // len(bags))):
         order = draw.permutation(len(bags))
         for i in range(0, len(order), 32):
             some = [j for j in order[i : i + 32] if len(bags[j][0])]
