@@ -10,11 +10,12 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from domloom import materialize, select, select_first, shred, spread  # noqa: E402
+from domloom import materialize, select, select_first, shred  # noqa: E402
 from domloom.functions.props import attr_rows  # noqa: E402
 from domloom.operators import axes, mutate, serialize  # noqa: E402
 from domloom.operators.select import body  # noqa: E402
@@ -40,15 +41,15 @@ def timed(job, runs=3):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, int(cpus))
+    spark = local_session(cpus, int(cpus), **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="domloom-bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     pages = corpora.pages(spark, sf_dir)
     n_pages = pages.count()
-    times = {"shred": timed(lambda: shred(spread(pages)))}
+    times = {"shred": timed(lambda: shred(pages.repartition(int(cpus))))}
     writes = []
     for _ in range(2):
         start = time.perf_counter()
-        materialize(spread(pages), buckets=int(cpus))
+        materialize(pages.repartition(int(cpus)), buckets=int(cpus))
         writes.append(time.perf_counter() - start)
     times["shred_index_write"] = round(min(writes), 3)
     n = corpora.page_nodes(spark, sf_dir)

@@ -7,3 +7,7 @@ row by row; they fail the Spark job, or are skipped and listed (see operators.mu
 
 class SelectorParseError(ValueError):
     """The selector text is not valid."""
+
+
+class UnsupportedSelector(ValueError):
+    """The selector is valid CSS but this library cannot evaluate it; never answered with an empty result."""

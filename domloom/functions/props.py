@@ -31,10 +31,6 @@ def is_empty_text_node() -> Column:
     return is_text() & ~F.coalesce(F.col("data"), F.lit("")).rlike(r"[^ \t\n\f\r]")
 
 
-def tag_name() -> Column:
-    return F.col("tag")
-
-
 def tag_id(tag: Column | None = None) -> Column:
     """Integer code of a tag name: the first 60 bits of its MD5.
 

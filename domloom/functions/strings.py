@@ -18,9 +18,3 @@ def escape_text(value: Column) -> Column:
     out = F.replace(out, F.lit("\u00a0"), F.lit("&nbsp;"))
     out = F.replace(out, F.lit("<"), F.lit("&lt;"))
     return F.replace(out, F.lit(">"), F.lit("&gt;"))
-
-
-def escape_attr(value: Column) -> Column:
-    out = F.replace(value, F.lit("&"), F.lit("&amp;"))
-    out = F.replace(out, F.lit("\u00a0"), F.lit("&nbsp;"))
-    return F.replace(out, F.lit('"'), F.lit("&quot;"))

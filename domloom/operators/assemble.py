@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from domloom.functions.props import is_text
 from domloom.operators.contain import contained_pairs
 from domloom.operators.select import compiled, select
 from domloom.plans.selector import any_of
@@ -32,6 +33,17 @@ def may_be_context(contexts) -> Column:
     return F.lit(True) if any(True for c in last for _ in c.complex_nots()) else any_of(c.column() for c in last)
 
 
+def with_piece(nodes: DataFrame, piece: Column, chosen: DataFrame, contexts) -> DataFrame:
+    """``(page_id, pre, piece)`` of the text rows, and a row without piece for every context, so that none is lost.
+
+    Contexts that a selector describes are flagged in the same scan; others come beside the text rows.
+    """
+    if isinstance(contexts, DataFrame):
+        own = chosen.select("page_id", "pre", F.lit(None).cast("string").alias("piece"))
+        return nodes.filter(is_text()).select("page_id", "pre", piece.alias("piece")).unionByName(own)
+    return nodes.filter(is_text() | may_be_context(contexts)).select("page_id", "pre", piece.alias("piece"))
+
+
 def assemble(contexts: DataFrame, nodes: DataFrame, items: str, note: str = "cast(null as string)", separator: str = "",
              keys: tuple = ()) -> DataFrame:
     """``(page_id, pre, *keys, joined, note)`` for every context.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from domloom.functions.props import attr
-from domloom.operators.assemble import assemble
+from domloom.operators.assemble import assemble, with_piece
 from domloom.operators.mutate import strip_tags
 from domloom.operators.select import select
 from domloom.operators.text import text
@@ -59,26 +59,28 @@ def extract_fields(pages: DataFrame, nodes: DataFrame, fields: dict, scope: str
     ``which`` ``'first'`` (a string, NULL when nothing matches) or ``'all'`` (an array in document order).
     """
     hits = match_rules(nodes, {name: spec[0] for name, spec in fields.items()}, scope)
-    of_text = F.col("rule").isin([name for name, spec in fields.items() if spec[1] == "text()"])
-    value = F.lit(None).cast("string")
-    for name, (_, what, _) in fields.items():
-        if what != "text()":
-            value = F.when(F.col("rule") == name, attr(what)).otherwise(value)
-    # One pass for all fields: an attribute's node is treated as a leaf, so it meets only itself.
-    hits = hits.select(
-        "page_id", "pre", F.when(of_text, F.col("last")).otherwise(F.col("pre")).alias("last"), "rule", value.alias("_value")
-    )
-    rows = nodes.select("page_id", "pre", F.when(F.col("kind") == 3, F.col("data")).alias("piece"))
-    found = assemble(hits, rows, "inline(array(struct(pre as at, piece)))", "_value", keys=("rule",))
-    found = found.select("page_id", "rule", "pre", F.when(of_text, F.col("joined")).otherwise(F.col("note")).alias("value"))
+    texts = [name for name, spec in fields.items() if spec[1] == "text()"]
+    found = None
+    if len(texts) < len(fields):
+        value = F.lit(None).cast("string")
+        for name, (_, what, _) in fields.items():
+            if what != "text()":
+                value = F.when(F.col("rule") == name, attr(what)).otherwise(value)
+        found = hits.filter(~F.col("rule").isin(texts)).select("page_id", "rule", "pre", value.alias("value"))
+    if texts:
+        contexts = hits.filter(F.col("rule").isin(texts)).select("page_id", "pre", "last", "rule")
+        rows = with_piece(nodes, F.col("data"), contexts, contexts)
+        joined = assemble(contexts, rows, "inline(array(struct(pre as at, piece)))", keys=("rule",))
+        joined = joined.select("page_id", "rule", "pre", F.col("joined").alias("value"))
+        found = joined if found is None else found.unionByName(joined)
     columns = []
     for name, (_, _, which) in fields.items():
         mine = F.col("rule") == name
         if which == "first":
             columns.append(F.min_by(F.when(mine, F.col("value")), F.when(mine, F.col("pre"))).alias(name))
         else:
-            rows = F.sort_array(F.collect_list(F.when(mine, F.struct("pre", "value"))))
-            columns.append(F.transform(rows, lambda r: r["value"]).alias(name))
+            listed = F.sort_array(F.collect_list(F.when(mine, F.struct("pre", "value"))))
+            columns.append(F.transform(listed, lambda r: r["value"]).alias(name))
     out = pages.select("page_id").join(found.groupBy("page_id").agg(*columns), "page_id", "left")
     filled = [
         F.coalesce(name, F.array().cast("array<string>")).alias(name) if spec[2] == "all" else F.col(name)

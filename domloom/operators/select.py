@@ -27,7 +27,8 @@ def select(
     """Matching node rows of every page, each once.
 
     ``scope`` is ``body`` (default), ``head`` or ``document``.  A selector that does not parse
-    matches nothing; with ``on_error='raise'`` it raises.
+    matches nothing; with ``on_error='raise'`` it raises.  Valid CSS that is not supported always raises
+    ``UnsupportedSelector``.
     """
     try:
         return match(nodes, compiled(selector), scope, include_root)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from domloom.functions.props import is_empty_text_node, is_text
 from domloom.functions.strings import trim_unicode
-from domloom.operators.assemble import assemble, contexts_of, may_be_context
+from domloom.operators.assemble import assemble, contexts_of, with_piece
 from domloom.operators.index import with_index
 from domloom.operators.targets import flagged
 
@@ -29,9 +29,8 @@ def text(contexts, nodes: DataFrame, strip: bool = False, per_fragment: bool = F
             used = used & ~is_empty_text_node()
         if strip:
             piece = trim_unicode(piece)
-    rows = with_index(nodes).filter(is_text() | may_be_context(contexts))
-    rows = rows.select("page_id", "pre", F.when(used, piece).alias("piece"))
     chosen = contexts_of(contexts, nodes, scope, include_root)
+    rows = with_piece(with_index(nodes), F.when(used, piece), chosen, contexts)
     items = "inline(array(struct(pre as at, piece)))"
     out = assemble(chosen, rows, items, "if(kind = 8, data, null)", separator if per_fragment else "")
     whole = F.coalesce("note", "joined")

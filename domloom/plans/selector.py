@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from domloom.errors import SelectorParseError
+from domloom.errors import SelectorParseError, UnsupportedSelector
 from domloom.functions.props import has_word
 from domloom.schema import ELEMENT
 
@@ -56,7 +56,7 @@ class Compound:
 
     def complex_nots(self):
         for test in self.tests:
-            if test[0] == "not":
+            if test[0] in ("not", "is"):
                 yield from (c for c in test[1] if len(c.steps) > 1)
                 yield from (n for c in test[1] for s in c.steps for n in s.complex_nots())
 
@@ -94,8 +94,6 @@ class Selector:
             raise ValueError(f"{self.text!r} needs more than one node to decide")
         return any_of(p.steps[0].column() for p in self.parts)
 
-    def may_hit(self, *tags: str) -> bool:
-        return any(p.steps[-1].tag is None or p.steps[-1].tag in tags for p in self.parts)
 
 
 def any_of(columns) -> Column:
@@ -156,11 +154,28 @@ def _test_empty(_flags):
     return F.col("hollow")
 
 
+def _test_is(flags, parts):
+    return any_of(part.steps[0].column(flags) if len(part.steps) == 1 else flags(part) for part in parts)
+
+
 def _test_not(flags, parts):
-    hits = []
-    for part in parts:
-        hits.append(part.steps[0].column(flags) if len(part.steps) == 1 else flags(part))
-    return ~any_of(hits)
+    return ~_test_is(flags, parts)
+
+
+def _test_state(_flags, name):
+    """Form and link states as the attributes alone decide them; a disabled fieldset does not reach its controls."""
+
+    def has(attribute):
+        return F.exists("attrs", lambda a: a["name"] == attribute)
+
+    tag = F.col("tag")
+    if name in ("link", "any-link"):
+        return tag.isin("a", "area") & has("href")
+    if name == "checked":
+        box = F.exists("attrs", lambda a: (a["name"] == "type") & F.lower(a["value"]).isin("checkbox", "radio"))
+        return ((tag == "input") & box & has("checked")) | ((tag == "option") & has("selected"))
+    control = tag.isin("button", "input", "select", "textarea", "optgroup", "option", "fieldset")
+    return control & (has("disabled") if name == "disabled" else ~has("disabled"))
 
 
 _TESTS = {
@@ -171,8 +186,18 @@ _TESTS = {
     "root": _test_root,
     "empty": _test_empty,
     "not": _test_not,
+    "is": _test_is,
+    "state": _test_state,
 }
 
+_STATES = ("link", "any-link", "checked", "disabled", "enabled")
+# Fixed names: pseudo-classes of CSS that need what the node table lacks, or are not built.
+_UNSUPPORTED = (
+    "active autofill blank current default defined dir focus focus-visible focus-within fullscreen future has host hover in-range "
+    "indeterminate invalid lang local-link modal muted nth-col nth-last-col open optional out-of-range past paused picture-in-picture "
+    "placeholder-shown playing popover-open read-only read-write required scope target target-within user-invalid user-valid valid visited"
+).split()
+
 # -- text -> description
 
 
@@ -255,12 +280,18 @@ class _Reader:
         return out
 
     def pseudo(self, name, call, out):
-        if call and name == "not":
-            out.tests.append(("not", self.selector_list(")")))
+        if call and name in ("not", "is", "where", "matches"):
+            out.tests.append(("not" if name == "not" else "is", self.selector_list(")")))
+        elif not call and name in _STATES:
+            out.tests.append(("state", name))
+        elif name in _UNSUPPORTED:
+            raise UnsupportedSelector(f":{name} in {self.text!r}")
         elif call and name in _NTH_COLUMN:
             stop = self.text.find(")", self.pos)
             nth = _an_plus_b(self.text[self.pos : stop]) if stop >= 0 else None
             if nth is None:
+                if stop >= 0 and _an_plus_b(self.text[self.pos : stop].partition(" of ")[0]):
+                    raise UnsupportedSelector(f":{name}(... of ...) in {self.text!r}")
                 self.fail()
             self.pos = stop + 1
             out.tests.append(("position", _NTH_COLUMN[name], *nth))

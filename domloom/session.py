@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -12,7 +11,6 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -38,15 +36,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh subfolder of the cluster's ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting gets a temporary folder; on a cluster the setting
-    must name storage that every executor can reach.
-    """
+    """A fresh subfolder of the session's ``spark.checkpoint.dir``, which every executor can reach."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="domloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{base.rstrip('/')}/domloom-{uuid.uuid4().hex}"

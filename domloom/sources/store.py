@@ -11,27 +11,29 @@ from domloom.session import shared_dir
 from domloom.sources.shred import shred
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """A pages parquet folder or file, only the columns the library uses."""
-    return spark.read.parquet(path).select("page_id", "url", "html")
+def read_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """A pages parquet folder or file, only the columns the library uses.
 
+    ``partitions`` deals the raw rows out anew, for files of few, large row groups; by default a task
+    reads one split (``spark.sql.files.maxPartitionBytes``) and nothing is moved.
+    """
+    pages = spark.read.parquet(path).select("page_id", "url", "html")
+    return pages if partitions is None else pages.repartition(partitions)
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Use all cores on an input with fewer splits than cores (one small file); else unchanged.
 
-    Parsing costs far more than moving the text.  Inputs of ordinary size have splits enough and are
-    not moved.  For plain scans: counting their splits runs no job.
-    """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+def duplicates(pages: DataFrame) -> DataFrame:
+    """``(page_id, n)`` of the ids that stand in several rows: such pages would share one tree."""
+    counts = pages.filter("page_id is not null").groupBy("page_id").count()
+    return counts.filter("count > 1").withColumnRenamed("count", "n")
 
 
-def write_nodes(nodes: DataFrame, table: str, path: str, buckets: int = 8) -> DataFrame:
+def write_nodes(nodes: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
     """Write a node table bucketed by page and return it as read back.
 
     One shuffle on ``page_id`` feeds both the sibling-position windows and the bucketed files, and
-    later page-wise windows, aggregations and joins on the table need no shuffle at all.  Give
-    ``buckets`` so that one bucket is about 1 GB (for 100 TB of nodes, about 100,000).
+    later page-wise windows, aggregations and joins on the table need no shuffle at all, as long as
+    the session that reads has the settings of ``domloom.session.tune``.  Give ``buckets`` so that one
+    bucket is about 1 GB (for 100 TB of nodes, about 100,000).
     """
     spark = nodes.sparkSession
     (
@@ -46,7 +48,7 @@ def write_nodes(nodes: DataFrame, table: str, path: str, buckets: int = 8) -> Da
     return spark.table(table)
 
 
-def materialize(pages: DataFrame, buckets: int = 8) -> DataFrame:
+def materialize(pages: DataFrame, buckets: int) -> DataFrame:
     """Shred ``pages`` into a written node table in the session's shared folder."""
     spark = pages.sparkSession
     name = f"domloom_nodes_{uuid.uuid4().hex}"

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # A script or style element is one token, so its text never counts as markup.
 TOKEN = (
     r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
-    r"""|<(?:[a-z/!?](?:"[^"]*"|'[^']*'|[^'">])*)>|[^<]+|<"""
+    # Possessive and unrolled: no step of the regex engine per character, so tags of any length pass.
+    r"""|<[a-z/!?][^"'>]*+(?:"[^"]*+"[^"'>]*+|'[^']*+'[^"'>]*+)*+>|[^<]++|<"""
 )
 
 

@@ -7,12 +7,14 @@ elements, none of which the raw pages have.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domloom.functions.strings import escape_text
 from domloom.session import tune
-from domloom.sources.store import materialize, read_pages, spread
+from domloom.sources.store import materialize, read_pages
 
 _written: dict[tuple, DataFrame] = {}
 
@@ -21,6 +23,15 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_pages(spark, f"{sf_dir}/pages.parquet")
 
 
+def session(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, and a folder for written tables where it names none (local runs)."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="domloom-"))
+    return tune(spark)
+
+
 def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     number = F.col("n_chars").cast("string")
@@ -44,8 +55,8 @@ def _nodes(spark: SparkSession, sf_dir: str, corpus) -> DataFrame:
     """The corpus's node table, written once per application and folder."""
     key = (spark.sparkContext.applicationId, sf_dir, corpus.__name__)
     if key not in _written:
-        tune(spark)
-        _written[key] = materialize(spread(corpus(spark, sf_dir)), buckets=spark.sparkContext.defaultParallelism)
+        cores = session(spark).sparkContext.defaultParallelism
+        _written[key] = materialize(corpus(spark, sf_dir).repartition(cores), buckets=cores)
     return _written[key]
 
 

@@ -110,7 +110,10 @@ ORACLES = {
         FROM parts JOIN (SELECT page_id, sum(n) AS total FROM tags GROUP BY ALL) USING (page_id)""",
     "id_class": """SELECT doc_id AS page_id, 'div' AS tag, 'doc-' || doc_id AS id, 'doc ' || lang || '  ' || source AS class,
           3::BIGINT AS n_classes, true AS is_doc, false AS has_disabled, false AS names_disabled FROM documents
-        UNION ALL SELECT doc_id, 'input', NULL, NULL, 0, false, false, true FROM documents""",
+        UNION ALL SELECT doc_id, 'input', NULL, NULL, 0, false, false, true FROM documents
+        UNION ALL SELECT doc_id, 'ul', NULL, 'meta', 1, false, false, false FROM documents
+        UNION ALL SELECT doc_id, unnest(['html', 'head', 'body', 'ul', 'li', 'li', 'li']), NULL, NULL, 0, false, false, false FROM documents
+        UNION ALL SELECT doc_id, 'p', NULL, NULL, 0, false, false, false FROM (SELECT doc_id, unnest(string_split(text, chr(10))) FROM documents)""",
     "has_class": """SELECT page_id, len(regexp_extract_all(html, 'class="ad"'))::BIGINT AS n FROM pages""",
     "class_hist": """SELECT class, count(*) AS n FROM (SELECT unnest(['doc', 'meta', lang, source]) AS class FROM documents) GROUP BY ALL""",
     "attr_long": f"""WITH {LINKS} SELECT page_id, 'html' AS tag, 'lang' AS name, lang AS value FROM parts
@@ -123,11 +126,11 @@ ORACLES = {
     "any_css_matches": f"WITH {TAGS} SELECT page_id, tag, n::BIGINT AS n FROM tags WHERE tag IN ('h1', 'br')",
     "doc_matches": "SELECT page_id, contains(html, '<p><b>') AS matches FROM pages",
     "sel_tag": f"WITH {PARAS} SELECT page_id, i::BIGINT AS match_idx, text FROM paras",
-    "sel_from": f"WITH {PARAS} SELECT page_id, i::BIGINT AS match_idx, text FROM paras",
+    "sel_from": f"WITH {BLOCKS} SELECT page_id, sum(n_b)::BIGINT AS n FROM blocks WHERE tag = 'p' GROUP BY ALL HAVING sum(n_b) > 0",
     "sel_first": f"WITH {PARAS} SELECT page_id, text FROM paras WHERE i = 1",
     "tags": f"WITH {LINKS} SELECT page_id, i::BIGINT AS match_idx, {_decoded('anchor')} AS text FROM links",
     "compiled": _p("SELECT page_id, len(hrefs)::BIGINT AS n, hrefs[1] AS first_href FROM parts WHERE len(hrefs) > 0"),
-    "first_from": f"WITH {LINKS} SELECT page_id, i::BIGINT AS match_idx, href FROM links",
+    "first_from": f"WITH {BLOCKS} SELECT page_id, count(*) AS n, count(*) AS n_outermost FROM blocks WHERE tag = 'p' AND n_b > 0 GROUP BY ALL",
     "sel_universal": f"WITH {BODY_TAGS} SELECT page_id, sum(n)::BIGINT AS n FROM body_tags GROUP BY ALL",
     "sel_class": _p(f"SELECT page_id, 1::BIGINT AS match_idx, {_decoded('ad')} AS text FROM parts"),
     "sel_id": "SELECT doc_id AS page_id, 'div' AS tag, 'doc-7' AS id FROM documents WHERE doc_id = 7",
@@ -145,6 +148,16 @@ ORACLES = {
     "sel_sibling": f"WITH {PARAS} SELECT page_id, count(*) AS n FROM paras WHERE i > 1 GROUP BY ALL",
     "sel_list": f"""WITH {PARAS} SELECT page_id, (i + 1)::BIGINT AS match_idx, 'p' AS tag FROM paras
         UNION ALL SELECT page_id, 1, 'h1' FROM parts""",
+    "sel_is": f"""WITH {BLOCKS}, hits AS (
+          SELECT page_id, 'flat' AS rule, len(hrefs) + 1 AS n FROM parts
+          UNION ALL SELECT page_id, 'nested', count(*) FILTER (tag = 'footer' OR n_b > 0) FROM blocks GROUP BY ALL)
+        SELECT page_id, rule, n::BIGINT AS n FROM hits WHERE n > 0""",
+    "sel_states": f"""WITH {LINES} SELECT doc_id AS page_id, unnest(['disabled', 'not_enabled']) AS rule, 1::BIGINT AS n FROM documents""",
+    "sel_links": f"WITH {LINKS} SELECT page_id, count(*) AS n FROM links GROUP BY ALL",
+    "duplicate_ids": "SELECT page_id, 2::BIGINT AS n FROM pages",
+    "attr_map": """SELECT doc_id AS page_id, 'doc-' || doc_id AS id, 2::BIGINT AS n FROM documents""",
+    "remove": f"""WITH {BODY_TAGS} SELECT page_id, sum(n)::BIGINT AS n FROM body_tags WHERE tag NOT IN ('nav', 'ul', 'li', 'a') GROUP BY ALL""",
+    "written": f"WITH {TAGS} SELECT page_id, sum(n)::BIGINT AS n FROM (SELECT page_id, n FROM tags UNION ALL SELECT page_id, n + 3 FROM texts) GROUP BY ALL",
     "sel_not": f"""WITH {PARAS} SELECT page_id, (len(hrefs) - 1)::BIGINT AS n, 'flat' AS part FROM parts WHERE len(hrefs) > 1
         UNION ALL SELECT page_id, count(*), 'nested' FROM paras WHERE i > 1 GROUP BY ALL""",
     "sel_nth_child": f"""WITH {PARAS}, hits AS (
@@ -190,15 +203,28 @@ ORACLES = {
     "match_order": f"""WITH {PARAS} SELECT page_id, unnest(range(1, len(hrefs) + 1)) AS match_idx, 'a' AS tag FROM parts
         UNION ALL SELECT page_id, len(hrefs) + 1, 'h1' FROM parts
         UNION ALL SELECT page_id, len(hrefs) + 1 + i, 'p' FROM paras JOIN parts USING (page_id)""",
-    "sibling_index": f"""WITH {PARAS} SELECT page_id, 'p' AS tag, (i + 1)::BIGINT AS sib_idx, (n + 1)::BIGINT AS sib_n,
-          (i + 1)::BIGINT AS el_idx, (n - i + 1)::BIGINT AS el_rev, i::BIGINT AS ty_idx, (n - i + 1)::BIGINT AS ty_rev FROM paras
-        UNION ALL SELECT page_id, 'h1', 1, n + 1, 1, n + 1, 1, 1 FROM paras WHERE i = 1""",
+    "sibling_index": f"""WITH {PARAS}, blocks AS (SELECT * FROM (WITH {BLOCKS} SELECT page_id, ev, n_b FROM blocks)), own AS (
+          SELECT page_id, 'p' AS tag, i + 1 AS sib_idx, n + 1 AS sib_n, i + 1 AS el_idx, n - i + 1 AS el_rev, i AS ty_idx, n - i + 1 AS ty_rev FROM paras
+          UNION ALL SELECT page_id, 'h1', 1, n + 1, 1, n + 1, 1, 1 FROM paras WHERE i = 1
+          UNION ALL SELECT page_id, unnest(['html', 'head', 'body', 'nav', 'div', 'article', 'footer', 'meta', 'title', 'style', 'script', 'ul']),
+            unnest([2, 1, 2, 1, 3, 4, 5, 1, 2, 3, 4, 1]), unnest([2, 2, 2, 5, 5, 5, 5, 4, 4, 4, 4, 1]), unnest([1, 1, 2, 1, 2, 3, 4, 1, 2, 3, 4, 1]),
+            unnest([1, 2, 1, 4, 3, 2, 1, 4, 3, 2, 1, 1]), 1, 1 FROM parts
+          UNION ALL SELECT page_id, 'li', i, n, i, n - i + 1, i, n - i + 1 FROM (SELECT page_id, generate_subscripts(hrefs, 1) AS i, len(hrefs) AS n FROM parts)
+          UNION ALL SELECT page_id, 'a', 1, 1, 1, 1, 1, 1 FROM (SELECT page_id, unnest(hrefs) FROM parts)
+          UNION ALL SELECT page_id, 'b', 1, 1, 1, 1, 1, 1 FROM (SELECT page_id, unnest(range(n_b)) FROM blocks)
+          UNION ALL SELECT page_id, 'br', 2, 2, 1, 1, 1, 1 FROM blocks WHERE ev = '<p><b>')
+        SELECT page_id, tag, sib_idx::BIGINT AS sib_idx, sib_n::BIGINT AS sib_n, el_idx::BIGINT AS el_idx, el_rev::BIGINT AS el_rev,
+          ty_idx::BIGINT AS ty_idx, ty_rev::BIGINT AS ty_rev FROM own""",
     "coll_nodes": f"WITH {LINKS} SELECT page_id, (i - 1)::BIGINT AS idx, href FROM links",
     "coll_len": f"WITH {BLOCKS} SELECT page_id, sum(n_b)::BIGINT AS len, sum(n_b) = 0 AS is_empty FROM blocks GROUP BY ALL",
     "coll_get": f"WITH {LINKS} SELECT page_id, href FROM links WHERE i = 3",
-    "text_own": _p(f"""SELECT page_id, {_decoded('title')} AS text FROM parts
+    "text_own": f"""WITH {LINKS} SELECT page_id, {_decoded('title')} AS text FROM parts
         UNION ALL SELECT page_id, regexp_extract(html, '<style>(.*?)</style>', 1) FROM parts
-        UNION ALL SELECT page_id, regexp_extract(html, '<script>(.*?)</script>', 1) FROM parts"""),
+        UNION ALL SELECT page_id, regexp_extract(html, '<script>(.*?)</script>', 1) FROM parts
+        UNION ALL SELECT page_id, {_decoded('unnest([ad, h1, footer])')} FROM parts
+        UNION ALL SELECT page_id, {_decoded('anchor')} FROM links
+        UNION ALL SELECT page_id, comment FROM parts
+        UNION ALL SELECT page_id, {_decoded('t')} FROM (SELECT page_id, unnest(regexp_extract_all(article, '<p>(?:<b>)?([^<]*)', 1)) AS t FROM parts)""",
     "text_deep": _p(f"""SELECT page_id, {_decoded("regexp_replace(article, '<[^>]*>', '', 'g')")} AS text FROM parts"""),
     "text_nested": f"""WITH {LINKS}, whole AS (SELECT page_id, {_decoded("array_to_string(anchors, '')")} AS t FROM parts)
         SELECT page_id, unnest(['nav', 'ul']) AS tag, t AS text FROM whole
@@ -211,7 +237,9 @@ ORACLES = {
           SELECT doc_id, string_agg(regexp_replace(line, '^\\s+|\\s+$', '', 'g'), ' / ' ORDER BY i) AS t
           FROM lines WHERE NOT regexp_matches(line, {BLANK}) GROUP BY doc_id)
         SELECT doc_id AS page_id, concat_ws(' / ', t, lang, source, n_chars) AS text FROM documents LEFT JOIN kept USING (doc_id)""",
-    "raw_value": f"WITH {LINES} SELECT doc_id AS page_id, hex(encode(line)) AS raw FROM lines WHERE line <> ''",
+    "raw_value": f"""WITH {LINES}, texts AS (SELECT doc_id, line AS t FROM lines WHERE line <> '' UNION ALL SELECT doc_id, chr(10) FROM lines
+          UNION ALL SELECT doc_id, unnest([chr(10) || ' ', lang, source, n_chars::VARCHAR]) FROM documents)
+        SELECT doc_id AS page_id, hex(encode(t)) AS raw FROM texts""",
     "outer_html": "SELECT page_id, regexp_extract(html, '<nav>.*</nav>') AS html FROM pages",
     "inner_html": "SELECT page_id, regexp_extract(html, '<nav><ul>(.*)</ul></nav>', 1) AS html FROM pages",
     "outer_html_docs": f"""WITH {LINES}, body AS (

@@ -14,10 +14,10 @@ from domloom.plans.selector import compile_selector
 from domloom.session import shared_dir
 from domloom.sources import sql as sql_face
 from domloom.sources.shred import shred
-from domloom.sources.store import spread
+from domloom.sources.store import duplicates, materialize
 from domloom.sources.tokens import tokens
 from domloom.streaming.extract import read_page_stream, run_extract
-from domloom.suite.corpora import doc_nodes, doc_pages, page_nodes, pages
+from domloom.suite.corpora import doc_nodes, doc_pages, page_nodes, pages, session
 
 QUERIES = {}
 
@@ -47,12 +47,12 @@ def _attrs(hits: DataFrame, name: str) -> DataFrame:
 @query
 def shred_counts(spark, sf):
     """The shred job itself, straight from the raw pages."""
-    return shred(spread(pages(spark, sf))).groupBy(F.col("kind").cast("long").alias("kind"), "tag").agg(F.count(F.lit(1)).alias("n"))
+    return shred(pages(spark, sf)).groupBy(F.col("kind").cast("long").alias("kind"), "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def token_counts(spark, sf):
-    return _n(tokens(spread(pages(spark, sf))), "kind", "tag")
+    return _n(tokens(pages(spark, sf)), "kind", "tag")
 
 
 @query
@@ -128,7 +128,7 @@ def has_attr(spark, sf):
 
 @query
 def id_class(spark, sf):
-    n = doc_nodes(spark, sf).filter("tag in ('div', 'input')")
+    n = doc_nodes(spark, sf).filter(props.is_element())
     return n.select(
         "page_id",
         "tag",
@@ -185,8 +185,7 @@ def sel_tag(spark, sf):
 @query
 def sel_from(spark, sf):
     n = page_nodes(spark, sf)
-    hits = s.select_from(n, s.select(n, "article"), "body p")
-    return _texts(hits, n)
+    return _n(s.select_from(n, s.select(n, "article"), "body b"), "page_id")
 
 
 @query
@@ -213,7 +212,8 @@ def compiled(spark, sf):
 @query
 def first_from(spark, sf):
     n = page_nodes(spark, sf)
-    return _attrs(s.first_from(n, s.select(n, "li"), "a"), "href")
+    hits = s.first_from(n, s.select(n, "p"), "b")
+    return hits.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("parent") == F.col("scope_pre")).alias("n_outermost"))
 
 
 @query
@@ -308,6 +308,51 @@ def sel_not(spark, sf):
     return flat.unionByName(nested)
 
 
+@query
+def sel_is(spark, sf):
+    n = page_nodes(spark, sf)
+    flat = _n(jobs.match_rules(n, {"flat": ":is(h1, nav a)"}), "page_id", "rule")
+    nested = s.select(n, "footer, :is(article > p) > b:first-child")
+    return flat.unionByName(_n(nested, "page_id").withColumn("rule", F.lit("nested")))
+
+
+@query
+def sel_states(spark, sf):
+    rules = {"disabled": "input:disabled", "not_enabled": "input:not(:enabled)"}
+    return _n(jobs.match_rules(doc_nodes(spark, sf), rules), "page_id", "rule")
+
+
+@query
+def sel_links(spark, sf):
+    return _n(s.select(page_nodes(spark, sf), ":link"), "page_id")
+
+
+@query
+def duplicate_ids(spark, sf):
+    """Ids that stand in several rows: every page is read twice."""
+    p = pages(spark, sf)
+    return duplicates(p.unionByName(p))
+
+
+@query
+def attr_map(spark, sf):
+    own = s.select(doc_nodes(spark, sf), "div").select("page_id", props.attributes().alias("attrs"))
+    return own.select("page_id", F.col("attrs")["id"].alias("id"), F.size("attrs").cast("long").alias("n"))
+
+
+@query
+def remove(spark, sf):
+    n = mutate.remove(page_nodes(spark, sf), "nav")
+    return _n(s.select(n, "*"), "page_id")
+
+
+@query
+def written(spark, sf):
+    """A node table written in buckets and read back."""
+    n = materialize(pages(session(spark), sf), buckets=8)
+    return _n(n, "page_id")
+
+
 @query
 def sel_nth_child(spark, sf):
     n = page_nodes(spark, sf)
@@ -433,8 +478,7 @@ def match_order(spark, sf):
 @query
 def sibling_index(spark, sf):
     n = page_nodes(spark, sf)
-    hits = s.select(n, "article > *")
-    return hits.select("page_id", "tag", "sib_idx", "sib_n", "el_idx", "el_rev", "ty_idx", "ty_rev")
+    return n.filter(props.is_element()).select("page_id", "tag", "sib_idx", "sib_n", "el_idx", "el_rev", "ty_idx", "ty_rev")
 
 
 @query
@@ -460,8 +504,7 @@ def coll_get(spark, sf):
 @query
 def text_own(spark, sf):
     n = page_nodes(spark, sf)
-    own = n.select("page_id", "pre", "depth", props.text_content().alias("text"), "in_head").filter("text is not null and in_head")
-    return own.select("page_id", "text")
+    return n.select("page_id", props.text_content().alias("text")).filter("text is not null")
 
 
 @query
@@ -509,8 +552,7 @@ def text_fragments(spark, sf):
 @query
 def raw_value(spark, sf):
     n = doc_nodes(spark, sf)
-    kids = axes.first_child(s.select(n, "p"), n)
-    return kids.select("page_id", F.hex(props.raw_value()).alias("raw"))
+    return n.filter(props.is_text()).select("page_id", F.hex(props.raw_value()).alias("raw"))
 
 
 @query
@@ -682,7 +724,7 @@ def clean_text(spark, sf):
 
 @query
 def stream_extract(spark, sf):
-    out = shared_dir(spark)
+    out = shared_dir(session(spark))
     stream = read_page_stream(spark, f"{sf}/pages*.parquet")
 
     def links(batch):
@@ -695,7 +737,7 @@ def stream_extract(spark, sf):
 @query
 def sql_nodes(spark, sf):
     sql_face.register(spark)
-    spread(pages(spark, sf)).createOrReplaceTempView("domloom_pages")
+    pages(spark, sf).createOrReplaceTempView("domloom_pages")
     return spark.sql(
         """SELECT p.page_id, n.tag, count(*) AS n
            FROM domloom_pages p, LATERAL html_nodes(p.html) n
