@@ -30,7 +30,7 @@ from domloom.llm.common import cut, text_bytes
 LENGTH, GRAM = 50, 20
 WINDOW = LENGTH - GRAM + 1
 #: Bytes of text handled at once in a task, and bytes of text for each bucket of names.
-CHUNK, BUCKET = 4 << 20, 16 << 20
+CHUNK, BUCKET = 1 << 20, 16 << 20
 #: A name is widely shared beyond so many texts, or beyond this share of all entries: at most 1/WIDE_SHARE such names.
 WIDE, WIDE_SHARE = 5_000, 1e-5
 
@@ -53,7 +53,7 @@ def _rolling(buffer: np.ndarray, k: int, base: int) -> np.ndarray:
     if n < k:
         return np.zeros(0, np.uint64)
     if base not in _powers or len(_powers[base][0]) < n:
-        m = max(n, 1 << 20)
+        m = n + (1 << 16)
         _powers[base] = np.cumprod(np.full(m, base, np.uint64)), np.cumprod(np.full(m, pow(base, -1, 1 << 64), np.uint64))
     up, down = _powers[base]
     total = np.zeros(n + 1, np.uint64)
@@ -90,25 +90,43 @@ def _chunked(batches):
     """Rows of the batches as lists of about CHUNK bytes of text; the text is the last column."""
     rows, held = [], 0
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        for row in zip(*columns):
-            rows.append(row)
-            held += len(row[-1])
-            if held >= CHUNK:
-                yield rows
-                rows, held = [], 0
+        for i in range(0, batch.num_rows, 256):
+            for row in zip(*(c.to_pylist() for c in batch.slice(i, 256).columns)):
+                rows.append(row)
+                held += len(row[-1])
+                if held >= CHUNK:
+                    yield rows
+                    rows, held = [], 0
     if rows:
         yield rows
 
 
+def _parts(text: bytes) -> list[tuple[int, bytes]]:
+    """The text in parts of bounded size, with their offsets; each string of LENGTH bytes starts in one of them."""
+    return [(i, text[i : i + CHUNK + LENGTH - 1]) for i in range(0, max(1, len(text) - LENGTH + 1), CHUNK)]
+
+
+def _regrouped(rows):
+    """The chunk's texts as bytes, those of more than a chunk in parts of their own."""
+    small = []
+    for cls, text in rows:
+        data = text.encode()
+        if len(data) <= 4 * CHUNK:
+            small.append((cls, data))
+        else:
+            yield from ([(cls, part)] for _, part in _parts(data))
+    if small:
+        yield small
+
+
 def _enter(buckets: int):
     """Rows (bucket, entries, texts, many) of a chunk's names: 5 bytes of name and the number of its text; the texts' classes;
     and (class, name) pairs that the chunk itself shows to be shared."""
 
     def enter(batches):
-        for rows in _chunked(batches):
+        for rows in (group for chunk in _chunked(batches) for group in _regrouped(chunk)):
             classes = np.array([r[0] for r in rows], np.int64)
-            _, names, valid, owner = _names([r[1].encode() for r in rows], buckets)
+            _, names, valid, owner = _names([r[1] for r in rows], buckets)
             starts = np.flatnonzero(valid & np.concatenate([[True], (names[1:] != names[:-1]) | (owner[1:] != owner[:-1])]))
             distinct, index = np.unique(classes, return_inverse=True)
             name, text = names[starts], index[owner[starts]]
@@ -194,20 +212,20 @@ def _runs(text: bytes, found: np.ndarray, buckets: int):
     return starts, ends, names[starts]
 
 
-def _suffixes(buckets: int, widely):
+def _suffixes(buckets: int):
     """Rows (bucket, packed): the stretches of text that hang on shared names, packed by name bucket."""
 
     def suffixes(batches):
         for rows in _chunked(batches):
             found_, start_, doc_, text_ = [], [], [], []
             for doc, names, text in rows:
-                own = np.setdiff1d(np.array(names, np.int64), widely.value)
-                data = text.encode()
-                a, b, name = _runs(data, own, buckets)
-                found_.append(name)
-                start_.append(a)
-                doc_.append(np.full(len(a), doc, np.int64))
-                text_ += [data[x : y + LENGTH - 1] for x, y in zip(a.tolist(), b.tolist())]
+                own = np.array(names, np.int64)
+                for offset, data in _parts(text.encode()):
+                    a, b, name = _runs(data, own, buckets)
+                    found_.append(name)
+                    start_.append(a + offset)
+                    doc_.append(np.full(len(a), doc, np.int64))
+                    text_ += [data[x : y + LENGTH - 1] for x, y in zip(a.tolist(), b.tolist())]
             name, start, doc = map(np.concatenate, (found_, start_, doc_))
             order = np.argsort(name, kind="stable")
             name, start, doc = name[order], start[order], doc[order]
@@ -268,23 +286,18 @@ def _merged(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(doc[hit]), "start": pa.array(start[hit]), "mask": pa.array(masks[hit])})
 
 
-def _prefixes(buckets: int, widely):
+def _prefixes(buckets: int):
     """(h1, h2, doc_id, start) of every string that hangs on a widely shared name."""
 
     def prefixes(batches):
-        for batch in batches:
-            for doc, names, text in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.intersect1d(np.array(names, np.int64), widely.value)
-                if not len(own):
-                    continue
-                data = text.encode()
-                a, b, _ = _runs(data, own, buckets)
-                at = np.repeat(a, b - a) + np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
-                buffer = np.frombuffer(data, np.uint8)
-                yield pa.RecordBatch.from_pydict({
-                    "h1": _rolling(buffer, LENGTH, _BASES[0])[at].view(np.int64), "h2": _rolling(buffer, LENGTH, _BASES[1])[at].view(np.int64),
-                    "doc_id": np.full(len(at), doc, np.int64), "start": at.astype(np.int64),
-                })
+        for rows in _chunked(batches):
+            for doc, names, text in rows:
+                for offset, data in _parts(text.encode()):
+                    a, b, _ = _runs(data, np.array(names, np.int64), buckets)
+                    at = np.repeat(a, b - a) + np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
+                    buffer = np.frombuffer(data, np.uint8)
+                    h1, h2 = (_rolling(buffer, LENGTH, base)[at].view(np.int64) for base in _BASES)
+                    yield pa.RecordBatch.from_pydict({"h1": h1, "h2": h2, "doc_id": np.full(len(at), doc, np.int64), "start": at + offset})
 
     return prefixes
 
@@ -292,7 +305,6 @@ def _prefixes(buckets: int, widely):
 def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, copies, marks): every row's id, size and digest; which rows copy an earlier text; and the marks
     (doc_id, digest, list of (start, mask)) of the others that lose bytes."""
-    spark = docs.sparkSession
     texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     content = text_bytes(text_column)
     rows = cut(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.octet_length(content).cast("long").alias("n_bytes"), F.sha2(content, 256).alias("digest"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("class")))
@@ -302,19 +314,20 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     entered = docs.where(F.octet_length(text_column) >= LENGTH).where(F.col(id_column).isNotNull()).select(F.xxhash64(text_column).alias("class"), F.col(text_column).alias("text"))
     pairs = cut(entered.mapInArrow(_enter(buckets), _ENTERED).groupBy("bucket").applyInArrow(_shared, "class long, name long"))
     many = max(WIDE, int(pairs.count() * WIDE_SHARE))
-    wide = pairs.groupBy("name").count().where(F.col("count") > many).select("name").toArrow()["name"].to_numpy()
-    widely = spark.sparkContext.broadcast(np.sort(wide))
-    of_class = pairs.groupBy("class").agg(F.collect_list("name").alias("names"))  # as many as a text has samples
-    asked = cut(of_class.join(owners.where(F.col("n") >= LENGTH).select("class", F.col("owner").alias("doc_id"), "digest"), "class").select("doc_id", "digest", "names"))
-    text_of = texts.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest")).select("doc_id", "names", "text")
-    merged = text_of.mapInArrow(_suffixes(buckets, widely), "bucket int, packed binary").groupBy("bucket").applyInArrow(_merged, "doc_id long, start long, mask long")
-    if len(wide):
-        strings = cut(text_of.mapInArrow(_prefixes(buckets, widely), "h1 long, h2 long, doc_id long, start long"))
-        least = strings.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-        merged = merged.unionByName(strings.join(least, ["h1", "h2"]).where("doc_id > least").select("doc_id", "start", F.lit(1).cast("long").alias("mask")))
+    wide = pairs.groupBy("name").count().where(F.col("count") > many).select("name", F.lit(True).alias("wide"))  # at most 1 / WIDE_SHARE rows
+    flagged = pairs.join(F.broadcast(cut(wide)), "name", "left")
+    of_class = flagged.groupBy("class").agg(  # as many as a text has samples
+        F.collect_list(F.when(F.col("wide").isNull(), F.col("name"))).alias("names"), F.collect_list(F.when(F.col("wide"), F.col("name"))).alias("widely")
+    )
+    asked = cut(of_class.join(owners.where(F.col("n") >= LENGTH).select("class", F.col("owner").alias("doc_id"), "digest"), "class").select("doc_id", "digest", "names", "widely"))
+    # The three joins with the texts are one plan, in which Spark moves the texts once.
+    text_of = texts.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest"))
+    merged = text_of.select("doc_id", "names", "text").mapInArrow(_suffixes(buckets), "bucket int, packed binary").groupBy("bucket").applyInArrow(_merged, "doc_id long, start long, mask long")
+    strings = text_of.where(F.size("widely") > 0).select("doc_id", "widely", "text").mapInArrow(_prefixes(buckets), "h1 long, h2 long, doc_id long, start long")
+    least = strings.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    merged = merged.unionByName(strings.join(least, ["h1", "h2"]).where("doc_id > least").select("doc_id", "start", F.lit(1).cast("long").alias("mask")))
     listed = merged.groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))  # bounded by the text
-    # An id with several texts: each text's own marks cannot be told apart by the id alone, so the digest is kept.
-    marks = cut(listed.join(asked.select("doc_id", "digest"), "doc_id"))
+    marks = listed.join(asked.select("doc_id", "digest"), "doc_id")
     copies = rows.join(owners.select("digest", "owner"), "digest", "left").select("doc_id", "digest", "n_bytes", (F.coalesce(F.col("owner") < F.col("doc_id"), F.lit(False)) & (F.col("n_bytes") >= LENGTH)).alias("copy"))
     return texts, copies, marks
 
