@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from domloom.operators.contain import contained
+from domloom.operators.contain import contained_pairs
 from domloom.operators.index import without_index
 from domloom.operators.targets import flagged
 from domloom.schema import DOCUMENT, ELEMENT, NODE_COLUMNS
@@ -160,11 +160,8 @@ def clone_subtree(contexts: DataFrame, nodes: DataFrame) -> DataFrame:
 
     ``clone_of`` is the label of the copied root; ``(page_id, clone_of)`` names the new tree.
     """
-    roots = contexts.select("page_id", "pre", "last")
-    rows = contained(roots, nodes, include_self=True, name="_root")
-    at = F.col("_root_pre")
-    depth = contexts.select("page_id", F.col("pre").alias("_root_pre"), F.col("depth").alias("_root_depth"))
-    rows = rows.join(depth, ["page_id", "_root_pre"])
+    rows = contained_pairs(contexts, nodes.select(*NODE_COLUMNS), True, "depth as _root_depth")
+    at = F.col("_lo")
     moved = {
         "pre": F.col("pre") - at,
         "last": F.col("last") - at,

@@ -25,8 +25,10 @@ def run_extract(pages: DataFrame, job: Callable[[DataFrame], DataFrame], out: st
     """Apply ``job`` (pages -> rows) to every micro-batch and write its rows below ``out``.
 
     Each batch owns the folder ``batch=<id>`` and overwrites it, so a batch replayed after a failure
-    leaves the same rows.  Runs until the files present now are done.
+    leaves the same rows.  Runs until the files present now are done.  A folder without rows is written first, so
+    that ``out`` can be read, with the job's columns, when the source holds no file.
     """
+    job(pages.sparkSession.createDataFrame([], pages.schema)).write.mode("overwrite").parquet(f"{out}/batch=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         job(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")

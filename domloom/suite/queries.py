@@ -204,9 +204,8 @@ def tags(spark, sf):
 def compiled(spark, sf):
     n = page_nodes(spark, sf)
     selector = compile_selector("nav li > a")
-    counts = _n(s.select(n, selector), "page_id")
-    first = s.select_first(n, selector).select("page_id", attr("href").alias("first_href"))
-    return counts.join(first, "page_id")
+    hits = s.select(n, selector)
+    return hits.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.min_by(attr("href"), "pre").alias("first_href"))
 
 
 @query

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from domloom import select, shred, with_index
-from domloom.operators import axes, mutate, serialize
+from domloom.operators import axes, jobs, mutate, serialize
 from domloom.operators.text import text
 from domloom.suite.corpora import page_nodes, pages
 from domloom.suite.queries import QUERIES
@@ -70,6 +70,23 @@ def test_filters_and_columns_reach_the_scan(nodes):
     assert "EqualTo(id,x)" in plan(select(nodes, "#x"))
 
 
+@pytest.mark.parametrize("contexts", ["p", "frame"])
+def test_text_reads_text_rows(nodes, contexts):
+    """Only text rows and the contexts themselves are read, however the contexts are given."""
+    p = plan(text(axes.children(select(nodes, "article"), nodes) if contexts == "frame" else contexts, nodes))
+    for filters in re.findall(r"PushedFilters: \[(.*?)\]", p):
+        assert "kind" in filters or "parent" in filters, filters
+
+
+def test_attribute_fields_need_no_interval_join(spark, nodes):
+    fields = {"a": ("nav a", "href", "first"), "b": ("li a", "href", "all")}
+    assert "_block" not in plan(jobs.extract_fields(pages(spark, SF), nodes, fields))
+
+
+def test_clone_joins_once(nodes):
+    assert plan(mutate.clone_subtree(select(nodes, "nav"), nodes)).count("Join ") == 1
+
+
 def test_unused_index_windows_are_pruned(spark):
     n = with_index(shred(pages(spark, SF)))
     assert "Window" not in plan(n.filter("tag = 'p'").select("page_id", "pre"))

@@ -59,6 +59,13 @@ def test_stream_equals_batch_and_replay_is_safe(spark, tmp_path):
     assert stream_nodes(read_page_stream(spark, str(source))).isStreaming
 
 
+def test_stream_without_files_gives_an_empty_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = read_page_stream(spark, str(tmp_path / "in"))
+    run_extract(stream, lambda b: select(shred(b), "p").select("page_id", "pre"), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).select("page_id", "pre").count() == 0
+
+
 def test_shared_dir_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark).startswith(base) and shared_dir(spark) != shared_dir(spark)
