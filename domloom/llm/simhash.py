@@ -42,7 +42,7 @@ def votes(rows: DataFrame, keys: list[str], text: Column) -> DataFrame:
     ``rows`` may carry a partitioning by a subset of ``keys``; then nothing is shuffled.
     """
     exploded = rows.select(*keys, F.posexplode_outer(_shingle_hashes(text)).alias("pos", "h")).select(
-        *keys, (F.coalesce(F.col("pos"), F.lit(0)) / PART).cast("int").alias("piece"), "h", F.xxhash64("h", F.lit(1)).alias("g")
+        *keys, (F.coalesce(F.col("pos"), F.lit(0)) / PART).cast("int").alias("piece"), "h", F.when(F.col("h").isNotNull(), F.xxhash64("h", F.lit(1))).alias("g")
     )
     mask = 1 | (1 << LANE) | (1 << (2 * LANE))
     lanes = [
