@@ -185,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str
             model = train(texts, marks)
         yield pa.RecordBatch.from_pydict({"model": pa.array([model.tobytes()], pa.binary())})
 
-    return np.frombuffer(examples.mapInArrow(learn, "model binary").collect()[0].model, np.float32)
+    learnt = examples.mapInArrow(learn, "model binary").collect()
+    return np.frombuffer(learnt[0].model, np.float32) if learnt else np.append(np.zeros(ROWS, np.float32), np.float32(-30))
 
 
 def held_out(doc_id):
