@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from domloom.llm import decontaminate, licenses, minhash, packing, repeats, sharding, simhash, tokens, toxicity, urls
 from domloom.llm.common import table
+from domloom.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,4 +54,3 @@ def op10_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_url_filter, op3_token_counts, op4_license_scan, op5_best_fit_packing, op6_toxicity, op7_byte_shards, op8_simhash, op9_benchmark_leaks, op10_minhash_components)}
-ORACLES: dict[str, str] = {}
