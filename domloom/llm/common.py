@@ -2,13 +2,44 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows that Spark hands to Python at once.  Rows are whole texts here; the default, 10,000, would be tens of megabytes.
+ROWS_AT_ONCE = 500
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: Python workers are kept for later tasks, and so would be their heaps."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(batches_to_batches):
+    """The same function for mapInArrow, which gives memory back when its task ends."""
+
+    def run(batches):
+        try:
+            yield from batches_to_batches(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    in_small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -26,7 +26,7 @@ EDITS = 0.1
 ANCHORS, SAMPLES = 8, 3
 RECALL, MOST_REPETITIONS = 0.99, 32
 #: Bytes of documents handled at once, and bytes of items held at once in each worker.
-CHUNK, ITEM_BLOCK = 2 << 20, 64 << 20
+CHUNK, ITEM_BLOCK = 1 << 19, 64 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[:48] = _BREAK[58:65] = _BREAK[91:97] = _BREAK[123:128] = True

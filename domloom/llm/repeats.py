@@ -21,16 +21,17 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.llm.common import cut, text_bytes
+from domloom.llm.common import cut, give_back, text_bytes, tidy
 
 LENGTH, GRAM = 50, 20
 WINDOW = LENGTH - GRAM + 1
 #: Bytes of text handled at once in a task, and bytes of text for each bucket of names.
-CHUNK, BUCKET = 1 << 20, 16 << 20
+CHUNK, BUCKET = 1 << 19, 8 << 20
 #: A name is widely shared beyond so many texts, or beyond this share of all entries: at most 1/WIDE_SHARE such names.
 WIDE, WIDE_SHARE = 5_000, 1e-5
 
@@ -193,7 +194,9 @@ def _shared(table: pa.Table) -> pa.Table:
         several = (np.minimum.reduceat(cls, first) != np.maximum.reduceat(cls, first)) | ~np.minimum.reduceat(one, first)
         keep = np.repeat(several, size) & one
         done.append(np.stack([cls[keep], name[keep]], 1))
+        del names, classes, alone, name, cls, one, order
     pairs = np.concatenate(done)
+    give_back()
     return pa.table({"class": pa.array(pairs[:, 0]), "name": pa.array(pairs[:, 1])})
 
 
@@ -283,6 +286,7 @@ def _merged(table: pa.Table) -> pa.Table:
         np.bitwise_or.at(masks, i + row[later], np.int64(1) << bit[later])
         i = stop
     hit = masks != 0
+    give_back()
     return pa.table({"doc_id": pa.array(doc[hit]), "start": pa.array(start[hit]), "mask": pa.array(masks[hit])})
 
 
@@ -312,7 +316,7 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     owners = cut(first)
     buckets = max(1, -(-(rows.agg(F.sum("n_bytes")).first()[0] or 0) // BUCKET))
     entered = docs.where(F.octet_length(text_column) >= LENGTH).where(F.col(id_column).isNotNull()).select(F.xxhash64(text_column).alias("class"), F.col(text_column).alias("text"))
-    pairs = cut(entered.mapInArrow(_enter(buckets), _ENTERED).groupBy("bucket").applyInArrow(_shared, "class long, name long"))
+    pairs = cut(entered.mapInArrow(tidy(_enter(buckets)), _ENTERED).groupBy("bucket").applyInArrow(_shared, "class long, name long"))
     many = max(WIDE, int(pairs.count() * WIDE_SHARE))
     wide = pairs.groupBy("name").count().where(F.col("count") > many).select("name", F.lit(True).alias("wide"))  # at most 1 / WIDE_SHARE rows
     flagged = pairs.join(F.broadcast(cut(wide)), "name", "left")
@@ -322,8 +326,8 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     asked = cut(of_class.join(owners.where(F.col("n") >= LENGTH).select("class", F.col("owner").alias("doc_id"), "digest"), "class").select("doc_id", "digest", "names", "widely"))
     # The three joins with the texts are one plan, in which Spark moves the texts once.
     text_of = texts.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest"))
-    merged = text_of.select("doc_id", "names", "text").mapInArrow(_suffixes(buckets), "bucket int, packed binary").groupBy("bucket").applyInArrow(_merged, "doc_id long, start long, mask long")
-    strings = text_of.where(F.size("widely") > 0).select("doc_id", "widely", "text").mapInArrow(_prefixes(buckets), "h1 long, h2 long, doc_id long, start long")
+    merged = text_of.select("doc_id", "names", "text").mapInArrow(tidy(_suffixes(buckets)), "bucket int, packed binary").groupBy("bucket").applyInArrow(_merged, "doc_id long, start long, mask long")
+    strings = text_of.where(F.size("widely") > 0).select("doc_id", "widely", "text").mapInArrow(tidy(_prefixes(buckets)), "h1 long, h2 long, doc_id long, start long")
     least = strings.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
     merged = merged.unionByName(strings.join(least, ["h1", "h2"]).where("doc_id > least").select("doc_id", "start", F.lit(1).cast("long").alias("mask")))
     listed = merged.groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))  # bounded by the text
@@ -332,18 +336,25 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     return texts, copies, marks
 
 
-def _flags(size: int, marks) -> np.ndarray:
+def _flags(size: int, start: np.ndarray, mask: np.ndarray) -> np.ndarray:
     """Which bytes the marks cover."""
-    change = np.zeros(size + 1, np.int32)
-    start = np.array([m["start"] for m in marks], np.int64)
-    mask = np.array([m["mask"] for m in marks], np.int64)
-    for bit in range(WINDOW):
-        at = start[(mask >> bit) & 1 == 1] + bit
-        np.add.at(change, at, 1)
-        np.add.at(change, at + LENGTH, -1)
+    row, bit = np.nonzero((mask[:, None] >> np.arange(WINDOW)) & 1)
+    at = start[row] + bit
+    change = np.bincount(at, minlength=size + 1) - np.bincount(at + LENGTH, minlength=size + 1)
     return np.cumsum(change[:-1]) > 0
 
 
+def _slices(batches):
+    """The batches in parts of few rows, each with a function that gives row i's marks as (starts, masks)."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, 256):
+            part = batch.slice(k, 256)
+            lists = part.column("marks")
+            stop = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            start, mask = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+            yield part, lambda i, start=start, mask=mask, stop=stop: (start[stop[i - 1] if i else 0 : stop[i]], mask[stop[i - 1] if i else 0 : stop[i]])
+
+
 def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -353,11 +364,11 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     texts, copies, marks = covered(docs, id_column, text_column)
 
     def removed(batches):
-        for batch in batches:
+        for batch, marks_of in _slices(batches):
             out = []
-            for doc, digest, own, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "digest", "marks", "text"))):
+            for i, (doc, digest, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "digest", "text")))):
                 data = text.encode()
-                gone = _flags(len(data), own)
+                gone = _flags(len(data), *marks_of(i))
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                 spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum())
                 out.append((doc, digest, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
@@ -365,7 +376,7 @@ def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["doc_id", "digest", "removed", "spans", "kept"])
 
     whole = texts.join(marks, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest"))
-    lost = whole.mapInArrow(removed, "doc_id long, digest string, removed long, spans long, kept string").dropDuplicates(["doc_id", "digest"])
+    lost = whole.mapInArrow(tidy(removed), "doc_id long, digest string, removed long, spans long, kept string").dropDuplicates(["doc_id", "digest"])
     out = copies.join(lost, ["doc_id", "digest"], "left")
     return out.select(
         "doc_id", "n_bytes",
@@ -389,19 +400,20 @@ def cut_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     names = docs.columns
 
     def shorten(batches):
-        for batch in batches:
+        for batch, marks_of in _slices(batches):
             fields = dict(zip(names, batch.column("row").flatten()))
             texts, keep = fields[text_column].to_pylist(), []
-            for i, (copy, own) in enumerate(zip(batch.column("copy").to_pylist(), batch.column("marks").to_pylist())):
+            for i, copy in enumerate(batch.column("copy").to_pylist()):
+                start, mask = marks_of(i)
                 if copy:
                     texts[i] = ""
-                elif own:
+                elif len(start):
                     data = texts[i].encode()
-                    texts[i] = np.frombuffer(data, np.uint8)[~_flags(len(data), own)].tobytes().decode(errors="ignore")
-                keep.append(not (copy or own) or bool(texts[i].strip()))
+                    texts[i] = np.frombuffer(data, np.uint8)[~_flags(len(data), start, mask)].tobytes().decode(errors="ignore")
+                keep.append(not (copy or len(start)) or bool(texts[i].strip()))
             fields[text_column] = pa.array(texts, fields[text_column].type)
             if "n_chars" in fields:
                 fields["n_chars"] = pa.array([None if t is None else len(t) for t in texts], fields["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(fields.values()), names=names).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(shorten, docs.schema)
+    return joined.mapInArrow(tidy(shorten), docs.schema)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from domloom.llm import decontaminate, minhash, packing, repeats, toxicity
-from domloom.llm.common import table
+from domloom.llm.common import in_small_batches, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,11 +16,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the least id, of each component of documents alike in 0.8 of their five-word shingles."""
+    in_small_batches(spark)
     return minhash.keep_one(docs, 80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 bytes or more that an earlier document has are cut out; documents of nothing else go."""
+    in_small_batches(spark)
     return repeats.cut_texts(docs)
 
 

@@ -13,15 +13,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from domloom.llm.common import give_back, tidy
+
 ROWS = 1 << 17
 DIMENSIONS = 8
 GRAMS = (3, 4, 5)
 #: Bound of the training sample: labelled rows.
-SAMPLE = 10_000
+SAMPLE = 6_000
 #: Examples seen in training, over as many passes as the sample needs; AdaGrad's rate.
 SEEN, RATE = 60_000, 0.5
 #: Bytes of a chunk of text handled at once; chunks end between words.
-CHUNK = 1 << 22
+CHUNK = 1 << 18
 
 
 def _hash(h, c):
@@ -96,7 +98,8 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> np.ndarray:
     bags = []
     for t in texts:
         found = np.concatenate([features([p])[0] for p in chunks(t)])
-        bags.append(np.unique(found, return_counts=True))
+        own, times = np.unique(found, return_counts=True)
+        bags.append((own, times.astype(np.float32)))
     for _ in range(-(-SEEN // len(bags))):
         order = draw.permutation(len(bags))
         for i in range(0, len(order), 32):
@@ -152,7 +155,7 @@ def score(texts: list[bytes], model: np.ndarray) -> np.ndarray:
             group.append(part)
             names.append(i)
             held += len(part)
-            if held > CHUNK // 4:
+            if held > CHUNK:
                 flush()
                 held = 0
     flush()
@@ -183,6 +186,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str
             model[-1] = 30 if share == 1 else -30
         else:
             model = train(texts, marks)
+            texts.clear()
+            give_back()
         yield pa.RecordBatch.from_pydict({"model": pa.array([model.tobytes()], pa.binary())})
 
     learnt = examples.mapInArrow(learn, "model binary").collect()
@@ -202,7 +207,7 @@ def keep_clean(docs: DataFrame, model: np.ndarray, text_column: str = "text", bo
             scores = score([(t or "").encode() for t in batch.column(text_column).to_pylist()], shared.value)
             yield batch.filter(pa.array(scores < bound))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(tidy(clean), docs.schema)
 
 
 def rate(docs: DataFrame, model: np.ndarray, id_column: str = "doc_id", text_column: str = "text", bound: float = 0.3) -> DataFrame:
@@ -219,7 +224,7 @@ def rate(docs: DataFrame, model: np.ndarray, id_column: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(scored, "doc_id long, score double").select(
+    return rows.mapInArrow(tidy(scored), "doc_id long, score double").select(
         "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= bound).cast("int").alias("predicted"),
     )
