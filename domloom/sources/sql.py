@@ -16,9 +16,11 @@ _ROW = T.StructType([f for f in NODES.fields if f.name != "page_id"])
 
 
 class _HtmlNodes:
-    def eval(self, html: str):
+    def eval(self, html):
         if html is None:
             return
+        if isinstance(html, (bytes, bytearray)):
+            html = bytes(html).decode("utf-8", "replace")
         columns = defaultdict(list)
         PageTree(html).emit(None, columns)
         yield from zip(*(columns[n] for n in _ROW.fieldNames()))

@@ -5,6 +5,7 @@ import pytest
 from check import compare, connect
 from domloom import materialize, rejects, select, shred
 from domloom.session import shared_dir
+from domloom.sources import sql as sql_face
 from domloom.sources.tokens import tokens
 from domloom.streaming.extract import read_page_stream, run_extract, stream_nodes
 from domloom.suite.corpora import pages
@@ -66,6 +67,13 @@ def test_stream_without_files_gives_an_empty_table(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).select("page_id", "pre").count() == 0
 
 
+def test_table_function_takes_binary_pages(spark):
+    sql_face.register(spark)
+    spark.createDataFrame([(1, bytearray(b"<p class=k>a\xff"))], "id int, html binary").createOrReplaceTempView("domloom_binary")
+    rows = spark.sql("SELECT n.tag, n.data, n.attrs FROM domloom_binary p, LATERAL html_nodes(p.html) n WHERE n.in_body").collect()
+    assert [(r.tag, r.data) for r in rows] == [("p", None), ("", "a\ufffd")] and rows[0].attrs[0].value == "k"
+
+
 def test_shared_dir_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark).startswith(base) and shared_dir(spark) != shared_dir(spark)
