@@ -5,7 +5,9 @@ neighbours in that order.  The first candidates tie every document to the least
 its shallowest shared prefix, which is linear in the group's size and joins groups of true copies at once.  Regions
 that still hold several components are looked at again: a region too large for one task takes a longer
 prefix, and one too large even at full depth is dealt out in pairs of blocks; there, only pairs of different
-components whose whole signatures agree about enough are candidates.  Every candidate is confirmed on the full sets.
+components whose whole signatures agree about enough are candidates.  Such candidates are not written out: documents
+that chains of them tie together form a family, whose texts meet once (in pairs of blocks, if it is large).  Every
+candidate is confirmed on the full sets.
 Texts with equal sets are one class and enter once.  Components come from the confirmed links by star contraction.
 """
 
@@ -19,12 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.llm.common import cut
+from domloom.llm.common import cut, tidy
 
 WORDS = 5
 TREES, DEPTH, SHALLOW = 16, 5, 2
 #: Documents of a region that one task compares.
-REGION = 1000
+REGION = 500
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.zeros(256, bool)
@@ -120,7 +122,7 @@ def _sets(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             )
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(digests, "doc_id long, n long, digest binary, sig binary")
+    return rows.mapInArrow(tidy(digests), "doc_id long, n long, digest binary, sig binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -169,26 +171,71 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(confirm), "a long, b long")
 
 
 def _alike(least: int):
-    """Pairs of one region with different components and at least so many equal signature values."""
+    """(a, b) for every document of a region with a partner of another component and at least so many equal signature
+    values: itself and the least document that a chain of such partners reaches.  As many rows as documents at most."""
 
-    def pairs(table: pa.Table) -> pa.Table:
-        ids, comps = table["rep"].to_numpy(), table["component"].to_numpy()
-        side = table["side"].to_numpy()
+    def chains(table: pa.Table) -> pa.Table:
+        ids, comps, side = (table[c].to_numpy() for c in ("rep", "component", "side"))
         sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(len(ids), -1)
-        a, b = [], []
+        label = ids.copy()
+        met = np.zeros(len(ids), bool)
         for i in range(len(ids)):
             other = slice(i + 1, None)
             near = ((sigs[other] == sigs[i]).sum(1) >= least) & (comps[other] != comps[i]) & ((side[other] != side[i]) | (side[i] == 2))
-            at = np.flatnonzero(near) + i + 1
-            a.append(np.maximum(ids[at], ids[i]))
-            b.append(np.minimum(ids[at], ids[i]))
-        return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
-
-    return pairs
+            at = np.append(np.flatnonzero(near) + i + 1, i)
+            if len(at) > 1:
+                met[at] = True
+                own = np.unique(label[at])
+                if len(own) > 1:
+                    label[np.isin(label, own)] = own[0]
+        return pa.table({"a": pa.array(ids[met], pa.int64()), "b": pa.array(label[met], pa.int64())})
+
+    return chains
+
+
+def _linked(percent: int):
+    """Links (a, b) of a family, or of two of its blocks, that join different components, confirmed on the full sets."""
+
+    def links(table: pa.Table) -> pa.Table:
+        ids, comps, side = (table[c].to_numpy() for c in ("rep", "component", "side"))
+        sets = [shingle_set(t.encode()) for t in table["text"].to_pylist()]
+        size = np.fromiter(map(len, sets), np.int64, len(sets))
+        begin = np.cumsum(size) - size
+        known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        mark = np.zeros(len(known), np.int64)
+        root, a, b = comps.copy(), [], []
+        for i in range(len(ids) - 1):
+            own = flat[begin[i] : begin[i] + size[i]]
+            mark[own] = 1
+            rest = begin[i + 1]
+            both = np.add.reduceat(mark[flat[rest:]], begin[i + 1 :] - rest)
+            mark[own] = 0
+            near = (100 * both >= percent * (size[i] + size[i + 1 :] - both)) & ((side[i + 1 :] != side[i]) | (side[i] == 2))
+            for j in np.flatnonzero(near) + i + 1:
+                if root[i] != root[j]:
+                    a.append(max(ids[i], ids[j]))
+                    b.append(min(ids[i], ids[j]))
+                    root[root == max(root[i], root[j])] = min(root[i], root[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return links
+
+
+def _dealt(rows: DataFrame, key: str, region: int) -> DataFrame:
+    """Rows with the pair of blocks (i, j) they meet in; ``members`` counts the rows of the key.
+
+    A key of up to ``region`` rows is one block; a larger one is dealt out so that each block meets each other one once
+    (sides 0 and 1) and itself (side 2).
+    """
+    blocks = F.ceil(F.col("members") / region).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    each = rows.withColumns({"blocks": blocks, "own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), F.lit(2)).otherwise((F.col("own") > F.col("other")).cast("int"))
+    return each.withColumns({"key": F.col(key), "i": F.least("own", "other"), "j": F.greatest("own", "other"), "side": side})
 
 
 def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text", region: int = REGION) -> DataFrame:
@@ -235,21 +282,20 @@ def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id
         open_ = rest.groupBy(key).agg(F.count("*").alias("members"), F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select(key, "members")
         rest = rest.join(open_, key)
         small = rest if depth == DEPTH else rest.where(F.col("members") <= region)
-        blocks = F.ceil(F.col("members") / region).cast("int")
-        own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-        dealt = small.withColumns({"blocks": blocks, "own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "rep", "component", "sig", F.col(key).alias("key"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") == F.col("other"), F.lit(2)).otherwise((F.col("own") > F.col("other")).cast("int")).alias("side"),
-        )
-        # A block meets each other one across, and itself whole.
+        dealt = _dealt(small, key, region).select("rep", "component", "sig", "key", "i", "j", "side")
         more.append(dealt.groupBy("key", "i", "j").applyInArrow(_alike(least), "a long, b long"))
         rest = rest.where(F.col("members") > region).drop("members")
         if depth < DEPTH:
             rest = cut(rest)
             if rest.isEmpty():
                 break
-    found = cut(reduce(DataFrame.unionByName, more).distinct().join(stars, ["a", "b"], "left_anti"))
-    final = components(links.unionByName(_confirmed(found, texts, percent)))
+    family = components(reduce(DataFrame.unionByName, more)).withColumnRenamed("component", "family")
+    sizes = family.groupBy("family").agg(F.count("*").alias("members"))
+    own = named.groupBy("rep").agg(F.first("component").alias("component"))
+    open_ = family.join(sizes, "family").withColumnRenamed("node", "rep").join(own, "rep").join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    dealt = _dealt(open_, "family", region).select("rep", "component", "text", "key", "i", "j", "side")
+    found = dealt.groupBy("key", "i", "j").applyInArrow(_linked(percent), "a long, b long")
+    final = components(links.unionByName(found))
     classes = reps.select("digest", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("c"))
     out = base.select("doc_id", "n", "digest").join(classes, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
