@@ -60,8 +60,16 @@ class Compound:
                 yield from (c for c in test[1] if len(c.steps) > 1)
                 yield from (n for c in test[1] for s in c.steps for n in s.complex_nots())
 
+    def relatives(self):
+        """The arguments of every ``:has()``, those inside ``:is()`` and ``:not()`` too."""
+        for test in self.tests:
+            if test[0] == "has":
+                yield from test[1]
+            elif test[0] in ("not", "is"):
+                yield from (r for c in test[1] for s in c.steps for r in s.relatives())
+
     def column(self, not_flag=None) -> Column:
-        """Boolean, never-NULL Column; ``not_flag`` maps a complex ``:not`` argument to its flag Column."""
+        """Boolean, never-NULL Column; ``not_flag`` maps a complex ``:not`` or a ``:has`` argument to its flag Column."""
         cond = F.col("kind") == ELEMENT
         if self.tag:
             cond = cond & (F.col("tag") == self.tag)
@@ -78,6 +86,14 @@ class Complex:
     combinators: list[str | None]
 
 
+@dataclass
+class Relative:
+    """What ``:has()`` looks for: a combinator and one compound."""
+
+    combinator: str
+    step: Compound
+
+
 @dataclass
 class Selector:
     text: str
@@ -86,7 +102,11 @@ class Selector:
     @property
     def is_flat(self) -> bool:
         """No combinators anywhere: one filter decides a match."""
-        return all(len(p.steps) == 1 and not any(True for _ in p.steps[0].complex_nots()) for p in self.parts)
+
+        def alone(step):
+            return not any(True for _ in step.complex_nots()) and not any(True for _ in step.relatives())
+
+        return all(len(p.steps) == 1 and alone(p.steps[0]) for p in self.parts)
 
     def column(self) -> Column:
         """The match condition of a flat selector."""
@@ -162,6 +182,10 @@ def _test_not(flags, parts):
     return ~_test_is(flags, parts)
 
 
+def _test_has(flags, parts):
+    return any_of(flags(part) for part in parts)
+
+
 def _test_state(_flags, name):
     """Form and link states as the attributes alone decide them; a disabled fieldset does not reach its controls."""
 
@@ -187,13 +211,14 @@ _TESTS = {
     "empty": _test_empty,
     "not": _test_not,
     "is": _test_is,
+    "has": _test_has,
     "state": _test_state,
 }
 
 _STATES = ("link", "any-link", "checked", "disabled", "enabled")
 # Fixed names: pseudo-classes of CSS that need what the node table lacks, or are not built.
 _UNSUPPORTED = (
-    "active autofill blank current default defined dir focus focus-visible focus-within fullscreen future has host hover in-range "
+    "active autofill blank current default defined dir focus focus-visible focus-within fullscreen future host hover in-range "
     "indeterminate invalid lang local-link modal muted nth-col nth-last-col open optional out-of-range past paused picture-in-picture "
     "placeholder-shown playing popover-open read-only read-write required scope target target-within user-invalid user-valid valid visited"
 ).split()
@@ -258,6 +283,26 @@ class _Reader:
             combinators.append(m[1] or " ")
             steps.append(self.compound())
 
+    def relative_list(self):
+        """Arguments of ``:has()``: a compound each, with or without a combinator before it."""
+        out = []
+        while True:
+            self.take(re.compile(_SPACE))
+            m = self.take(_COMBINATOR)
+            part = self.complex(")")
+            step = part.steps[0]
+            if any(True for s in part.steps for _ in s.relatives()):
+                self.fail()
+            if len(part.steps) > 1 or any(True for _ in step.complex_nots()):
+                raise UnsupportedSelector(f":has() with combinators inside in {self.text!r}")
+            out.append(Relative(m[1] if m else " ", step))
+            closing = self.text[self.pos : self.pos + 1]
+            self.pos += 1
+            if closing == ")":
+                return out
+            if closing != ",":
+                self.fail()
+
     def compound(self):
         start, out = self.pos, Compound()
         m = self.take(_TYPE)
@@ -282,6 +327,8 @@ class _Reader:
     def pseudo(self, name, call, out):
         if call and name in ("not", "is", "where", "matches"):
             out.tests.append(("not" if name == "not" else "is", self.selector_list(")")))
+        elif call and name == "has":
+            out.tests.append(("has", self.relative_list()))
         elif not call and name in _STATES:
             out.tests.append(("state", name))
         elif name in _UNSUPPORTED:

@@ -152,6 +152,11 @@ ORACLES = {
           SELECT page_id, 'flat' AS rule, len(hrefs) + 1 AS n FROM parts
           UNION ALL SELECT page_id, 'nested', count(*) FILTER (tag = 'footer' OR n_b > 0) FROM blocks GROUP BY ALL)
         SELECT page_id, rule, n::BIGINT AS n FROM hits WHERE n > 0""",
+    "sel_has": f"""WITH {BLOCKS}, own AS (SELECT page_id, n_b > 0 AS bold, count(*) OVER (PARTITION BY page_id) AS n FROM blocks WHERE tag = 'p')
+        SELECT page_id, unnest(['below', 'child']) AS rule, count(*) AS n FROM own WHERE bold GROUP BY page_id
+        UNION ALL SELECT page_id, 'none', count(*) FROM own WHERE NOT bold GROUP BY page_id
+        UNION ALL SELECT page_id, 'next', n - 1 FROM own GROUP BY page_id, n HAVING n > 1
+        UNION ALL SELECT page_id, unnest(['later', 'then']), 1 FROM own GROUP BY page_id""",
     "sel_states": f"""WITH {LINES} SELECT doc_id AS page_id, unnest(['disabled', 'not_enabled']) AS rule, 1::BIGINT AS n FROM documents""",
     "sel_links": f"WITH {LINKS} SELECT page_id, count(*) AS n FROM links GROUP BY ALL",
     "duplicate_ids": "SELECT page_id, 2::BIGINT AS n FROM pages",

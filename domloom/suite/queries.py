@@ -315,6 +315,12 @@ def sel_is(spark, sf):
     return flat.unionByName(_n(nested, "page_id").withColumn("rule", F.lit("nested")))
 
 
+@query
+def sel_has(spark, sf):
+    rules = {"below": "p:has(b)", "child": "p:has(> b)", "next": "p:has(+ p)", "later": "h1:has(~ p)", "none": "p:not(:has(b))", "then": "article:has(p) > h1"}
+    return _n(jobs.match_rules(page_nodes(spark, sf), rules), "page_id", "rule")
+
+
 @query
 def sel_states(spark, sf):
     rules = {"disabled": "input:disabled", "not_enabled": "input:not(:enabled)"}

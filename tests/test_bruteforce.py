@@ -91,6 +91,10 @@ def test_matches(node, compound):
             ok = not any(k.row.kind == 1 or k.row.kind == 3 for k in node.kids)
         elif test[0] == "not":
             ok = not any(matches(node, part) for part in test[1])
+        elif test[0] == "is":
+            ok = any(matches(node, part) for part in test[1])
+        elif test[0] == "has":
+            ok = any(test_matches(other, r.step) for r in test[1] for other in related(node, r.combinator))
         elif test[0] == "position":
             same = node.up.elements()
             if test[1].startswith("ty"):
@@ -107,6 +111,16 @@ def test_matches(node, compound):
 test_matches.__test__ = False
 
 
+def related(node, combinator):
+    if combinator == " ":
+        return [n for n in node.walk() if n is not node]
+    if combinator == ">":
+        return node.elements()
+    same = node.up.elements() if node.up else [node]
+    later = same[same.index(node) + 1 :]
+    return later[:1] if combinator == "+" else later
+
+
 def matches(node, part, step=None):
     step = len(part.steps) - 1 if step is None else step
     if not test_matches(node, part.steps[step]):
@@ -131,6 +145,7 @@ SELECTORS = [
     ".a .b > span", ".a + .a ~ div span", "section > .a + nav", "div ~ .b .a", "div > span + nav ~ div", "nav div, nav span, div",
     ":nth-child(2n+1)", "div:nth-child(3)", ":nth-last-child(-n+2)", "span:nth-of-type(2)", ":only-child", ":last-of-type",
     "div > :first-child", "div:not(div div)", "span:not(div > .a, nav span)", ":not(:not(.a)) span", "div :not(.a) + .b",
+    "div:has(span)", "div:has(> .a)", ".a:has(+ div)", "div:has(~ nav)", "div:not(:has(*))", "div:has(> .a, + nav) > span", ":is(nav, div:has(.b)) span",
 ]
 
 
