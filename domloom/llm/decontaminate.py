@@ -1,11 +1,10 @@
 """Benchmark decontamination: passages of documents within an edit distance of a benchmark item.
 
-Item-sized windows of words are embedded by the CGK random walk: at each step the walk puts out the word it stands on
-and moves on or stays, as a random bit of (step, word) says, so a few edits leave most of the output as it was.  Bit
-sampling reads the output of a walk at ``SAMPLES`` steps; a window whose samples all equal an item's, in one of several
-repetitions with walks and samples of their own, is a candidate.  The number of repetitions is raised until simulated
-edits of the items are found again with the target recall.  Candidates are confirmed by the exact edit distance in
-characters.  Windows lie where one of the item's ``ANCHORS`` longest words stands in a document, aligned to it.
+An item of n characters may differ from a passage by d = ``edits`` x n character edits.  It is cut into k > d pieces of
+equal length that do not overlap; an edit touches one piece at most, so k - d of them or more stand in the passage as
+they are, each moved by d characters at most.  Candidates are the places of a document where so many pieces of one item
+are found in one band of 2 d diagonals: no pair within the distance is missed, whatever the edits.  Candidates are
+confirmed by the exact edit distance in characters, so the distance given is the least one in the document.
 
 Texts are compared in lower case (A-Z), punctuation and white space as one space between words.
 """
@@ -19,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.llm.minhash import _FOLD, _mix, _words
+from domloom.llm.minhash import _FOLD, _mix
 
 #: Greatest edit distance, as a share of the item's characters.
 EDITS = 0.1
-ANCHORS, SAMPLES = 8, 3
-RECALL, MOST_REPETITIONS = 0.99, 32
+#: Characters of a piece; shorter items and wider distances take shorter ones, so that there are more pieces than edits.
+PIECE = 8
+#: Cells of the table that tells most of a text's strings from all pieces at a look.
+CELLS = 1 << 20
 #: Bytes of documents handled at once, and bytes of items held at once in each worker.
 CHUNK, ITEM_BLOCK = 1 << 19, 64 << 20
 
@@ -32,17 +33,32 @@ _BREAK = np.zeros(256, bool)
 _BREAK[:48] = _BREAK[58:65] = _BREAK[91:97] = _BREAK[123:128] = True
 
 
-def _bounds(data: bytes):
+def _normal(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the texts in normal form, one space between texts as well, and where each text's own begin and end."""
+    data = b"\n".join(texts)
     buffer = np.frombuffer(data.translate(_FOLD), np.uint8)
-    gap = np.concatenate([[True], _BREAK[buffer], [True]])
-    return buffer, np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
+    gap = _BREAK[buffer]
+    kept = ~gap
+    kept[1:] |= gap[1:] & ~gap[:-1]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    begin = np.cumsum(sizes + 1) - (sizes + 1)
+    out = np.where(gap, np.uint8(32), buffer)
+    first = kept & ((buffer & 0xC0) != 0x80)
+    begin = np.append(0, np.cumsum(first))[begin]
+    points = np.frombuffer(out[kept].tobytes().decode().encode("utf-32-le"), np.uint32)
+    end = np.append(begin[1:], len(points))
+    own = np.flatnonzero(end > begin)
+    end[own] -= points[end[own] - 1] == 32
+    return points, begin, end
 
 
 def normal(text: str) -> str:
-    data = text.encode()
-    buffer, first, last = _bounds(data)
-    raw = buffer.tobytes()
-    return " ".join(raw[a:b].decode() for a, b in zip(first, last))
+    points, _, end = _normal([text.encode()])
+    return _string(points[: end[0]])
+
+
+def _string(points: np.ndarray) -> str:
+    return points.tobytes().decode("utf-32-le")
 
 
 def part_distance(item: str, text: str) -> int:
@@ -70,155 +86,110 @@ def part_distance(item: str, text: str) -> int:
     return best
 
 
+def _strings(points: np.ndarray, lengths: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of the ascending lengths, a hash of the string of that length that starts at each point."""
+    mixed = _mix(points.astype(np.uint64) + np.uint64(1))
+    total, done, power = np.zeros(len(points), np.uint64), 0, 1
+    for length in lengths:
+        while done < length:
+            total = total[: max(0, len(points) - done)]
+            total = total + mixed[done : done + len(total)] * np.uint64(power)
+            done, power = done + 1, power * 0x9E3779B97F4A7C15 % (1 << 64)
+        yield length, total
+
+
 class Items:
-    """The items of one block, their anchors and their sampled walks."""
+    """The items of one block and the table of their pieces, by length."""
 
-    def __init__(self, rows: list[tuple], edits: float = EDITS, recall: float = RECALL):
-        self.edits = edits
+    def __init__(self, rows: list[tuple], edits: float = EDITS):
+        if not 0 <= edits < 1:
+            raise ValueError("edits is a share of the item's characters, from 0 to less than 1")
         self.ids = [r[0] for r in rows]
         self.texts = [normal(r[1] or "") for r in rows]
-        self.words = []
-        anchor, item, offset = [], [], []
-        for k, text in enumerate(self.texts):
-            data = text.encode()
-            buffer, first, last = _bounds(data)
-            words = _words(buffer, first, last)
-            self.words.append(words)
-            longest = np.lexsort((np.arange(len(words)), first - last))
-            chosen: list[int] = []
-            for o in longest:
-                if len(set(words[chosen].tolist())) == ANCHORS and words[o] not in words[chosen]:
-                    break
-                chosen.append(int(o))
-            anchor += words[chosen].tolist()
-            item += [k] * len(chosen)
-            offset += chosen
-        order = np.argsort(np.array(anchor, np.uint64), kind="stable")
-        self.anchor = np.array(anchor, np.uint64)[order]
-        self.item, self.offset = np.array(item, np.int64)[order], np.array(offset, np.int64)[order]
-        self.size = np.fromiter(map(len, self.words), np.int64, len(rows))
-        self.repetitions = self._repetitions(recall)
-
-    def _samples(self, t: int, item: np.ndarray) -> np.ndarray:
-        """Sorted steps read in repetition t: spread over the first two steps for each word of the item."""
-        part = np.random.default_rng(t).random(SAMPLES)
-        part.sort()
-        return (part[None, :] * 2 * self.size[item][:, None]).astype(np.int64)
-
-    def _walk(self, t: int, words: np.ndarray, start, low, high, item, steps_to, state):
-        """Go on from ``state`` (step, place) to the step wanted; the words stood on there (0 outside [low, high))."""
-        step, place = state
-        while True:
-            on = np.flatnonzero(step < steps_to)
-            if not len(on):
-                break
-            stood = self._at(words, start[on] + place[on], low[on], high[on], place[on] < self.size[item[on]])
-            bit = (_mix(stood ^ (step[on].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(t + 1))) >> np.uint64(40)) & np.uint64(1)
-            place[on] += bit.astype(np.int64)
-            step[on] += 1
-        return self._at(words, start + place, low, high, place < self.size[item])
-
-    @staticmethod
-    def _at(words, at, low, high, inside):
-        ok = inside & (at >= low) & (at < high)
-        return np.where(ok, words[np.where(ok, at, 0)], np.uint64(0))
-
-    def expected(self):
-        """Per repetition and item: the sampled steps and the words the item's own walk stands on."""
-        if not hasattr(self, "_expected"):
-            flat = np.concatenate(self.words) if self.words else np.zeros(0, np.uint64)
-            begin = np.cumsum(self.size) - self.size
-            items = np.arange(len(self.size))
-            self._expected = []
-            for t in range(MOST_REPETITIONS):
-                steps = self._samples(t, items)
-                state = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
-                own = [self._walk(t, flat, begin, begin, begin + self.size, items, steps[:, k], state) for k in range(SAMPLES)]
-                self._expected.append((steps, np.stack(own, 1) if len(items) else np.zeros((0, SAMPLES), np.uint64)))
-        return self._expected
-
-    def candidates(self, words, start, low, high, item, repetitions=None) -> np.ndarray:
-        """Which of the windows agree with their item in all samples of one repetition."""
-        found = np.zeros(len(start), bool)
-        for t in range(repetitions or self.repetitions):
-            steps, own = self.expected()[t]
-            left = np.flatnonzero(~found)
-            state = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
-            for k in range(SAMPLES):
-                i = item[left]
-                same = self._walk(t, words, start[left], low[left], high[left], i, steps[i, k], state) == own[i, k]
-                left, state = left[same], (state[0][same], state[1][same])
-            found[left] = True
-        return found
-
-    def _repetitions(self, recall: float) -> int:
-        """The fewest repetitions that find edited items again: words replaced, left out or put in, up to the allowed share."""
-        draw = np.random.default_rng(1)
-        usable = np.flatnonzero(self.size > 0)
-        if not len(usable):
-            return 1
-        parts, start, item = [], [], []
-        at = 0
-        for _ in range(max(1, 400 // len(usable))):
-            for k in usable[:400]:
-                words = list(self.words[k])
-                anchor = int(draw.choice(self.offset[self.item == k]))
-                for _ in range(max(1, int(self.edits * len(words)))):
-                    where = int(draw.integers(len(words)))
-                    if where == anchor or len(words) < 2:
-                        continue
-                    kind = int(draw.integers(3))
-                    if kind == 0:
-                        words[where] = np.uint64(draw.integers(1, 1 << 63))
-                    elif kind == 1:
-                        del words[where]
-                        anchor -= where < anchor
-                    else:
-                        words.insert(where, np.uint64(draw.integers(1, 1 << 63)))
-                        anchor += where <= anchor
-                parts.append(np.array(words, np.uint64))
-                start.append(at)
-                item.append(k)
-                at += len(words)
-        flat, start, item = np.concatenate(parts), np.array(start), np.array(item)
-        low, high = start, start + np.array(list(map(len, parts)))
-        for t in (1, 2, 4, 8, 16):
-            if self.candidates(flat, start, low, high, item, t).mean() >= recall:
-                return t
-        return MOST_REPETITIONS
+        self.size = np.fromiter(map(len, self.texts), np.int64, len(rows))
+        self.allowed = np.array([int(edits * len(t)) for t in self.texts], np.int64)
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        self.enough = np.ones(len(rows), np.int64)
+        for k, (text, n, d) in enumerate(zip(self.texts, self.size.tolist(), self.allowed.tolist())):
+            if not n:
+                continue
+            length = min(PIECE, n // (d + 1))
+            pieces = n // length
+            self.enough[k] = pieces - d
+            hashes = next(_strings(np.frombuffer(text.encode("utf-32-le"), np.uint32), [length]))[1]
+            found.setdefault(length, []).extend((int(hashes[o]), k, o) for o in (j * n // pieces for j in range(pieces)))
+        self.tables = {}
+        for length in sorted(found):
+            own = sorted(found[length])
+            hashes = np.array([x[0] for x in own], np.uint64)
+            seen = np.zeros(CELLS, bool)
+            seen[(hashes >> np.uint64(44)).astype(np.int64)] = True
+            self.tables[length] = seen, hashes, np.array([x[1] for x in own], np.int64), np.array([x[2] for x in own], np.int64)
+
+    def _places(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray):
+        """Text, item, least and greatest start of the regions of the texts with enough pieces of an item in one band."""
+        parts = []
+        for length, hashes in _strings(points, list(self.tables)):
+            seen, known, item, offset = self.tables[length]
+            at = np.flatnonzero(seen[(hashes >> np.uint64(44)).astype(np.int64)])
+            left = np.searchsorted(known, hashes[at], "left")
+            many = np.searchsorted(known, hashes[at], "right") - left
+            which = np.repeat(left, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            place = np.repeat(at, many)
+            text = np.searchsorted(begin, place, "right") - 1
+            whole = place + length <= end[text]
+            parts.append((text[whole], item[which][whole], (place - offset[which])[whole]))
+        text, item, diagonal = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        order = np.lexsort((diagonal, item, text))
+        text, item, diagonal = text[order], item[order], diagonal[order]
+        last = np.arange(len(order)) + self.enough[item] - 1
+        ok = last < len(order)
+        first, last = np.flatnonzero(ok), last[ok]
+        d = self.allowed[item[first]]
+        ok = (text[first] == text[last]) & (item[first] == item[last]) & (diagonal[last] - diagonal[first] <= 2 * d)
+        first, last, d = first[ok], last[ok], d[ok]
+        # The passage starts within d of each of its pieces' diagonals.
+        return text[first], item[first], diagonal[last] - d, diagonal[first] + d
+
+    def _regions(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Text, item, begin and end of the regions that hold the places; those of a text and item that overlap are one."""
+        text, item, least, most = self._places(points, begin, end)
+        least = np.maximum(least, begin[text])
+        most = np.minimum(most + self.size[item] + self.allowed[item], end[text])
+        held = None
+        for t, i, a, b in zip(*(x.tolist() for x in (text, item, least, most))):
+            if held is not None and held[:2] == (t, i) and a <= held[3] and held[2] <= b:
+                held = t, i, min(a, held[2]), max(b, held[3])
+                continue
+            if held is not None:
+                yield held
+            held = t, i, a, b
+        if held is not None:
+            yield held
+
+    def _alike(self, i: int, part: str) -> bool:
+        """Whether the part has as many of the item's short strings as the distance leaves: an edit spoils ``length`` at most."""
+        n, d = int(self.size[i]), int(self.allowed[i])
+        length = max(1, min(PIECE, n // (d + 1)) // 2 + 1)
+        if n < length * (d + 1):
+            return True
+        there = {part[j : j + length] for j in range(len(part))}
+        own = self.texts[i]
+        return sum(own[j : j + length] in there for j in range(n - length + 1)) >= n + 1 - length * (d + 1)
 
     def leaks(self, texts: list[bytes]) -> Iterator[tuple[int, int, int]]:
         """(text number, item number, least distance found) of every confirmed pair."""
-        data = b"\n".join(texts)
-        buffer, first, last = _bounds(data)
-        if not len(first) or not len(self.anchor):
+        if not self.tables or not texts:
             return
-        words = _words(buffer, first, last)
-        left = np.searchsorted(self.anchor, words, "left")
-        at = np.flatnonzero(self.anchor[np.minimum(left, len(self.anchor) - 1)] == words)
-        many = np.searchsorted(self.anchor, words[at], "right") - left[at]
-        place = np.repeat(at, many)
-        which = np.repeat(left[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        item, start = self.item[which], place - self.offset[which]
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        begin = np.cumsum(sizes + 1) - (sizes + 1)
-        text = np.searchsorted(begin, first[place], "right") - 1
-        edge = np.append(np.searchsorted(first, begin), len(first))
-        low, high = edge[text], edge[text + 1]
-        hit = self.candidates(words, start, low, high, item)
-        raw, best = buffer.tobytes(), {}
-        seen = set()
-        for t, i, s, lo, hi in zip(*(x[hit].tolist() for x in (text, item, start, low, high))):
-            allowed = int(self.edits * len(self.texts[i]))
-            if (t, i, s) in seen or best.get((t, i)) == 0:
+        points, begin, end = _normal(texts)
+        best: dict[tuple[int, int], int] = {}
+        for t, i, a, b in self._regions(points, begin, end):
+            part = _string(points[a:b])
+            if best.get((t, i)) == 0 or not self._alike(i, part):
                 continue
-            seen.add((t, i, s))
-            slack = int(self.size[i] * self.edits) + 4
-            a, b = max(lo, s - slack), min(hi, s + int(self.size[i]) + slack)
-            part = " ".join(raw[x:y].decode() for x, y in zip(first[a:b].tolist(), last[a:b].tolist()))
-            d = 0 if self.texts[i] in part else part_distance(self.texts[i], part)
-            if d <= allowed:
-                best[t, i] = min(d, best.get((t, i), d))
+            distance = 0 if self.texts[i] in part else part_distance(self.texts[i], part)
+            if distance <= self.allowed[i]:
+                best[t, i] = min(distance, best.get((t, i), distance))
         yield from ((t, i, d) for (t, i), d in best.items())
 
 

@@ -403,6 +403,49 @@ def test_leaks_against_every_pair(spark, docs):
     assert decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+def edited(text, n, draw):
+    """The text after n substitutions, deletions and insertions of single characters."""
+    out = list(text)
+    for _ in range(n):
+        kind, at = draw.randrange(3), draw.randrange(len(out))
+        if kind == 0:
+            out[at] = draw.choice("abcdefghijklmnopqrstuvwxyz")
+        elif kind == 1:
+            del out[at]
+        else:
+            out.insert(at, draw.choice("abcdefghijklmnopqrstuvwxyz"))
+    return "".join(out)
+
+
+@pytest.mark.parametrize("percent", [2, 4, 6, 8, 10])
+def test_no_copy_edited_in_characters_is_missed(spark, percent):
+    rows = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
+    items, draw, found = decontaminate.Items(rows), random.Random(percent), 0
+    for k, own in enumerate(items.texts):
+        text = "words before " + edited(own, len(own) * percent // 100, draw) + " and after"
+        distance = brute.edit_in(own, decontaminate.normal(text))
+        want = distance if distance <= int(decontaminate.EDITS * len(own)) else None
+        assert {i: d for _, i, d in items.leaks([b"other", text.encode()])}.get(k) == want
+        found += want is not None
+    assert found >= 0.9 * len(rows)
+
+
+@pytest.mark.parametrize("edits", [0.0, 0.1, 0.3, 0.6])
+def test_leaks_of_short_and_foreign_texts_against_every_pair(edits):
+    draw = random.Random(9)
+    letters = "ab é日"
+    rows = [(k, "".join(draw.choice(letters) for _ in range(draw.randint(0, 40)))) for k in range(40)]
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 80))) for _ in range(40)] + [t for _, t in rows[:10]]
+    items = decontaminate.Items(rows, edits)
+    want = {}
+    for k, own in enumerate(items.texts):
+        for t, text in enumerate(texts):
+            distance = brute.edit_in(own, decontaminate.normal(text))
+            if own and distance <= int(edits * len(own)):
+                want[t, k] = distance
+    assert {(t, k): d for t, k, d in items.leaks([t.encode() for t in texts])} == want and want
+
+
 # 10
 
 
