@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from domloom.llm import decontaminate, licenses, minhash, packing, repeats, sharding, simhash, tokens, toxicity, urls
 from domloom.llm.common import table
@@ -29,7 +28,9 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), packing.estimated_tokens(F.col("text")))
+    import public_tokenizers
+
+    return packing.pack_counted(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

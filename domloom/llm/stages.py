@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from domloom.llm import decontaminate, minhash, packing, repeats, toxicity
 from domloom.llm.common import in_small_batches, table
@@ -32,4 +31,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, packing.estimated_tokens(F.col("text")))
+    """Sequences of at most 4,096 tokens, counted with the tokenizer."""
+    import public_tokenizers
+
+    return packing.pack_counted(docs, public_tokenizers.path("byte_bpe_50k.json"))

@@ -239,6 +239,34 @@ def test_best_fit_against_a_plain_search():
         assert caps == [min(c for c in sizes if c >= filled[b]) for b in range(len(filled))]
 
 
+def test_documents_are_packed_by_their_tokens(spark, docs):
+    from domloom.llm import queries, stages
+
+    _, library = tokenizer()
+    want = {r.doc_id: len(library.encode(r.text or "", add_special_tokens=False).ids) for r in docs.collect()}
+    for out in (queries.op5_best_fit_packing(spark, SF), stages.pack_sequences(spark, docs, SF)):
+        have, filled = {}, {}
+        for r in out.collect():
+            have[r.doc_id] = have.get(r.doc_id, 0) + r.length
+            filled[r.bin] = filled.get(r.bin, 0) + r.length
+            assert r.used <= r.capacity
+        assert have == {d: n for d, n in want.items() if n} and max(filled.values()) <= 4096
+
+
+def test_permitted_lengths_compete():
+    # Two pieces of 500 fill 1,000; three leave 200 of 1,700.
+    bins, caps = packing.joint_fit([500] * 12, (1000, 1700), 32)
+    assert caps == [1000] * 6 and sorted(bins) == [b for b in range(6) for _ in range(2)]
+    draw = random.Random(12)
+    for _ in range(200):
+        sizes = tuple(sorted(draw.sample(range(4, 40), 3)))
+        lengths = [draw.randint(1, sizes[-1]) for _ in range(draw.randint(1, 40))]
+        bins, caps = packing.joint_fit(lengths, sizes, 3)
+        filled = [sum(n for n, own in zip(lengths, bins) if own == b) for b in range(len(caps))]
+        assert caps == [min(c for c in sizes if c >= n) for n in filled]
+        assert packing.cost(caps, 3) <= packing.cost(packing.best_fit(lengths, sizes, 3)[1], 3)
+
+
 # 6
 
 
