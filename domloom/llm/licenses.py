@@ -8,6 +8,7 @@ join.  Everything is a JVM expression; no text is shuffled.
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,19 +75,47 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
 ]
 
-# A notice line: it opens with a copyright sign or word and goes on to a sign, year or name.
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+# Longer texts; "All rights reserved." may be a line of its own after the notice.
+LONGER = [
+    (name, opening + text)
+    for opening in ("", "All rights reserved.\n\n")
+    for name, text in [
+        ("BSD-2-Clause", _BSD % ""),
+        ("BSD-3-Clause", _BSD % "\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"),
+    ]
+]
+
+
+def all_known() -> list[tuple[str, str]]:
+    """Every known text: those above and the whole licences in ``license_texts``, named by identifier."""
+    whole = sorted(Path(__file__).with_name("license_texts").glob("*.txt"))
+    return KNOWN + LONGER + [(p.stem, p.read_text(encoding="utf-8")) for p in whole]
+
+
+# A notice line: it opens with a copyright sign, or with the word and has a sign or "by" next or a year further on.  Other
+# lines that open with the word are text, wrapped there.
+_NOTICE_LINE = r"(^|\n)[^a-z0-9\n]*(©|copyright[^a-z0-9\n]*(©|\(c\)|by[^a-z0-9]|([^\n]*[^a-z0-9\n])?(19|20)[0-9]{2}([^a-z0-9]|$)))[^\n]*"
+# The SQL answer's wider pattern: any line that opens with the word.
 _NOTICE = r"(^|\n)[^a-z0-9\n]*(copyright|©)[^a-z\n]*( ?(c|by)[^a-z\n]+)?[^\n]*"
 
 
 def canonical(text: Column) -> Column:
     """The canonical form: words of [a-z0-9] and letters beyond ASCII, single spaces between.
 
-    A-Z are lower-cased, lines that open with ``copyright`` or its sign fall away, what is neither
+    A-Z are lower-cased, copyright notices fall away with their lines, what is neither
     letter nor digit becomes a space, and the spellings above are made equal.
     """
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     low = F.translate(F.coalesce(text, F.lit("")), upper, lower)
-    plain = F.regexp_replace(F.regexp_replace(low, _NOTICE, "\n"), r"[\x00-/:-`{-\x7f©®™“”‘’–—]+", " ")
+    plain = F.regexp_replace(F.regexp_replace(low, _NOTICE_LINE, "\n"), r"[\x00-/:-`{-\x7f©®™“”‘’–—]+", " ")
     words = F.concat(F.lit(" "), plain, F.lit(" "))
     # Every word is wanted with a space at either side of its own, so that neighbours are both found.
     spaced = F.replace(words, F.lit(" "), F.lit("  "))
@@ -98,9 +127,9 @@ def digest(text: Column) -> Column:
     return F.sha2(F.encode(canonical(text), "UTF-8"), 256)
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """(license, digest) of the known texts, one row per digest; the list lies in the driver, so it may be broadcast."""
-    rows = spark.createDataFrame(known, "license string, text string")
+    rows = spark.createDataFrame(all_known() if known is None else known, "license string, text string")
     return F.broadcast(rows.select("license", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("license").alias("license")))
 
 

@@ -188,6 +188,26 @@ def test_licences_in_other_spelling_are_known(spark):
     assert licenses.scan(empty(spark), licenses.known_digests(spark)).count() == 0
 
 
+def test_known_licences_are_found_however_they_are_wrapped(spark):
+    import textwrap
+
+    rows, want = [], []
+    for name, text in licenses.all_known():
+        # The GNU texts hold notices of their own, which end with their lines.
+        for width in (0,) if "GPL" in name and len(text) > 1000 else (0, *range(24, 100, 5)):
+            body = "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False) for p in text.split("\n\n")) if width else text
+            for notice in ("", "Copyright (c) 2020 Some One\n\n", "# Copyright The Authors, 2019-2021\n© Others\n"):
+                rows.append((len(rows), notice + body))
+                want.append(name)
+    # A word at the start of each line in turn, for one that has the holders' clauses.
+    for name, text in licenses.KNOWN[4:] + licenses.LONGER:
+        rows.append((len(rows), text.replace(" copyright", "\ncopyright").replace(" COPYRIGHT", "\nCOPYRIGHT")))
+        want.append(name)
+    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licenses.known_digests(spark)).collect()}
+    assert {(want[i], rows[i][1][:200]) for i in got if got[i] != want[i]} == set()
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0", "ISC", "MIT"} <= set(want)
+
+
 # 5
 
 
