@@ -6,20 +6,27 @@ p_k = (n(context, char) + MASS * p_{k-1}) / (n(context) + MASS), so an unseen co
 estimate as it is.  A URL's score is the difference of the two log-likelihoods per character; the bound it
 must reach is calibrated on a held-out part of the decided URLs.
 
-Counts live in hashed tables of a fixed number of cells, summed by Spark over all decided URLs, so that what
-is broadcast has a fixed size whatever the input.
+Counts are exact and live in a Spark table of strings of ``ORDER`` + 1 bytes (shorter contexts are its groups), which
+grows with the input.  What a character adds to a score follows from such a string, so the strings to be scored are
+judged once each and joined with the URLs; at most ``COMMON`` of them, the commonest, are broadcast.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from domloom.llm.common import cut
+
 ORDER = 4
+#: Cells of ``_cells``, a hashed count of the same for a few URLs at a time; the models do not use it.
 CELLS = 1 << 18
 MASS = 4.0
+#: Strings that are broadcast; contexts of up to two bytes are no more.
+COMMON = 1 << 16
+#: Parts of a nat in which scores are summed, so that the sum does not depend on the order.
+PARTS = 10**9
 #: Score histogram for the calibration: cells of equal width over [-SPAN, SPAN] nats per character.
 BINS, SPAN = 2000, 4.0
 
@@ -72,63 +79,59 @@ def _cells(urls: list[str]):
     return pairs, alone, row, sizes
 
 
-def _log_likelihood(pairs, alone, row, n, model):
-    together, contexts = model
-    p = np.full(len(row), 1 / 256)
-    for k, (a, b) in enumerate(zip(pairs, alone)):
-        p = (together[k][a] + MASS * p) / (np.maximum(contexts[k][b], together[k][a]) + MASS)
-    return np.bincount(row, np.log(p), n)
-
-
-def _counts(decided: DataFrame):
-    """Summed cells of the decided URLs: arrays [class][order] for pairs and for contexts."""
-
-    def count(batches):
-        sums = np.zeros((2, 2, ORDER + 1, CELLS), np.int64)
-        for batch in batches:
-            classes = np.array(batch.column(1).to_pylist(), dtype=bool)
-            urls = batch.column(0).to_pylist()
-            for rejected in (0, 1):
-                pairs, alone, _, _ = _cells([u for u, r in zip(urls, classes) if r == rejected])
-                for k in range(ORDER + 1):
-                    sums[rejected, 0, k] += np.bincount(pairs[k], minlength=CELLS)
-                    sums[rejected, 1, k] += np.bincount(alone[k], minlength=CELLS)
-        flat = sums.ravel()
-        used = np.flatnonzero(flat)
-        for i in range(0, len(used), 100_000):
-            part = used[i : i + 100_000]
-            yield pa.RecordBatch.from_pydict({"cell": pa.array(part), "n": pa.array(flat[part])})
-
-    rows = decided.select("url", "rejected").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    got = rows.toArrow()  # at most 4 * (ORDER + 1) * CELLS rows
-    sums = np.zeros(4 * (ORDER + 1) * CELLS)
-    sums[got["cell"].to_numpy()] = got["n"].to_numpy()
-    sums = sums.reshape(2, 2, ORDER + 1, CELLS).astype(np.float32)
-    return [(sums[c, 0], sums[c, 1]) for c in (0, 1)]
-
-
-def _scores(urls, models):
-    pairs, alone, row, sizes = _cells(urls)
-    both = [_log_likelihood(pairs, alone, row, len(urls), m) for m in models]
-    return (both[0] - both[1]) / np.maximum(sizes, 1)
-
-
-def _bound(rows: DataFrame, models) -> float:
-    """The score that best parts accepted from rejected held-out URLs (balanced accuracy; ties: the one nearest 0)."""
-
-    def histogram(batches):
-        sums = np.zeros((2, BINS), np.int64)
-        for batch in batches:
-            cell = ((np.clip(_scores(batch.column(0).to_pylist(), models.value), -SPAN, SPAN) + SPAN) / (2 * SPAN) * BINS).astype(int).clip(0, BINS - 1)
-            classes = np.array(batch.column(1).to_pylist(), dtype=bool)
+def _occurrences(urls: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and every byte of the URL with the ``ORDER`` bytes before it (zeros before the first)."""
+    size = F.octet_length("url")
+    raw = F.concat(F.lit(bytearray(ORDER)), F.encode("url", "UTF-8"))
+    own = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(raw, i, F.lit(ORDER + 1)))
+    return urls.where(size > 0).select(*keep, F.explode(own).alias("string"))
+
+
+def _counts(decided: DataFrame) -> DataFrame:
+    """Exact counts of the decided URLs' strings: string, accepted, rejected."""
+    rejected = F.col("rejected").cast("long")
+    return _occurrences(decided, "rejected").groupBy("string").agg(F.sum(1 - rejected).alias("n0"), F.sum(rejected).alias("n1"))
+
+
+def _gains(strings: DataFrame, counts: DataFrame, totals: tuple[int, int]) -> DataFrame:
+    """With each string, the difference of its last byte's two log-probabilities, in ``PARTS`` of a nat."""
+    p = [F.lit(1 / 256), F.lit(1 / 256)]
+    for k in range(ORDER + 1):
+        found = [[], []]
+        for name, length in (("pair", k + 1), ("context", k)):
+            if not length:
+                found[0].append(F.lit(totals[0]))
+                found[1].append(F.lit(totals[1]))
+                continue
+            key = F.substring("string", ORDER + 1 - k, length)
+            sums = counts.groupBy(key.alias("key")).agg(*(F.sum(n).alias(f"{name}{k}_{n}") for n in ("n0", "n1")))
+            strings = strings.withColumn("key", key).join(F.broadcast(sums) if length <= 2 else sums, "key", "left").drop("key")
             for c in (0, 1):
-                sums[c] += np.bincount(cell[classes == c], minlength=BINS)
-        yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(2 * BINS)), "n": pa.array(sums.ravel())})
+                found[c].append(F.coalesce(F.col(f"{name}{k}_n{c}"), F.lit(0)))
+        p = [(found[c][0] + MASS * p[c]) / (found[c][1] + MASS) for c in (0, 1)]
+    return strings.select("string", "n", F.round((F.log(p[0]) - F.log(p[1])) * PARTS).cast("long").alias("gain"))
+
 
-    got = rows.select("url", "rejected").mapInArrow(histogram, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    sums = np.zeros(2 * BINS)
-    sums[got["cell"].to_numpy()] = got["n"].to_numpy()
-    accepted, rejected = sums.reshape(2, BINS)
+def _scored(urls: DataFrame, counts: DataFrame, totals: tuple[int, int], common: int | None = None) -> DataFrame:
+    """The rows of ``urls`` (id, url, …), unique by id, with their scores."""
+    each = _occurrences(urls, "id")
+    gains = cut(_gains(each.groupBy("string").agg(F.count("*").alias("n")), counts, totals))
+    top = gains.orderBy(F.desc("n"), "string").limit(COMMON if common is None else common)
+    met = each.join(F.broadcast(top.select("string", F.col("gain").alias("known"))), "string", "left")
+    rest = met.where("known IS NULL").select("id", "string").join(gains, "string").select("id", "gain")
+    sums = met.where("known IS NOT NULL").select("id", F.col("known").alias("gain")).unionByName(rest).groupBy("id").agg(F.sum("gain").alias("gain"))
+    score = F.coalesce(F.col("gain") / PARTS / F.octet_length("url"), F.lit(0.0))
+    return urls.join(sums, "id", "left").withColumn("score", score).drop("gain")
+
+
+def _bound(scored: DataFrame) -> float:
+    """The score that best parts accepted from rejected held-out URLs (balanced accuracy; ties: the one nearest 0)."""
+    clipped = F.greatest(F.least(F.col("score"), F.lit(SPAN)), F.lit(-SPAN))
+    cell = F.least(((clipped + SPAN) / (2 * SPAN) * BINS).cast("int"), F.lit(BINS - 1))
+    sums = np.zeros((2, BINS))
+    for r in scored.groupBy("rejected", cell.alias("cell")).count().collect():  # at most 2 * BINS rows
+        sums[int(r.rejected), r.cell] = r["count"]
+    accepted, rejected = sums
     if not accepted.sum() or not rejected.sum():
         return 0.0
     kept = 1 - np.concatenate([[0], np.cumsum(accepted)]) / accepted.sum()
@@ -154,28 +157,18 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_column: str
     rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)).select(
         "page_id", "url", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("decided")
     )
-    decided = rows.where("rule IS NOT NULL").select("url", (F.col("decided") == "block").alias("rejected")).distinct()
     held = F.pmod(F.crc32("url"), F.lit(5)) == 0
-    models = _counts(decided.where(~held))
-    context = pages.sparkSession.sparkContext
-    shared = context.broadcast(models)
-    one_sided = min(m[0][0].sum() for m in models) == 0
-    bound = float("-inf") if one_sided else _bound(decided.where(held), shared)
-
-    def scored(batches):
-        for batch in batches:
-            urls = batch.column("url").to_pylist()
-            known = batch.column("decided").to_pylist()
-            open_ = [i for i, k in enumerate(known) if k is None]
-            scores: list = [None] * len(urls)
-            verdicts = list(known)
-            for i, s in zip(open_, _scores([urls[i] or "" for i in open_], shared.value)):
-                scores[i] = float(s)
-                verdicts[i] = "allow" if s >= bound else "block"
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("host"), batch.column("path"), batch.column("rule"), pa.array(verdicts, pa.string()), pa.array(scores, pa.float64())],
-                names=["page_id", "host", "path", "rule", "verdict", "score"],
-            )
-
-    id_type = rows.schema["page_id"].dataType.simpleString()
-    return rows.mapInArrow(scored, f"page_id {id_type}, host string, path string, rule string, verdict string, score double")
+    rejected = (F.col("decided") == "block").alias("rejected")
+    counts = cut(_counts(rows.where(F.col("rule").isNotNull() & ~held).select("url", rejected).distinct()))
+    totals = tuple(int(n or 0) for n in counts.agg(F.sum("n0"), F.sum("n1")).first())
+    open_ = rows.where("rule IS NULL AND url IS NOT NULL").select("url", F.lit(None).cast("boolean").alias("rejected"))
+    tried = rows.where(F.col("rule").isNotNull() & held).select("url", rejected)
+    urls = cut(open_.unionByName(tried).distinct().withColumn("id", F.monotonically_increasing_id()))
+    scored = cut(_scored(urls, counts, totals))
+    bound = float("-inf") if min(totals) == 0 else _bound(scored.where("rejected IS NOT NULL"))
+    scores = scored.where("rejected IS NULL").select("url", F.col("score").alias("own"))
+    score = F.when(F.col("rule").isNull(), F.coalesce("own", F.lit(0.0)))
+    verdict = F.coalesce("decided", F.when(score >= bound, "allow").otherwise("block"))
+    ruled = rows.where("rule IS NOT NULL OR url IS NULL").withColumn("own", F.lit(None).cast("double"))
+    judged = ruled.unionByName(rows.where("rule IS NULL AND url IS NOT NULL").join(scores, "url").select(*ruled.columns))
+    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), score.alias("score"))

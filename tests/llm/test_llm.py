@@ -135,6 +135,39 @@ def test_cells_sum_to_probabilities():
     assert 0.5 < total <= 1.05
 
 
+@pytest.mark.parametrize("common", [None, 20])
+def test_url_scores_are_those_of_exact_counts(spark, monkeypatch, common):
+    monkeypatch.setattr(urls, "CELLS", 16)  # scores do not depend on any table's size
+    if common:
+        monkeypatch.setattr(urls, "COMMON", common)
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url").collect()
+    rules = [("com/", "allow"), ("example.com/en/", "block"), ("net/es/", "block")]
+    models = [({}, {}), ({}, {})]
+    windows = lambda raw: [(b"\0" * 4 + raw)[i : i + 5] for i in range(len(raw))]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows), rules).collect()}
+    assert len(got) == len(rows)
+    for url in {r.url for r in rows}:
+        verdict = next(g.verdict for g in (got[r.page_id] for r in rows if r.url == url))
+        if any(got[r.page_id].rule for r in rows if r.url == url) and zlib.crc32(url.encode()) % 5:
+            pairs, contexts = models[verdict == "block"]
+            for w in windows(url.encode()):
+                for k in range(5):
+                    pairs[w[4 - k :]] = pairs.get(w[4 - k :], 0) + 1
+                    contexts[k, w[4 - k : 4]] = contexts.get((k, w[4 - k : 4]), 0) + 1
+    checked = 0
+    for r in rows:
+        if got[r.page_id].rule is None:
+            total = 0.0
+            for w in windows(r.url.encode()):
+                p = [1 / 256, 1 / 256]
+                for k in range(5):
+                    p = [(m[0].get(w[4 - k :], 0) + 4 * q) / (m[1].get((k, w[4 - k : 4]), 0) + 4) for m, q in zip(models, p)]
+                total += np.log(p[0] / p[1])
+            assert abs(got[r.page_id].score - total / len(r.url.encode())) < 1e-6
+            checked += 1
+    assert checked > 20
+
+
 # 3
 
 
