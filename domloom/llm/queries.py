@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from domloom.llm import decontaminate, licenses, minhash, packing, repeats, sharding, simhash, tokens, toxicity, urls
+from domloom.llm import decontaminate, licenses, merkle, minhash, packing, periodic, permutation, repeats, sharding, simhash, tokens, toxicity, urls
 from domloom.llm.common import table
 from domloom.llm.oracles import ORACLES  # noqa: F401
 
@@ -54,4 +54,16 @@ def op10_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(table(spark, sf_dir, "documents"), 85)
 
 
-QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_url_filter, op3_token_counts, op4_license_scan, op5_best_fit_packing, op6_toxicity, op7_byte_shards, op8_simhash, op9_benchmark_leaks, op10_minhash_components)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(table(spark, sf_dir, "documents"))
+
+
+def op13_permutation_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.nearest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_url_filter, op3_token_counts, op4_license_scan, op5_best_fit_packing, op6_toxicity, op7_byte_shards, op8_simhash, op9_benchmark_leaks, op10_minhash_components, op11_periodic_runs, op12_merkle_manifest, op13_permutation_neighbours)}
