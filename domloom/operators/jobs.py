@@ -5,26 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from domloom.errors import SelectorParseError
 from domloom.functions.props import attr
 from domloom.operators.assemble import assemble, with_piece
 from domloom.operators.mutate import strip_tags
 from domloom.operators.select import select
 from domloom.operators.text import text
 from domloom.plans.match import match_parts
+from domloom.plans.rules import FEW, RuleIndex, match_index, rule_index
 from domloom.plans.selector import compile_selector
 
 _STYLE_RULE = r"([^{}]+)\{([^{}]*)\}"
 
 
-def match_rules(nodes: DataFrame, rules: dict, scope: str = "body") -> DataFrame:
+def match_rules(nodes: DataFrame, rules: dict | DataFrame | RuleIndex, scope: str = "body") -> DataFrame:
     """Many selectors over all pages at once: rows ``rule`` + node columns, one per (rule, node).
 
-    All rules share one scan of the node table and one set of windows, however many there are.
+    ``rules`` is a dict, a table (``rule``, ``selector``) of any size, or the index made of one by ``rule_index``.  A dict of
+    up to ``FEW`` rules is written into the plan: one scan and one set of windows.  All others are an index that is joined
+    with the nodes, and the plan is the same for ten rules and for ten thousand.  A selector that does not parse raises;
+    ``rule_index(...).errors`` lists those of a table, and an index is matched without them.
     """
-    compiled = {rule: compile_selector(s) for rule, s in rules.items()}
-    rows = match_parts(nodes, {rule: s.parts for rule, s in compiled.items()}, scope, False)
-    lists = any(len(s.parts) > 1 for s in compiled.values())
-    return rows.dropDuplicates(["page_id", "pre", "rule"]) if lists else rows
+    if isinstance(rules, dict) and len(rules) <= FEW:
+        compiled = {rule: compile_selector(s) for rule, s in rules.items()}
+        rows = match_parts(nodes, {rule: s.parts for rule, s in compiled.items()}, scope, False)
+        lists = any(len(s.parts) > 1 for s in compiled.values())
+        return rows.dropDuplicates(["page_id", "pre", "rule"]) if lists else rows
+    if not isinstance(rules, RuleIndex):
+        rules = rule_index(nodes.sparkSession, rules)
+        bad = rules.errors.head()
+        if bad is not None:
+            raise SelectorParseError(f"rule {bad.rule!r}: {bad.error}")
+    return match_index(nodes, rules, scope)
 
 
 def style_rules(nodes: DataFrame) -> DataFrame:

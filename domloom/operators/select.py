@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from domloom.errors import SelectorParseError
+from domloom.errors import SelectorParseError, UnsupportedSelector
 from domloom.operators.contain import contained
 from domloom.operators.index import with_index
 from domloom.plans.match import match
+from domloom.plans.rules import FEW, match_index, rule_index
 from domloom.plans.selector import Selector, compile_selector
 
 
@@ -81,8 +82,17 @@ def css_matches(nodes: DataFrame, selector: str | Selector) -> DataFrame:
 
 
 def any_css_matches(nodes: DataFrame, selectors: list) -> DataFrame:
-    """Every node with ``matches``: does it match at least one of the selectors?"""
+    """Every node with ``matches``: does it match at least one of the selectors?
+
+    More than ``FEW`` selectors go through a rule index, so the plan does not grow with them.
+    """
     nodes = with_index(nodes)
+    if len(selectors) > FEW:
+        index = rule_index(nodes.sparkSession, {i: str(s) for i, s in enumerate(selectors)})
+        odd = index.errors.where(F.col("error").startswith("UnsupportedSelector")).head()
+        if odd is not None:
+            raise UnsupportedSelector(odd.error)
+        return _marked(nodes, match_index(nodes, index, "document", True).select("page_id", "pre").distinct())
     parts = []
     for s in selectors:
         try:
@@ -94,7 +104,11 @@ def any_css_matches(nodes: DataFrame, selectors: list) -> DataFrame:
     whole = Selector(", ".join(str(s) for s in selectors), parts)
     if whole.is_flat:
         return nodes.withColumn("matches", whole.column())
-    hits = match(nodes, whole, "document", True).select("page_id", "pre", F.lit(True).alias("_m"))
+    return _marked(nodes, match(nodes, whole, "document", True))
+
+
+def _marked(nodes: DataFrame, hits: DataFrame) -> DataFrame:
+    hits = hits.select("page_id", "pre", F.lit(True).alias("_m"))
     return nodes.join(hits, ["page_id", "pre"], "left").withColumn("matches", F.coalesce("_m", F.lit(False))).drop("_m")
 
 

@@ -298,6 +298,9 @@ ORACLES = {
           UNION ALL SELECT page_id, 'paragraphs', 1 FROM blocks WHERE tag = 'p'
           UNION ALL SELECT page_id, 'bold', CASE WHEN tag = 'p' THEN n_b ELSE greatest(n_b - 1, 0) END FROM blocks)
         SELECT page_id, rule, sum(n)::BIGINT AS n FROM hits GROUP BY ALL HAVING sum(n) > 0""",
+    "rule_table": f"WITH {LINKS} SELECT page_id, href AS rule, count(*) AS n FROM links GROUP BY ALL",
+    "rule_many": _p("""SELECT page_id, 'li' AS tag, least(len(hrefs), 40)::BIGINT AS n FROM parts WHERE len(hrefs) > 0
+        UNION ALL SELECT page_id, 'p', 1 FROM parts WHERE contains(article, '<p>')"""),
     "style_rules": r"""SELECT page_id, regexp_extract(css, '^(.*)\{', 1) AS selector, regexp_extract(css, '\{(.*):', 1) AS prop,
           regexp_extract(css, ':(.*)\}', 1) AS value FROM (SELECT page_id, regexp_extract(html, '<style>(.*?)</style>', 1) AS css FROM pages)""",
     "extract_fields": f"""WITH {PARAS} SELECT page_id, {_decoded('h1')} AS title, hrefs[1] AS first_link, hrefs[3] AS third_link,

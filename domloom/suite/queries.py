@@ -694,6 +694,25 @@ def match_rules(spark, sf):
     return _n(jobs.match_rules(page_nodes(spark, sf), rules), "page_id", "rule")
 
 
+@query
+def rule_table(spark, sf):
+    """A rule for every link target of the corpus, from a table, through the rule index."""
+    n = page_nodes(spark, sf)
+    targets = s.select(n, "a[href]").select(attr("href").alias("rule")).distinct()
+    quoted = F.replace(F.replace("rule", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    rules = targets.withColumn("selector", F.concat(F.lit('nav li > a[href="'), quoted, F.lit('"]')))
+    return _n(jobs.match_rules(n, rules), "page_id", "rule")
+
+
+@query
+def rule_many(spark, sf):
+    """More selectors than fit a plan: does an item match one of them?"""
+    n = page_nodes(spark, sf)
+    items = [f"nav li:nth-child({i})" for i in range(1, 41)] + ["!!bad!!", "article > p:first-of-type", "h1 + p"]
+    hits = s.any_css_matches(n, items).filter("matches")
+    return _n(hits, "page_id", "tag")
+
+
 @query
 def style_rules(spark, sf):
     return jobs.style_rules(page_nodes(spark, sf)).select("page_id", "selector", "prop", "value")

@@ -5,8 +5,12 @@ import random
 import pytest
 
 from domloom import compile_selector, materialize, select, shred
+from domloom.errors import SelectorParseError
 from domloom.operators import axes, jobs, mutate, serialize
+from domloom.operators.select import any_css_matches
 from domloom.operators.text import text
+from domloom.plans.match import match_parts
+from domloom.plans.rules import rule_index
 
 TAGS = ["div", "section", "nav", "span"]
 
@@ -171,6 +175,32 @@ def test_rules_share_one_plan(nodes):
         assert got.get(s, 0) == select(nodes, s).count(), s
 
 
+def test_rule_index_against_the_plain_matcher(spark, nodes, trees):
+    texts = [*SELECTORS, "[title='x-1']", "[TITLE^=X i]", "div[class~=b]", "[title$='']", ":root div", ":root", "nav, nav", "div.a:is(.b, [id], :nth-child(2)):not(nav, span)", "*"]
+    index = rule_index(spark, spark.createDataFrame([(t, t) for t in texts] + [("bad", "a!"), ("two", "nav"), ("two", "nav > div")], "rule string, selector string"))
+    got = {(r["rule"], r.page_id, r.pre): r["count"] for r in jobs.match_rules(nodes, index).groupBy("rule", "page_id", "pre").count().collect()}
+    old = {(r["rule"], r.page_id, r.pre): r["count"] for r in match_parts(nodes, {t: compile_selector(t).parts for t in [*texts[len(SELECTORS) :], "nav > div"]}, "body", False).groupBy("rule", "page_id", "pre").count().collect()}
+    want = {(t, p, n.row.pre): 1 for t in SELECTORS for p, tree in trees.items() for n in tree.values() if n.row.in_body and any(matches(n, part) for part in compile_selector(t).parts)}
+    want |= {k: 1 for k in old if k[0] in texts} | {("two", *k[1:]): 1 for k in want if k[0] == "nav"} | {("two", p, n.row.pre): 1 for p, tree in trees.items() for n in tree.values() if n.row.in_body and n.row.tag == "nav"}
+    want |= {("two", *k[1:]): 1 for k in old if k[0] == "nav > div"}
+    assert got == want
+    assert [r["rule"] for r in index.errors.collect()] == ["bad"] and index.wider and index.lists
+
+
+def test_rules_of_odd_tables(spark, nodes):
+    schema = "rule string, selector string, state long, key string"
+    empty = spark.createDataFrame([], schema)
+    assert jobs.match_rules(nodes, empty).count() == 0
+    odd = spark.createDataFrame([(None, "div", 1, "k"), ("n", None, 1, "k"), ("d", "div", 2, "k"), ("d", "div", 2, "k")], schema)
+    index = rule_index(spark, odd)
+    assert [r["rule"] for r in index.errors.collect()] == ["n"]
+    assert jobs.match_rules(nodes, index).count() == select(nodes, "div").count()
+    with pytest.raises(SelectorParseError):
+        jobs.match_rules(nodes, odd)
+    many = [f"div:nth-child({i})" for i in range(1, 30)]
+    assert any_css_matches(nodes, many).where("matches").count() == any_css_matches(nodes, ["div:nth-child(-n+29)"]).where("matches").count()
+
+
 def test_unwritten_nodes_give_the_same(pages, nodes):
     fresh = shred(pages)
     for s in ("div > span + nav ~ div", ":nth-last-child(2)", ":empty"):

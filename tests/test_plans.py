@@ -90,3 +90,13 @@ def test_clone_joins_once(nodes):
 def test_unused_index_windows_are_pruned(spark):
     n = with_index(shred(pages(spark, SF)))
     assert "Window" not in plan(n.filter("tag = 'p'").select("page_id", "pre"))
+
+
+def test_the_plan_does_not_grow_with_the_rules(spark, nodes):
+    def shape(n):
+        rules = spark.range(n).selectExpr("cast(id as string) as rule", "concat('nav li:nth-child(', id, ') > a, p.c', id, ', article#x', id, ' b') as selector")
+        matched = jobs.match_rules(nodes, rules)
+        lines = matched._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        return [re.sub(r"(#|x_)\d+L?|/\S+", "", line) for line in lines]
+
+    assert shape(10) == shape(2000)
