@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from domloom.errors import SelectorParseError
-from domloom.functions.props import attr
-from domloom.operators.assemble import assemble, with_piece
+from domloom.functions.props import attr, is_text
+from domloom.operators.assemble import OPENING, PAIRS, SLICE, marks, pages_of, piece
 from domloom.operators.mutate import strip_tags
 from domloom.operators.select import select
 from domloom.operators.text import text
@@ -72,28 +72,32 @@ def extract_fields(pages: DataFrame, nodes: DataFrame, fields: dict, scope: str
     """
     hits = match_rules(nodes, {name: spec[0] for name, spec in fields.items()}, scope)
     texts = [name for name, spec in fields.items() if spec[1] == "text()"]
-    found = None
-    if len(texts) < len(fields):
-        value = F.lit(None).cast("string")
-        for name, (_, what, _) in fields.items():
-            if what != "text()":
-                value = F.when(F.col("rule") == name, attr(what)).otherwise(value)
-        found = hits.filter(~F.col("rule").isin(texts)).select("page_id", "rule", "pre", value.alias("value"))
+    value = F.lit(None).cast("string")
+    for name, (_, what, _) in fields.items():
+        if what != "text()":
+            value = F.when(F.col("rule") == name, attr(what)).otherwise(value)
+    # What is asked of a node, evaluated once: its text, which puts two marks on the page, or an attribute's value.
+    asked = hits.select("page_id", "pre", "last", "depth", F.struct("rule", F.col("rule").isin(texts).alias("text"), value.alias("value")).alias("_one"))
+    ends = marks(key="a.rule")
+    brought = f"struct({OPENING}, 0 as sub, cast(null as string) as piece, cast(null as bigint) as ctx, a.rule as key, a.value as note)"
     if texts:
-        contexts = hits.filter(F.col("rule").isin(texts)).select("page_id", "pre", "last", "rule")
-        rows = with_piece(nodes, F.col("data"), contexts, contexts)
-        joined = assemble(contexts, rows, "inline(array(struct(pre as at, piece)))", keys=("rule",))
-        joined = joined.select("page_id", "rule", "pre", F.col("joined").alias("value"))
-        found = joined if found is None else found.unionByName(joined)
-    columns = []
-    for name, (_, _, which) in fields.items():
-        mine = F.col("rule") == name
-        if which == "first":
-            columns.append(F.min_by(F.when(mine, F.col("value")), F.when(mine, F.col("pre"))).alias(name))
-        else:
-            listed = F.sort_array(F.collect_list(F.when(mine, F.struct("pre", "value"))))
-            columns.append(F.transform(listed, lambda r: r["value"]).alias(name))
-    out = pages.select("page_id").join(found.groupBy("page_id").agg(*columns), "page_id", "left")
+        asked = asked.groupBy("page_id", "pre").agg(F.collect_list("_one").alias("_asked"))  # one for each field at most
+        rows = nodes.join(asked, ["page_id", "pre"], "left").filter(is_text() | F.col("_asked").isNotNull())
+        of_each = f"flatten(transform(coalesce(_asked, array()), a -> if(a.text, array({', '.join(ends)}), array({brought}))))"
+        rows = rows.selectExpr("page_id", f"inline(concat(if(kind = 3, array({piece(OPENING, 'data')}), array()), {of_each}))")
+    else:
+        rows = asked.withColumnRenamed("_one", "a").selectExpr("page_id", f"inline(array({brought}))")
+    brought = F.expr("sort_array(collect_list(if(ctx is null and key is not null, struct(key, pos as pre, note as value), null))) as brought")
+    pages_ = pages_of(rows, brought)
+    of_marks = f"transform({PAIRS}, i -> struct(marks[2 * i].key as key, marks[2 * i].ctx as pre, {SLICE.format(i='i')} as value))"
+    found = pages_.selectExpr("page_id", f"concat({of_marks}, brought) as found")
+
+    def field(name, which):
+        mine = F.filter("found", lambda f: f["key"] == name)  # in document order
+        return (F.get(mine, F.lit(0))["value"] if which == "first" else F.transform(mine, lambda f: f["value"])).alias(name)
+
+    columns = [field(name, which) for name, (_, _, which) in fields.items()]
+    out = pages.select("page_id").join(found.select("page_id", *columns), "page_id", "left")
     filled = [
         F.coalesce(name, F.array().cast("array<string>")).alias(name) if spec[2] == "all" else F.col(name)
         for name, spec in fields.items()

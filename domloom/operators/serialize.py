@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.operators.assemble import assemble, contexts_of
-from domloom.operators.index import with_index
+from domloom.operators.assemble import CLOSING, OPENING, marks, piece, slices
 
 # Fixed values of the HTML standard's serialization rules.
 NO_CLOSE = "area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split()
@@ -49,14 +48,10 @@ def _prints(raw=False, without_closing=False, tag_with_ns=False, full_doctype=Fa
 
 
 def _html(contexts, nodes: DataFrame, inner: bool, prints, scope: str, include_root: bool) -> DataFrame:
-    opening, closing = (f"if(pre = _lo, null, {p})" if inner else p for p in prints)
-    # Of nodes that end together the deeper closes first.
-    items = f"""inline(array_compact(array(
-        struct(struct(pre as pos, 0 as phase, 0 as tie) as at, {opening} as piece),
-        if(kind = 1, struct(struct(last as pos, 1 as phase, -depth as tie) as at, {closing} as piece), null))))"""
-    rows = with_index(nodes).select("page_id", "pre", "last", "depth", "kind", "ns", "tag", "attrs", "data", "verbatim")
-    chosen = contexts_of(contexts, nodes, scope, include_root)
-    return assemble(chosen, rows, items, "cast(depth as string)").withColumnRenamed("joined", "html")
+    opening, closing = prints
+    pieces = [piece(OPENING, opening), f"if(kind = 1, {piece(CLOSING, closing)}, null)"]
+    out = slices(contexts, nodes, pieces, marks(inner, "cast(depth as string)"), scope, include_root)
+    return out.withColumnRenamed("joined", "html")
 
 
 def outer_html(contexts, nodes: DataFrame, scope: str = "body", include_root: bool = False) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from domloom.functions.props import is_empty_text_node, is_text
 from domloom.functions.strings import trim_unicode
-from domloom.operators.assemble import assemble, contexts_of, with_piece
+from domloom.operators.assemble import OPENING, marks, slices
+from domloom.operators.assemble import piece as text_piece
 from domloom.operators.index import with_index
 from domloom.operators.targets import flagged
 
@@ -29,10 +30,12 @@ def text(contexts, nodes: DataFrame, strip: bool = False, per_fragment: bool = F
             used = used & ~is_empty_text_node()
         if strip:
             piece = trim_unicode(piece)
-    chosen = contexts_of(contexts, nodes, scope, include_root)
-    rows = with_piece(with_index(nodes), F.when(used, piece), chosen, contexts)
-    items = "inline(array(struct(pre as at, piece)))"
-    out = assemble(chosen, rows, items, "if(kind = 8, data, null)", separator if per_fragment else "")
+    between = separator if per_fragment else ""
+    rows = with_index(nodes).withColumn("_text", F.concat(piece, F.lit(between)) if between else piece)
+    ends = marks(note="if(kind = 8, data, null)")
+    out = slices(contexts, rows, [text_piece(OPENING, "_text")], ends, scope, include_root, used)
+    if between:  # one stands after the last piece too
+        out = out.withColumn("joined", F.expr(f"if(joined = '', '', substring(joined, 1, length(joined) - {len(between)}))"))
     whole = F.coalesce("note", "joined")
     return out.select("page_id", "pre", (trim_unicode(whole) if strip and not per_fragment else whole).alias("text"))
 

@@ -216,6 +216,31 @@ def test_text_and_html(nodes, trees):
     assert got_html == {(p, n.row.pre): n.html() for p, n in divs}
 
 
+@pytest.mark.parametrize("contexts", ["*", "div, nav span"])
+def test_slices_of_contexts_inside_each_other(nodes, trees, contexts):
+    ctx = select(nodes, contexts)
+    for given in (contexts, ctx, ctx.unionByName(ctx)):
+        own = {(r.page_id, r.pre): r.text for r in text(given, nodes).collect()}
+        parts = {(r.page_id, r.pre): r.text for r in text(given, nodes, per_fragment=True, separator=" é ", skip_empty=True, strip=True).collect()}
+        outer = {(r.page_id, r.pre): r.html for r in serialize.outer_html(given, nodes).collect()}
+        inner = {(r.page_id, r.pre): r.html for r in serialize.inner_html(given, nodes).collect()}
+        want = {(p, n.row.pre): n for p, t in trees.items() for n in t.values() if n.row.in_body and any(matches(n, part) for part in compile_selector(contexts).parts)}
+        assert own == {k: n.text() for k, n in want.items()}
+        assert outer == {k: n.html() for k, n in want.items()}
+        assert inner == {k: "".join(kid.html() for kid in n.kids) for k, n in want.items()}
+        assert parts == {k: " é ".join(d.row.data.strip() for d in n.walk() if d.row.kind == 3 and d.row.data.strip()) for k, n in want.items()}
+
+
+def test_contexts_without_pieces(spark, nodes):
+    """A context that is no node of the table gives no row."""
+    lost = spark.createDataFrame([(999_999, 5, 9, 3, 1, None)], "page_id long, pre long, last long, depth int, kind int, data string")
+    assert text(lost, nodes).count() == 0 and serialize.outer_html(lost, nodes).count() == 0
+    bare = shred(spark.createDataFrame([(1, "<div><br></div><p>x"), (2, "")], "page_id long, html string"))
+    assert [r.text for r in text("div", bare).collect()] == [""] and [r.html for r in serialize.inner_html("br", bare).collect()] == [""]
+    assert sorted(r.text for r in text(select(bare, "div br, body > *"), bare).collect()) == ["", "", "x"]
+    assert text(select(nodes, "div").limit(0), nodes).count() == 0 and serialize.inner_html("#nowhere", nodes).count() == 0
+
+
 def test_axes(nodes, trees):
     got = sorted((r.page_id, r.ctx_pre, r.pre) for r in axes.descendants(select(nodes, "div"), nodes).collect())
     want = [(p, n.row.pre, d.row.pre) for p, t in trees.items() for n in t.values() if n.row.tag == "div" for d in n.walk() if d is not n]

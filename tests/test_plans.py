@@ -83,6 +83,21 @@ def test_attribute_fields_need_no_interval_join(spark, nodes):
     assert "_block" not in plan(jobs.extract_fields(pages(spark, SF), nodes, fields))
 
 
+@pytest.mark.parametrize("contexts", ["*", "p", "article p b"])
+def test_text_and_html_are_slices(nodes, contexts):
+    """One window and no join: a piece is handled once, however many contexts are around it."""
+    for df in (text(contexts, nodes), serialize.outer_html(contexts, nodes), serialize.inner_html(contexts, nodes)):
+        p = plan(df)
+        assert p.count("Join ") == (" " in contexts) and "_block" not in p and "Exchange" not in p
+
+
+def test_fields_evaluate_their_hits_once(spark, nodes):
+    fields = {"a": ("nav a", "href", "first"), "b": ("h1", "text()", "first"), "c": ("li", "text()", "all")}
+    p = plan(jobs.extract_fields(pages(spark, SF), nodes, fields))
+    assert len(re.findall(r"FileScan parquet spark_catalog", p)) == 2  # the hits, and the text
+    assert "_block" not in p
+
+
 def test_clone_joins_once(nodes):
     assert plan(mutate.clone_subtree(select(nodes, "nav"), nodes)).count("Join ") == 1
 
