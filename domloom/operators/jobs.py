@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from domloom.errors import SelectorParseError
 from domloom.functions.props import attr, is_text
 from domloom.operators.assemble import OPENING, PAIRS, SLICE, marks, pages_of, piece
+from domloom.operators.css import css_rules
 from domloom.operators.mutate import strip_tags
 from domloom.operators.select import select
 from domloom.operators.text import text
@@ -15,8 +16,6 @@ from domloom.plans.match import match_parts
 from domloom.plans.rules import FEW, RuleIndex, match_index, rule_index
 from domloom.plans.selector import compile_selector
 
-_STYLE_RULE = r"([^{}]+)\{([^{}]*)\}"
-
 
 def match_rules(nodes: DataFrame, rules: dict | DataFrame | RuleIndex, scope: str = "body") -> DataFrame:
     """Many selectors over all pages at once: rows ``rule`` + node columns, one per (rule, node).
@@ -40,28 +39,14 @@ def match_rules(nodes: DataFrame, rules: dict | DataFrame | RuleIndex, scope: st
 
 
 def style_rules(nodes: DataFrame) -> DataFrame:
-    """``(page_id, pre, selector, prop, value)`` of the flat rules in every ``style`` element.
+    """``(page_id, pre, selector, prop, value, condition)`` of the rules in every ``style`` element; see ``css_rules``.
 
-    ``pre`` is the text node holding the rule.  Comments are dropped; at-rules with blocks inside are not read.
+    ``pre`` is the text node holding the rule.
     """
     # A style element holds nothing but its text, so the text rows' parents are the style elements.
     styles = select(nodes, "style", "document").select("page_id", F.col("pre").alias("parent"))
     css = nodes.filter("kind = 3").join(styles, ["page_id", "parent"], "left_semi")
-    css = css.select("page_id", "pre", F.regexp_replace("data", r"(?s)/\*.*?\*/", "").alias("css"))
-    rules = css.select("page_id", "pre", F.explode(F.regexp_extract_all("css", F.lit(_STYLE_RULE), F.lit(0))).alias("rule"))
-    parts = rules.select(
-        "page_id",
-        "pre",
-        F.trim(F.regexp_extract("rule", _STYLE_RULE, 1)).alias("selector"),
-        F.explode(F.split(F.regexp_extract("rule", _STYLE_RULE, 2), ";")).alias("decl"),
-    ).filter("decl like '%:%'")
-    return parts.select(
-        "page_id",
-        "pre",
-        "selector",
-        F.lower(F.trim(F.substring_index("decl", ":", 1))).alias("prop"),
-        F.trim(F.regexp_replace("decl", r"^[^:]*:", "")).alias("value"),
-    )
+    return css_rules(css.select("page_id", "pre", F.col("data").alias("css")))
 
 
 def extract_fields(pages: DataFrame, nodes: DataFrame, fields: dict, scope: str = "body") -> DataFrame:

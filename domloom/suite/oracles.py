@@ -303,6 +303,12 @@ ORACLES = {
         UNION ALL SELECT page_id, 'p', 1 FROM parts WHERE contains(article, '<p>')"""),
     "style_rules": r"""SELECT page_id, regexp_extract(css, '^(.*)\{', 1) AS selector, regexp_extract(css, '\{(.*):', 1) AS prop,
           regexp_extract(css, ':(.*)\}', 1) AS value FROM (SELECT page_id, regexp_extract(html, '<style>(.*?)</style>', 1) AS css FROM pages)""",
+    "style_nested": """WITH rules AS (
+          SELECT doc_id AS page_id, '@media (min-width: ' || n_chars || 'px)' AS media, lang, n_chars, doc_id FROM documents)
+        SELECT page_id, 'p.' || lang AS selector, unnest(['color', 'content']) AS prop, unnest(['red', '"};{"']) AS value, media AS condition FROM rules
+        UNION ALL SELECT page_id, '#doc-' || doc_id || ', a', 'margin', '0 ' || n_chars || 'px', media || ' @supports (gap: 1px)' FROM rules
+        UNION ALL SELECT page_id, '@font-face', 'src', 'url(' || lang || ')', NULL FROM rules
+        UNION ALL SELECT page_id, 'h1 > b i, u', 'width', n_chars::VARCHAR, NULL FROM rules""",
     "extract_fields": f"""WITH {PARAS} SELECT page_id, {_decoded('h1')} AS title, hrefs[1] AS first_link, hrefs[3] AS third_link,
           array_to_string(hrefs, ' ') AS links, text AS lead FROM parts JOIN paras USING (page_id) WHERE i = 1""",
     "link_edges": f"WITH {LINKS} SELECT page_id, url, href FROM links",

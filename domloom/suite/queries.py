@@ -9,6 +9,7 @@ from domloom.functions import props
 from domloom.functions.props import attr
 from domloom.operators import axes, collection, jobs, mutate, serialize
 from domloom.operators import select as s
+from domloom.operators.css import css_rules
 from domloom.operators.text import text, text_shallow
 from domloom.plans.selector import compile_selector
 from domloom.session import shared_dir
@@ -718,6 +719,18 @@ def style_rules(spark, sf):
     return jobs.style_rules(page_nodes(spark, sf)).select("page_id", "selector", "prop", "value")
 
 
+@query
+def style_nested(spark, sf):
+    """At-rules inside each other, strings and comments with delimiters, a sheet that ends in the middle of a rule."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    n, doc = F.col("n_chars").cast("string"), F.col("doc_id").cast("string")
+    css = F.concat(
+        F.lit("/* } "), "lang", F.lit(" { */\n@media (min-width: "), n, F.lit("px) { p."), "lang", F.lit(' { COLOR : red; content: "};{"; }\n@supports (gap: 1px) { #doc-'), doc,
+        F.lit(", a { margin:0 "), n, F.lit("px } } } @import 'x;y.css'; @font-face { src: url("), "lang", F.lit(") } } h1 > b { & i, u { width: "), n,
+    )
+    return css_rules(docs.select(F.col("doc_id").alias("page_id"), F.lit(1).cast("long").alias("pre"), css.alias("css"))).drop("pre")
+
+
 @query
 def extract_fields(spark, sf):
     fields = {
