@@ -8,7 +8,7 @@ are then decided from left to right by windows inside ``page_id``:
 * child, next sibling: matched nodes and candidates meet in one group, keyed by the candidate's
   ``parent`` (``prev_el``) and the matched node's ``pre``;
 * later sibling: a running flag among the children of one parent;
-* ``:has()`` is the mirror image: the least ``pre`` of a hit after the node is at most its ``last``.
+* what ``:has()``, ``:not()`` and others ask of further nodes is settled before, as flags (:mod:`domloom.plans.flags`).
 
 All windows partition by ``page_id`` first, so they share one exchange, and none on a bucketed
 table.  The cost per page is that of a sort, whatever the number of matches.
@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domloom.operators.index import with_index
-from domloom.plans.selector import Complex, Selector, any_of
+from domloom.plans.flags import Flags
+from domloom.plans.selector import Selector, any_of
 
 SCOPES = ("body", "head", "document")
 
@@ -35,68 +36,23 @@ def scope_filter(scope: str, include_root: bool) -> Column:
     return inside | ((F.col("tag") == scope) & (F.col("depth") == 2)) if include_root else inside
 
 
-def _with_not_flags(rows: DataFrame, nodes: DataFrame, parts: list[Complex]):
-    """Add to ``rows`` one flag column per complex ``:not`` argument (an outer join with its matches)."""
-    flags = {}
-    for part in parts:
-        for step in part.steps:
-            for arg in step.complex_nots():
-                if id(arg) in flags:
-                    continue
-                name = f"_not{len(flags)}"
-                hits = match_parts(nodes, {0: [arg]}, "document", True).select("page_id", "pre", F.lit(True).alias(name))
-                rows = rows.join(hits, ["page_id", "pre"], "left")
-                flags[id(arg)] = F.coalesce(F.col(name), F.lit(False))
-    return rows, lambda arg: flags[id(arg)]
-
-
-def _with_has_flags(nodes: DataFrame, parts: list[Complex]):
-    """Add to ``nodes`` one flag column per ``:has`` argument, by windows inside the page."""
-    flags = {}
-    columns = nodes.columns
-    for part in parts:
-        for relative in (r for step in part.steps for r in step.relatives()):
-            if id(relative) in flags:
-                continue
-            name = f"_has{len(flags)}"
-            nodes = nodes.withColumn("_hit", relative.step.column())
-            after = "order by pre rows between 1 following and unbounded following"
-            if relative.combinator == " ":
-                found = f"min(if(_hit, pre, null)) over (partition by page_id {after}) <= last"
-            elif relative.combinator == "~":
-                found = f"max(_hit) over (partition by page_id, parent {after})"
-            else:  # a hit also goes to the group of its parent or of the element before it, and marks that node there
-                link = "parent" if relative.combinator == ">" else "prev_el"
-                own, sent = "named_struct('_at', pre, '_sent', false)", f"named_struct('_at', {link}, '_sent', true)"
-                nodes = nodes.selectExpr("*", f"inline(if(_hit and {link} is not null, array({own}, {sent}), array({own})))")
-                found = "max(_sent) over (partition by page_id, _at)"
-            nodes = nodes.selectExpr("*", f"coalesce({found}, false) as {name}")
-            if relative.combinator in (">", "+"):
-                nodes = nodes.filter("not _sent")
-            nodes = nodes.select(*columns, *[f"_has{i}" for i in range(len(flags) + 1)])
-            flags[id(relative)] = F.col(name)
-    return nodes, flags
-
-
 def match_parts(nodes: DataFrame, rules: dict, scope: str, include_root: bool) -> DataFrame:
     """Rows ``rule`` + node columns for every (rule, node) match; ``rules`` maps a rule id to its parts."""
     nodes = with_index(nodes)
     columns = nodes.columns
     parts = [(rule, p) for rule, ps in rules.items() for p in ps]
     tags = {s.tag for _, p in parts for s in p.steps}
-    all_rows, has = _with_has_flags(nodes, [p for _, p in parts])
-    rows = all_rows if None in tags else all_rows.filter(F.col("tag").isin(sorted(tags)))
-    rows, not_flag = _with_not_flags(rows, nodes, [p for _, p in parts])
-
-    def flag(arg):
-        return has[id(arg)] if id(arg) in has else not_flag(arg)
-
+    flags = Flags(nodes)
+    for _, part in parts:
+        for step in part.steps:
+            flags.settle(step)
+    rows = flags.rows if None in tags else flags.rows.filter(F.col("tag").isin(sorted(tags)))
     in_scope = scope_filter(scope, include_root)
     roles, conditions = [], []
     for number, (rule, part) in enumerate(parts):
         for step, compound in enumerate(part.steps):
             final = step == len(part.steps) - 1
-            cond = compound.column(flag) & in_scope if final else compound.column(flag)
+            cond = compound.column(flags) & in_scope if final else compound.column(flags)
             conditions.append(cond)
             roles.append((cond, f"named_struct('part', {number}, 'step', {step}, 'final', {str(final).lower()})"))
     rows = rows.filter(any_of(conditions))

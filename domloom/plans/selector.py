@@ -27,6 +27,8 @@ _ATTRIB = re.compile(
 )
 _PSEUDO = re.compile(rf":({_IDENT})(\()?", re.A)
 _NTH = re.compile(r"(?:([+-]?\d*)n(?:\s*([+-])\s*(\d+))?|([+-]?\d+))", re.I)
+_NTH_OF = re.compile(r"\s*([^()]*?)\s+of\s+", re.I)
+_LANGUAGE = re.compile(rf"{_SPACE}({_IDENT}|{_STRING}){_SPACE}([,)])", re.A)
 _COMBINATOR = re.compile(r"[ \t\n\f\r]*([>+~])[ \t\n\f\r]*|[ \t\n\f\r]+")
 _ESCAPE = re.compile(r"\\(?:([0-9a-fA-F]{1,6})[ \t\n\f\r]?|(.))", re.S)
 
@@ -54,27 +56,20 @@ class Compound:
     tag: str | None = None
     tests: list[tuple] = field(default_factory=list)
 
-    def complex_nots(self):
-        for test in self.tests:
-            if test[0] in ("not", "is"):
-                yield from (c for c in test[1] if len(c.steps) > 1)
-                yield from (n for c in test[1] for s in c.steps for n in s.complex_nots())
-
-    def relatives(self):
-        """The arguments of every ``:has()``, those inside ``:is()`` and ``:not()`` too."""
-        for test in self.tests:
-            if test[0] == "has":
-                yield from test[1]
-            elif test[0] in ("not", "is"):
-                yield from (r for c in test[1] for s in c.steps for r in s.relatives())
+    def alone(self) -> bool:
+        """The element's own row decides: nothing inside looks at other nodes."""
+        return all(
+            test[0] not in ("has", "lang", "nth_of") and (test[0] not in ("not", "is") or all(len(c.steps) == 1 and c.steps[0].alone() for c in test[1]))
+            for test in self.tests
+        )
 
-    def column(self, not_flag=None) -> Column:
-        """Boolean, never-NULL Column; ``not_flag`` maps a complex ``:not`` or a ``:has`` argument to its flag Column."""
+    def column(self, flags=None) -> Column:
+        """Boolean, never-NULL Column; ``flags`` gives the Column of an argument that other nodes decide (see plans.flags)."""
         cond = F.col("kind") == ELEMENT
         if self.tag:
             cond = cond & (F.col("tag") == self.tag)
         for test in self.tests:
-            cond = cond & _TESTS[test[0]](not_flag, *test[1:])
+            cond = cond & _TESTS[test[0]](flags, *test[1:])
         return cond
 
 
@@ -88,7 +83,7 @@ class Complex:
 
 @dataclass
 class Relative:
-    """What ``:has()`` looks for: a combinator and one compound."""
+    """What ``:has()`` looks for: a combinator and a compound, which may look for what follows it in the same way."""
 
     combinator: str
     step: Compound
@@ -102,11 +97,7 @@ class Selector:
     @property
     def is_flat(self) -> bool:
         """No combinators anywhere: one filter decides a match."""
-
-        def alone(step):
-            return not any(True for _ in step.complex_nots()) and not any(True for _ in step.relatives())
-
-        return all(len(p.steps) == 1 and alone(p.steps[0]) for p in self.parts)
+        return all(len(p.steps) == 1 and p.steps[0].alone() for p in self.parts)
 
     def column(self) -> Column:
         """The match condition of a flat selector."""
@@ -186,6 +177,15 @@ def _test_has(flags, parts):
     return any_of(flags(part) for part in parts)
 
 
+def _test_lang(flags, ranges):
+    have = F.lower(flags("lang"))
+    return any_of(F.coalesce((have == r) | have.startswith(r + "-"), F.lit(False)) for r in ranges)
+
+
+def _test_nth_of(flags, _reverse, _a, _b, parts):
+    return flags(parts)
+
+
 def _test_state(_flags, name):
     """Form and link states as the attributes alone decide them; a disabled fieldset does not reach its controls."""
 
@@ -213,13 +213,15 @@ _TESTS = {
     "is": _test_is,
     "has": _test_has,
     "state": _test_state,
+    "lang": _test_lang,
+    "nth_of": _test_nth_of,
 }
 
 _STATES = ("link", "any-link", "checked", "disabled", "enabled")
 # Fixed names: pseudo-classes of CSS that need what the node table lacks, or are not built.
 _UNSUPPORTED = (
     "active autofill blank current default defined dir focus focus-visible focus-within fullscreen future host hover in-range "
-    "indeterminate invalid lang local-link modal muted nth-col nth-last-col open optional out-of-range past paused picture-in-picture "
+    "indeterminate invalid local-link modal muted nth-col nth-last-col open optional out-of-range past paused picture-in-picture "
     "placeholder-shown playing popover-open read-only read-write required scope target target-within user-invalid user-valid valid visited"
 ).split()
 
@@ -243,6 +245,11 @@ def _an_plus_b(text: str):
     return a, int(f"{m[2]}{m[3]}") if m[3] else 0
 
 
+def _has_inside(compound: Compound) -> bool:
+    inner = [step for test in compound.tests if test[0] in ("not", "is", "nth_of") for part in test[-1] for step in part.steps]
+    return any(test[0] == "has" for test in compound.tests) or any(map(_has_inside, inner))
+
+
 class _Reader:
     def __init__(self, text):
         self.text, self.pos = text, 0
@@ -284,18 +291,20 @@ class _Reader:
             steps.append(self.compound())
 
     def relative_list(self):
-        """Arguments of ``:has()``: a compound each, with or without a combinator before it."""
+        """Arguments of ``:has()``: complex selectors, with or without a combinator before them.
+
+        What stands right of a compound is looked for from there: ``:has(> a b)`` asks for ``> a`` that has a ``b``.
+        """
         out = []
         while True:
             self.take(re.compile(_SPACE))
             m = self.take(_COMBINATOR)
             part = self.complex(")")
-            step = part.steps[0]
-            if any(True for s in part.steps for _ in s.relatives()):
+            if any(_has_inside(step) for step in part.steps):
                 self.fail()
-            if len(part.steps) > 1 or any(True for _ in step.complex_nots()):
-                raise UnsupportedSelector(f":has() with combinators inside in {self.text!r}")
-            out.append(Relative(m[1] if m else " ", step))
+            for i in range(len(part.steps) - 1, 0, -1):
+                part.steps[i - 1].tests.append(("has", [Relative(part.combinators[i], part.steps[i])]))
+            out.append(Relative(m[1] if m else " ", part.steps[0]))
             closing = self.text[self.pos : self.pos + 1]
             self.pos += 1
             if closing == ")":
@@ -324,6 +333,15 @@ class _Reader:
             self.fail()
         return out
 
+    def languages(self):
+        """Arguments of ``:lang()``: names or strings, lower-cased; an empty one matches nothing."""
+        out = []
+        while m := self.take(_LANGUAGE):
+            out.append(_plain(m[1][1:-1] if m[1][0] in "\"'" else m[1]).lower())
+            if m[2] == ")":
+                return tuple(r for r in out if r)
+        self.fail()
+
     def pseudo(self, name, call, out):
         if call and name in ("not", "is", "where", "matches"):
             out.tests.append(("not" if name == "not" else "is", self.selector_list(")")))
@@ -331,14 +349,17 @@ class _Reader:
             out.tests.append(("has", self.relative_list()))
         elif not call and name in _STATES:
             out.tests.append(("state", name))
+        elif call and name == "lang":
+            out.tests.append(("lang", self.languages()))
+        elif call and name in ("nth-child", "nth-last-child") and (m := _NTH_OF.match(self.text, self.pos)) and _an_plus_b(m[1]):
+            self.pos = m.end()
+            out.tests.append(("nth_of", name == "nth-last-child", *_an_plus_b(m[1]), self.selector_list(")")))
         elif name in _UNSUPPORTED:
             raise UnsupportedSelector(f":{name} in {self.text!r}")
         elif call and name in _NTH_COLUMN:
             stop = self.text.find(")", self.pos)
             nth = _an_plus_b(self.text[self.pos : stop]) if stop >= 0 else None
             if nth is None:
-                if stop >= 0 and _an_plus_b(self.text[self.pos : stop].partition(" of ")[0]):
-                    raise UnsupportedSelector(f":{name}(... of ...) in {self.text!r}")
                 self.fail()
             self.pos = stop + 1
             out.tests.append(("position", _NTH_COLUMN[name], *nth))

@@ -41,7 +41,7 @@ def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit('<p data-i="'), i.cast("string"), F.lit('">'), escape_text(line), F.lit("</p>\n"))
 
     html = F.concat(
-        F.lit('<div id="doc-'), doc, F.lit('" class="doc '), "lang", F.lit("  "), "source", F.lit('">\n <!--'), "lang", F.lit("-->"),
+        F.lit('<!DOCTYPE html PUBLIC "-//W3C//DTD HTML 4.01//EN" "http://www.w3.org/TR/html4/strict.dtd"><div id="doc-'), doc, F.lit('" class="doc '), "lang", F.lit("  "), "source", F.lit('">\n <!--'), "lang", F.lit("-->"),
         F.array_join(F.transform(F.split("text", "\n"), paragraph), ""),
         F.lit('<input disabled value="'), number, F.lit('"><ul class="meta"><li>'), "lang",
         F.lit("<ul><li>"), "source", F.lit("</li></ul></li><li>"), number, F.lit("</li></ul></div>"),

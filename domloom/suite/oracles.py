@@ -157,6 +157,18 @@ ORACLES = {
         UNION ALL SELECT page_id, 'none', count(*) FROM own WHERE NOT bold GROUP BY page_id
         UNION ALL SELECT page_id, 'next', n - 1 FROM own GROUP BY page_id, n HAVING n > 1
         UNION ALL SELECT page_id, unnest(['later', 'then']), 1 FROM own GROUP BY page_id""",
+    "sel_has_chain": f"""WITH {BLOCKS}, own AS (SELECT page_id, n_b > 0 AS bold, row_number() OVER (PARTITION BY page_id ORDER BY i) AS k FROM blocks WHERE tag = 'p')
+        SELECT page_id, 'chain' AS rule, 1::BIGINT AS n FROM own WHERE k = 1 AND bold
+        UNION ALL SELECT page_id, 'later', 1 FROM own WHERE bold GROUP BY page_id
+        UNION ALL SELECT page_id, 'none', CASE WHEN len(hrefs) > 0 THEN 3 ELSE 4 END FROM parts""",
+    "sel_lang": f"""WITH {PARAS} SELECT page_id, 'p' AS rule, count(*) AS n FROM paras JOIN parts USING (page_id) WHERE lang = 'en' GROUP BY ALL
+        UNION ALL SELECT page_id, 'other', 1 FROM parts WHERE lang NOT IN ('en', 'de')""",
+    "sel_nth_of": f"""WITH {BLOCKS}, own AS (SELECT page_id, count(*) AS n, count(*) FILTER (n_b > 0) AS bold FROM blocks WHERE tag = 'p' GROUP BY page_id)
+        SELECT page_id, 'second' AS rule, 1::BIGINT AS n FROM own WHERE bold > 1
+        UNION ALL SELECT page_id, 'even', n // 2 FROM own WHERE n > 1
+        UNION ALL SELECT page_id, 'last', 1 FROM parts WHERE len(hrefs) > 1""",
+    "sel_errors": f"""WITH {TAGS}, sums AS (SELECT tag, sum(n) AS n FROM body_tags GROUP BY tag)
+        SELECT tag AS rule, n::BIGINT AS n FROM sums UNION ALL SELECT DISTINCT 'bad ' || tag, -1 FROM tags""",
     "sel_states": f"""WITH {LINES} SELECT doc_id AS page_id, unnest(['disabled', 'not_enabled']) AS rule, 1::BIGINT AS n FROM documents""",
     "sel_links": f"WITH {LINKS} SELECT page_id, count(*) AS n FROM links GROUP BY ALL",
     "duplicate_ids": "SELECT page_id, 2::BIGINT AS n FROM pages",
@@ -266,6 +278,9 @@ ORACLES = {
           || '    <html:input disabled value="' || n_chars || '">' || chr(10) || '    <html:ul class="meta">' || chr(10) || '      <html:li>' || chr(10)
           || lang || chr(10) || '        <html:ul>' || chr(10) || '          <html:li>' || chr(10) || source || chr(10) || '      <html:li>' || chr(10)
           || n_chars || chr(10) AS html FROM documents JOIN body USING (doc_id)""",
+    "doctype_full": """SELECT doc_id AS page_id, unnest([false, true]) AS flag, unnest(['<!DOCTYPE html>' || chr(10),
+          '<!DOCTYPE html PUBLIC "-//W3C//DTD HTML 4.01//EN" "http://www.w3.org/TR/html4/strict.dtd">' || chr(10)]) AS html FROM documents""",
+    "pretty_escapes": f"""WITH {LINES} SELECT doc_id AS page_id, CASE WHEN line = '' THEN '' ELSE {_escaped('line')} || chr(10) END AS html FROM lines""",
     "decompose": f"""WITH {BODY_TAGS}, kept AS (
           SELECT page_id, tag, n FROM body_tags WHERE tag NOT IN ('p', 'b', 'br')
           UNION ALL SELECT page_id, 'b', n_b FROM blocks WHERE tag = 'footer' AND n_b > 0)

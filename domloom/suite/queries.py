@@ -11,6 +11,7 @@ from domloom.operators import axes, collection, jobs, mutate, serialize
 from domloom.operators import select as s
 from domloom.operators.css import css_rules
 from domloom.operators.text import text, text_shallow
+from domloom.plans.rules import rule_index
 from domloom.plans.selector import compile_selector
 from domloom.session import shared_dir
 from domloom.sources import sql as sql_face
@@ -322,6 +323,37 @@ def sel_has(spark, sf):
     return _n(jobs.match_rules(page_nodes(spark, sf), rules), "page_id", "rule")
 
 
+@query
+def sel_has_chain(spark, sf):
+    """Combinators inside ``:has()``, and ``:not()`` with combinators inside that."""
+    rules = {"chain": "article:has(> h1 + p b)", "not": "nav:has(a:not(li > a))", "later": "h1:has(~ p > b)", "none": "body > *:not(:has(li a))"}
+    return _n(jobs.match_rules(page_nodes(spark, sf), rules), "page_id", "rule")
+
+
+@query
+def sel_lang(spark, sf):
+    rules = {"p": "article > p:lang(en)", "other": "h1:not(:lang(en, 'de'))"}
+    return _n(jobs.match_rules(page_nodes(spark, sf), rules), "page_id", "rule")
+
+
+@query
+def sel_nth_of(spark, sf):
+    rules = {"second": "p:nth-child(2 of :has(b))", "even": "p:nth-child(2n of p)", "last": "li:nth-last-child(1 of :not(:first-child))"}
+    return _n(jobs.match_rules(page_nodes(spark, sf), rules), "page_id", "rule")
+
+
+@query
+def sel_errors(spark, sf):
+    """Two rules for each tag of the corpus, one of which does not parse: the errors, and what the others match."""
+    n = page_nodes(spark, sf)
+    names = n.filter(props.is_element()).select("tag").distinct()
+    rules = names.selectExpr("inline(array(struct(tag as rule, tag as selector), struct(concat('bad ', tag) as rule, concat(tag, '[') as selector)))")
+    index = rule_index(n.sparkSession, rules)
+    hits = _n(jobs.match_rules(n, index), "rule")
+    errors = index.errors.select("rule", F.lit(-1).cast("long").alias("n"))
+    return hits.unionByName(errors)
+
+
 @query
 def sel_states(spark, sf):
     rules = {"disabled": "input:disabled", "not_enabled": "input:not(:enabled)"}
@@ -600,6 +632,21 @@ def pretty_flags(spark, sf):
     ).select("page_id", "html")
 
 
+@query
+def doctype_full(spark, sf):
+    n = doc_nodes(spark, sf)
+    types = n.filter("kind = 10")
+    short, full = (serialize.outer_html_pretty(types, n, full_doctype=f).withColumn("flag", F.lit(f)) for f in (False, True))
+    return short.unionByName(full).select("page_id", "flag", "html")
+
+
+@query
+def pretty_escapes(spark, sf):
+    """Pretty print with escapes: every line of a document is a text node."""
+    n = doc_nodes(spark, sf)
+    return serialize.inner_html_pretty("p", n).select("page_id", "pre", "html").select("page_id", "html")
+
+
 # -- edits
 
 

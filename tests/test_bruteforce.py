@@ -26,6 +26,7 @@ def random_html(rng, depth=0):
         else:
             tag = rng.choice(TAGS)
             cls = rng.choice(["", ' class="a"', ' class="a b"', ' class="b" id="k"', ' title="x-1"'])
+            cls += rng.choice([""] * 6 + [' lang="en"', ' lang="EN-us"', ' lang="fr"', ' lang=""', " lang"])
             out += f"<{tag}{cls}>{random_html(rng, depth + 1)}</{tag}>"
     return out
 
@@ -64,7 +65,7 @@ class Node:
             return self.row.data.replace("&", "&amp;")
         if self.row.kind == 8:
             return f"<!--{self.row.data}-->"
-        attrs = "".join(f' {a.name}="{a.value}"' for a in self.row.attrs)
+        attrs = "".join(f" {a.name}" if a.value is None else f' {a.name}="{a.value}"' for a in self.row.attrs)
         return f"<{self.row.tag}{attrs}>{''.join(k.html() for k in self.kids)}</{self.row.tag}>"
 
 
@@ -99,6 +100,16 @@ def test_matches(node, compound):
             ok = any(matches(node, part) for part in test[1])
         elif test[0] == "has":
             ok = any(test_matches(other, r.step) for r in test[1] for other in related(node, r.combinator))
+        elif test[0] == "lang":
+            at = node
+            while at is not None and "lang" not in at.attrs:
+                at = at.up
+            own = (at.attrs["lang"] or "").lower() if at is not None else ""
+            ok = any(own == r or own.startswith(r + "-") for r in test[1])
+        elif test[0] == "nth_of":
+            same = [k for k in (node.up.elements() if node.up else [node]) if any(matches(k, p) for p in test[4])]
+            same = same[::-1] if test[1] else same
+            ok = node in same and any(test[2] * n + test[3] == same.index(node) + 1 for n in range(100))
         elif test[0] == "position":
             same = node.up.elements()
             if test[1].startswith("ty"):
@@ -150,6 +161,10 @@ SELECTORS = [
     ":nth-child(2n+1)", "div:nth-child(3)", ":nth-last-child(-n+2)", "span:nth-of-type(2)", ":only-child", ":last-of-type",
     "div > :first-child", "div:not(div div)", "span:not(div > .a, nav span)", ":not(:not(.a)) span", "div :not(.a) + .b",
     "div:has(span)", "div:has(> .a)", ".a:has(+ div)", "div:has(~ nav)", "div:not(:has(*))", "div:has(> .a, + nav) > span", ":is(nav, div:has(.b)) span",
+    "div:has(> .a span)", "div:has(.a > span + nav)", ":has(nav ~ div .b)", "nav:has(+ div > .a, > span span)", "div:has(:not(div div))", "div:not(:has(> :is(nav .a, .b + *)))",
+    ":lang(en)", "div:lang(EN, fr) > span", ":not(:lang(en))", ":lang('en-us') :has(:lang(fr))", "span:lang(de)",
+    ":nth-child(2 of .a)", "div:nth-child(odd of div, .b)", ":nth-last-child(-n+2 of :not(span))", ":nth-child(2n+1 of div > .a) span", ":nth-last-child(1 of :has(> div))",
+    "div :not(nav > *) + :is(div ~ span, div span)",
 ]
 
 
