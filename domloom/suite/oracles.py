@@ -157,6 +157,9 @@ ORACLES = {
         UNION ALL SELECT page_id, 'none', count(*) FROM own WHERE NOT bold GROUP BY page_id
         UNION ALL SELECT page_id, 'next', n - 1 FROM own GROUP BY page_id, n HAVING n > 1
         UNION ALL SELECT page_id, unnest(['later', 'then']), 1 FROM own GROUP BY page_id""",
+    "recrawled": f"""WITH {LINES}, {PARAS}
+        SELECT doc_id AS page_id, count(*) AS n FROM lines GROUP BY ALL
+        UNION ALL SELECT page_id, count(*) FROM paras WHERE page_id NOT IN (SELECT doc_id FROM documents) GROUP BY ALL""",
     "sel_has_chain": f"""WITH {BLOCKS}, own AS (SELECT page_id, n_b > 0 AS bold, row_number() OVER (PARTITION BY page_id ORDER BY i) AS k FROM blocks WHERE tag = 'p')
         SELECT page_id, 'chain' AS rule, 1::BIGINT AS n FROM own WHERE k = 1 AND bold
         UNION ALL SELECT page_id, 'later', 1 FROM own WHERE bold GROUP BY page_id

@@ -15,6 +15,7 @@ from domloom.plans.rules import rule_index
 from domloom.plans.selector import compile_selector
 from domloom.session import shared_dir
 from domloom.sources import sql as sql_face
+from domloom.sources.recrawl import PageStore
 from domloom.sources.shred import shred
 from domloom.sources.store import duplicates, materialize
 from domloom.sources.tokens import tokens
@@ -391,6 +392,17 @@ def written(spark, sf):
     return _n(n, "page_id")
 
 
+@query
+def recrawled(spark, sf):
+    """Pages crawled three times: the raw pages, then the documents' pages under the same ids, then the raw ones again, late."""
+    store = PageStore(session(spark), f"{shared_dir(spark)}/store", 8)
+    first, second = pages(spark, sf), doc_pages(spark, sf)
+    for crawl, stamp in ((first, 5), (second, 9), (first, 7)):
+        store.upsert(crawl.withColumn("stamp", F.lit(stamp)))
+    n = store.nodes()
+    return _n(s.select(n, "p"), "page_id")
+
+
 @query
 def sel_nth_child(spark, sf):
     n = page_nodes(spark, sf)
