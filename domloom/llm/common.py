@@ -6,6 +6,8 @@ import contextlib
 import ctypes
 import gc
 import tempfile
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +65,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """The rows that ``build`` gives, kept in the shared folder; all that ``build`` itself kept there is deleted.
+
+    For decisions (ids, marks), which are small beside the texts that went into them.
+    """
+    context, base = spark.sparkContext, shared_folder(spark)
+    folder = f"{base}/scratch-{uuid.uuid4().hex}"
+    context.setCheckpointDir(folder)
+    try:
+        rows = build()
+    finally:
+        context.setCheckpointDir(base)
+    kept = cut(rows)
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    del rows
+    gc.collect()
+    context._jvm.System.gc()  # Spark deletes the shuffle files of plans that nothing refers to any more
+    return kept
+
+
 def text_bytes(column: str = "text"):
     """UTF-8 bytes of the text, a null text as empty."""
     return F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8")

@@ -1,13 +1,14 @@
 """MinHash near-duplicates by an LSH forest: sorted signature orders, adaptive depth, exact confirmation.
 
-Each of ``TREES`` trees orders the documents by ``DEPTH`` minimum hashes.  Documents with a common prefix are
+Each of several trees orders the documents by ``DEPTH`` minimum hashes.  Documents with a common prefix are
 neighbours in that order.  The first candidates tie every document to the least document of its longest and of
 its shallowest shared prefix, which is linear in the group's size and joins groups of true copies at once.  Regions
-that still hold several components are looked at again: a region too large for one task takes a longer
-prefix, and one too large even at full depth is dealt out in pairs of blocks; there, only pairs of different
-components whose whole signatures agree about enough are candidates.  Such candidates are not written out: documents
-that chains of them tie together form a family, whose texts meet once (in pairs of blocks, if it is large).  Every
-candidate is confirmed on the full sets.
+that still hold several components are looked at again.  Only documents of different components matter there, so the
+rows outside a region's largest component meet all its rows, in blocks; a region with too many rows outside takes a longer
+prefix, and at full depth all of them meet.  Pairs whose whole signatures agree about enough are candidates.  Such
+candidates are not written out: documents that chains of them tie together form a family, whose texts meet once, by the
+same rule.  Every candidate is confirmed on the full sets.  The number of trees is such that full depth alone misses a
+pair at the bound with a probability of at most ``MISSED``.
 Texts with equal sets are one class and enter once.  Components come from the confirmed links by star contraction.
 """
 
@@ -21,20 +22,28 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.llm.common import cut, tidy
+from domloom.llm.common import cut, settled, tidy
 
 WORDS = 5
-TREES, DEPTH, SHALLOW = 16, 5, 2
-#: Documents of a region that one task compares.
-REGION = 500
+DEPTH, SHALLOW = 3, 2
+#: Probability that no tree joins two texts alike exactly at the bound in a full prefix.
+MISSED = 1e-6
+#: Rows outside the largest component up to which a region is compared at a shallow depth.
+REGION = 2_000
+#: Weight of the rows that one block holds: signatures by number, texts by the size of their sets.
+SIGNATURES, SHINGLES = 2_000, 1 << 18
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = 0x9E3779B97F4A7C15
 _draw = np.random.default_rng(11)
-_A = _draw.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
-_B = _draw.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
+_A = _draw.integers(1, 1 << 63, 4096, dtype=np.uint64) | np.uint64(1)
+_B = _draw.integers(0, 1 << 63, 4096, dtype=np.uint64)
+
+
+def trees(percent: int) -> int:
+    return max(1, int(np.ceil(np.log(MISSED) / np.log1p(-((min(percent, 99) / 100) ** DEPTH)))))
 
 
 def _mix(x):
@@ -96,16 +105,16 @@ def _long_set(text: bytes) -> np.ndarray:
     return np.unique(_shingles(np.concatenate(words))) if words else np.zeros(0, np.uint64)
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """TREES x DEPTH minimum hashes, 32 bits each."""
-    least = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, np.uint64)
+def signature(hashes: np.ndarray, n: int) -> np.ndarray:
+    """``n`` minimum hashes, 32 bits each."""
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(hashes), 4096):
-        part = hashes[i : i + 4096, None] * _A + _B
+        part = hashes[i : i + 4096, None] * _A[:n] + _B[:n]
         np.minimum(least, (part ^ (part >> np.uint64(32))).min(0), out=least)
     return (_mix(least) >> np.uint64(32)).astype(np.uint32)
 
 
-def _sets(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def _sets(docs: DataFrame, id_column: str, text_column: str, values: int) -> DataFrame:
     """(doc_id, n, digest, sig): size, digest and signature of each document's set; digest null for an empty one."""
 
     def digests(batches):
@@ -115,7 +124,7 @@ def _sets(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 own = shingle_set((text or "").encode())
                 n.append(len(own))
                 digest.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
-                sig.append(signature(own).tobytes() if len(own) else None)
+                sig.append(signature(own, values).tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
                 names=["doc_id", "n", "digest", "sig"],
@@ -179,15 +188,15 @@ def _alike(least: int):
     values: itself and the least document that a chain of such partners reaches.  As many rows as documents at most."""
 
     def chains(table: pa.Table) -> pa.Table:
-        ids, comps, side = (table[c].to_numpy() for c in ("rep", "component", "side"))
-        sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(len(ids), -1)
-        label = ids.copy()
-        met = np.zeros(len(ids), bool)
-        for i in range(len(ids)):
-            other = slice(i + 1, None)
-            near = ((sigs[other] == sigs[i]).sum(1) >= least) & (comps[other] != comps[i]) & ((side[other] != side[i]) | (side[i] == 2))
-            at = np.append(np.flatnonzero(near) + i + 1, i)
-            if len(at) > 1:
+        reps, comps, sigs, asks = _sides(table)
+        sigs = np.frombuffer(b"".join(sigs), np.uint32).reshape(len(reps), -1)
+        ids, node = np.unique(reps, return_inverse=True)
+        label, met = ids.copy(), np.zeros(len(ids), bool)
+        rest = np.flatnonzero(~asks)
+        for i in np.flatnonzero(asks):
+            near = rest[((sigs[rest] == sigs[i]).sum(1) >= least) & (comps[rest] != comps[i])]
+            if len(near):
+                at = np.append(node[near], node[i])
                 met[at] = True
                 own = np.unique(label[at])
                 if len(own) > 1:
@@ -197,45 +206,72 @@ def _alike(least: int):
     return chains
 
 
+def _sides(table: pa.Table):
+    return *(table[c].to_numpy() for c in ("rep", "component")), table["load"].to_pylist(), table["asks"].to_numpy()
+
+
 def _linked(percent: int):
-    """Links (a, b) of a family, or of two of its blocks, that join different components, confirmed on the full sets."""
+    """Links (a, b) of a block of asking documents with others, between different components, confirmed on the full sets.
+
+    Components that a link has joined are one from then on, and nothing inside one is compared."""
 
     def links(table: pa.Table) -> pa.Table:
-        ids, comps, side = (table[c].to_numpy() for c in ("rep", "component", "side"))
-        sets = [shingle_set(t.encode()) for t in table["text"].to_pylist()]
+        reps, comps, texts, asks = _sides(table)
+        ids, first, node = np.unique(reps, return_index=True, return_inverse=True)
+        sets = [shingle_set(texts[k].encode()) for k in first]
+        del texts
         size = np.fromiter(map(len, sets), np.int64, len(sets))
         begin = np.cumsum(size) - size
         known, flat = np.unique(np.concatenate(sets), return_inverse=True)
         mark = np.zeros(len(known), np.int64)
-        root, a, b = comps.copy(), [], []
-        for i in range(len(ids) - 1):
-            own = flat[begin[i] : begin[i] + size[i]]
-            mark[own] = 1
-            rest = begin[i + 1]
-            both = np.add.reduceat(mark[flat[rest:]], begin[i + 1 :] - rest)
-            mark[own] = 0
-            near = (100 * both >= percent * (size[i] + size[i + 1 :] - both)) & ((side[i + 1 :] != side[i]) | (side[i] == 2))
-            for j in np.flatnonzero(near) + i + 1:
-                if root[i] != root[j]:
-                    a.append(max(ids[i], ids[j]))
-                    b.append(min(ids[i], ids[j]))
-                    root[root == max(root[i], root[j])] = min(root[i], root[j])
+        root, a, b = comps[first], [], []
+        answers = np.zeros(len(ids), bool)
+        answers[node[~asks]] = True
+        for i in np.unique(node[asks]):
+            rest = np.flatnonzero(answers & (root != root[i]))
+            while len(rest):
+                some, rest = rest[:4096], rest[4096:]
+                own, n = flat[begin[i] : begin[i] + size[i]], size[some]
+                mark[own] = 1
+                at = np.repeat(begin[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                both = np.add.reduceat(mark[flat[at]], np.cumsum(n) - n)
+                mark[own] = 0
+                for j in some[100 * both >= percent * (size[i] + n - both)]:
+                    if root[i] != root[j]:
+                        a.append(max(ids[i], ids[j]))
+                        b.append(min(ids[i], ids[j]))
+                        root[root == max(root[i], root[j])] = min(root[i], root[j])
+                rest = rest[root[rest] != root[i]]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return links
 
 
-def _dealt(rows: DataFrame, key: str, region: int) -> DataFrame:
-    """Rows with the pair of blocks (i, j) they meet in; ``members`` counts the rows of the key.
+def _regions(rows: DataFrame, key: str) -> DataFrame:
+    """(key, n, weight, top, outside, outside_n) of the keys with several components: all, the largest component, the rest."""
+    parts = rows.groupBy(key, "component").agg(F.sum("weight").alias("w"), F.count("*").alias("k"))
+    whole = parts.groupBy(key).agg(F.count("*").alias("components"), F.max(F.struct("w", "component", "k")).alias("most"), F.sum("w").alias("weight"), F.sum("k").alias("n"))
+    return whole.where("components > 1").select(
+        F.col(key), "weight", F.col("most.component").alias("top"), (F.col("weight") - F.col("most.w")).alias("outside"), (F.col("n") - F.col("most.k")).alias("outside_n")
+    )
 
-    A key of up to ``region`` rows is one block; a larger one is dealt out so that each block meets each other one once
-    (sides 0 and 1) and itself (side 2).
-    """
-    blocks = F.ceil(F.col("members") / region).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    each = rows.withColumns({"blocks": blocks, "own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    side = F.when(F.col("own") == F.col("other"), F.lit(2)).otherwise((F.col("own") > F.col("other")).cast("int"))
-    return each.withColumns({"key": F.col(key), "i": F.least("own", "other"), "j": F.greatest("own", "other"), "side": side})
+
+def _dealt(rows: DataFrame, loads: DataFrame, regions: DataFrame, key: str, unit: int) -> DataFrame:
+    """Rows (key, i, j, rep, component, load, asks): the rows outside a region's largest component ask, in blocks i of
+    about ``unit`` weight, and all its rows answer, in blocks j; every asking row meets every answering one once."""
+    asking, answering = F.ceil(F.col("outside") / unit).cast("int"), F.ceil(F.col("weight") / unit).cast("int")
+    mine, other = F.pmod(F.xxhash64("rep"), asking).cast("int"), F.pmod(F.xxhash64("rep", F.lit(1)), answering).cast("int")
+
+    def each(n, i, j, asks):
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda x: F.struct(i(x).alias("i"), j(x).alias("j"), F.lit(asks).alias("asks")))
+
+    asked = F.when(F.col("component") != F.col("top"), each(answering, lambda x: mine, lambda x: x, True))
+    places = F.concat(F.coalesce(asked, F.array().cast(PLACES)), each(asking, lambda x: x, lambda x: other, False))
+    open_ = rows.drop("weight").join(regions, key).select(F.col(key).alias("key"), "rep", "component", places.alias("places"))
+    return open_.join(loads, "rep").select("key", "rep", "component", "load", F.inline("places"))
+
+
+PLACES = "array<struct<i: int, j: int, asks: boolean>>"
 
 
 def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text", region: int = REGION) -> DataFrame:
@@ -246,17 +282,18 @@ def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id
     empty set and are linked with nothing.  Rows that repeat a doc_id share its component; a null doc_id is linked
     with nothing, has a null component and is kept.  An empty table gives no rows; other columns are ignored.
     """
-    base = cut(_sets(docs, id_column, text_column))
-    alike = percent / 100
-    least = int(TREES * DEPTH * alike - 5 * (TREES * DEPTH * alike * (1 - alike)) ** 0.5)
+    n_trees = trees(percent)
+    values, alike = n_trees * DEPTH, percent / 100
+    base = cut(_sets(docs, id_column, text_column, values))
+    least = int(values * alike - 5 * (values * alike * (1 - alike)) ** 0.5)
     reps = cut(
-        base.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+        base.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     )
 
     def prefix(depth):
         return F.xxhash64("tree", F.substring("order", 1, 4 * depth)).alias(f"p{depth}")
 
-    orders = reps.select("rep", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig").select(
+    orders = reps.select("rep", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"), "sig").select(
         "rep", "tree", F.expr(f"substring(sig, 1 + tree * {4 * DEPTH}, {4 * DEPTH})").alias("order")
     ).select("rep", *[prefix(d) for d in range(SHALLOW, DEPTH + 1)])
     shared = orders.groupBy(f"p{SHALLOW}").agg(F.count("*").alias("members")).where("members > 1").drop("members")
@@ -265,35 +302,33 @@ def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id
         members.join(members.groupBy(f"p{d}").agg(F.min("rep").alias("b")), f"p{d}").where("rep <> b").select(F.col("rep").alias("a"), "b")
         for d in (SHALLOW, DEPTH)
     ]
-    texts = cut(
-        docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-        .join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id"])
-    )
+
+    def texts_of(ids):
+        rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+        return rows.join(ids, "doc_id").dropDuplicates(["doc_id"])
+
     stars = cut(reduce(DataFrame.unionByName, tied).distinct())
-    links = cut(_confirmed(stars, texts, percent))
+    links = cut(_confirmed(stars, texts_of(stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), percent))
     first = components(links)
-    named = cut(
-        members.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        .join(reps.select("rep", "sig"), "rep")
-    )
-    more, rest = [], named
+    of_rep = reps.join(members.select("rep").distinct(), "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left")
+    named = cut(of_rep.select("rep", F.coalesce("component", "rep").alias("component"), "n", F.col("sig").alias("load")))
+    rest, more = members.join(named.select("rep", "component"), "rep").withColumn("weight", F.lit(1).cast("long")), []
     for depth in range(SHALLOW, DEPTH + 1):
         key = f"p{depth}"
-        open_ = rest.groupBy(key).agg(F.count("*").alias("members"), F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select(key, "members")
-        rest = rest.join(open_, key)
-        small = rest if depth == DEPTH else rest.where(F.col("members") <= region)
-        dealt = _dealt(small, key, region).select("rep", "component", "sig", "key", "i", "j", "side")
+        regions = cut(_regions(rest, key))
+        small = regions if depth == DEPTH else regions.where(F.col("outside_n") <= region)
+        dealt = _dealt(rest, named.select("rep", "load"), small, key, SIGNATURES)
         more.append(dealt.groupBy("key", "i", "j").applyInArrow(_alike(least), "a long, b long"))
-        rest = rest.where(F.col("members") > region).drop("members")
         if depth < DEPTH:
-            rest = cut(rest)
-            if rest.isEmpty():
+            large = regions.where(F.col("outside_n") > region)
+            if large.isEmpty():
                 break
-    family = components(reduce(DataFrame.unionByName, more)).withColumnRenamed("component", "family")
-    sizes = family.groupBy("family").agg(F.count("*").alias("members"))
-    own = named.groupBy("rep").agg(F.first("component").alias("component"))
-    open_ = family.join(sizes, "family").withColumnRenamed("node", "rep").join(own, "rep").join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
-    dealt = _dealt(open_, "family", region).select("rep", "component", "text", "key", "i", "j", "side")
+            rest = rest.join(large.select(key), key, "left_semi")
+    family = cut(components(reduce(DataFrame.unionByName, more)).select(F.col("node").alias("rep"), F.col("component").alias("family")))
+    told = family.join(named.select("rep", "component", F.col("n").alias("weight")), "rep")
+    open_ = cut(_regions(told, "family"))
+    texts = texts_of(told.join(open_, "family", "left_semi").select(F.col("rep").alias("doc_id")))
+    dealt = _dealt(told, texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("load")), open_, "family", SHINGLES)
     found = dealt.groupBy("key", "i", "j").applyInArrow(_linked(percent), "a long, b long")
     final = components(links.unionByName(found))
     classes = reps.select("digest", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("c"))
@@ -304,7 +339,12 @@ def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id
 
 def keep_one(docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, that are the least of their component; rows with null ids stay."""
-    kept = near_components(docs, percent, id_column, text_column).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+
+
+    def build():
+        return near_components(docs, percent, id_column, text_column).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+
+    kept = settled(docs.sparkSession, build)
     rows = docs.where(F.col(id_column).isNotNull())
     own = rows.join(kept, rows[id_column] == kept["kept_id"], "left_semi")
     return own.unionByName(docs.where(F.col(id_column).isNull()))
