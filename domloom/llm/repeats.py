@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.llm.common import cut, give_back, text_bytes, tidy
+from domloom.llm.common import cut, give_back, settled, text_bytes, tidy
 
 LENGTH, GRAM = 50, 20
 WINDOW = LENGTH - GRAM + 1
@@ -266,8 +266,8 @@ def _merged(table: pa.Table) -> pa.Table:
     masks = np.zeros(len(name), np.int64)
     fresh = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
     i = 0
-    while i < len(name):  # whole names, some 20,000 stretches at once
-        j = np.searchsorted(fresh, i + 20_000)
+    while i < len(name):  # whole names, some 4,000 stretches at once
+        j = np.searchsorted(fresh, i + 4_000)
         stop = fresh[j] if j < len(fresh) else len(name)
         n = sizes[i:stop] - (LENGTH - 1)
         row = np.repeat(np.arange(stop - i), n)
@@ -291,21 +291,52 @@ def _merged(table: pa.Table) -> pa.Table:
 
 
 def _prefixes(buckets: int):
-    """(h1, h2, doc_id, start) of every string that hangs on a widely shared name."""
+    """Rows (h1, h2, doc_id, start, mask) of the strings that hang on widely shared names.
+
+    A string that the chunk has in an earlier document too is marked at once, in a mask of 32 starts; only the first
+    document's go on as names (without a mask), so copies of a passage do not leave the task one by one."""
 
     def prefixes(batches):
         for rows in _chunked(batches):
+            found: list[list] = [[], [], [], []]
             for doc, names, text in rows:
+                own = np.array(names, np.int64)
                 for offset, data in _parts(text.encode()):
-                    a, b, _ = _runs(data, np.array(names, np.int64), buckets)
+                    a, b, _ = _runs(data, own, buckets)
                     at = np.repeat(a, b - a) + np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
                     buffer = np.frombuffer(data, np.uint8)
-                    h1, h2 = (_rolling(buffer, LENGTH, base)[at].view(np.int64) for base in _BASES)
-                    yield pa.RecordBatch.from_pydict({"h1": h1, "h2": h2, "doc_id": np.full(len(at), doc, np.int64), "start": at + offset})
+                    for column, value in zip(found, (*(_rolling(buffer, LENGTH, base)[at].view(np.int64) for base in _BASES), np.full(len(at), doc, np.int64), at + offset)):
+                        column.append(value)
+            h1, h2, doc, start = map(np.concatenate, found)
+            order = np.lexsort((start, doc, h2, h1))
+            h1, h2, doc, start = h1[order], h2[order], doc[order], start[order]
+            first = np.ones(len(h1), bool)
+            first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+            again = doc > doc[first][np.cumsum(first) - 1] if len(doc) else first
+            names = [x[~again] for x in (h1, h2, doc, start)]
+            word, bit = start[again] // 32 * 32, start[again] % 32
+            order = np.lexsort((word, doc[again]))
+            own, word, mask = doc[again][order], word[order], np.int64(1) << bit[order]
+            fresh = np.ones(len(own), bool)
+            fresh[1:] = (own[1:] != own[:-1]) | (word[1:] != word[:-1])
+            at = np.flatnonzero(fresh)
+            masks = np.bitwise_or.reduceat(mask, at) if len(at) else mask
+            blank = np.zeros(len(at), np.int64)
+            columns = [np.concatenate(c) for c in zip(names, (blank, blank, own[at], word[at]))]
+            mask = pa.array(np.concatenate([np.zeros(len(names[0]), np.int64), masks]), mask=np.arange(len(names[0]) + len(at)) < len(names[0]))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), mask], names=["h1", "h2", "doc_id", "start", "mask"])
 
     return prefixes
 
 
+def _words_of(marks: DataFrame) -> DataFrame:
+    """The marks (doc_id, start, mask) as one mask for each 32 starts, added up in buffers of fixed size before any list."""
+    at = "start - pmod(start, 32)"
+    low, high = "shiftleft(mask, cast(pmod(start, 32) as int)) & 4294967295L", "shiftrightunsigned(shiftleft(mask, cast(pmod(start, 32) as int)), 32)"
+    words = marks.selectExpr("doc_id", f"inline(array(struct({at} as start, {low} as mask), struct({at} + 32 as start, {high} as mask)))").where("mask <> 0")
+    return words.groupBy("doc_id", "start").agg(F.bit_or("mask").alias("mask"))
+
+
 def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, copies, marks): every row's id, size and digest; which rows copy an earlier text; and the marks
     (doc_id, digest, list of (start, mask)) of the others that lose bytes."""
@@ -327,10 +358,12 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     # The three joins with the texts are one plan, in which Spark moves the texts once.
     text_of = texts.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest"))
     merged = text_of.select("doc_id", "names", "text").mapInArrow(tidy(_suffixes(buckets)), "bucket int, packed binary").groupBy("bucket").applyInArrow(_merged, "doc_id long, start long, mask long")
-    strings = text_of.where(F.size("widely") > 0).select("doc_id", "widely", "text").mapInArrow(tidy(_prefixes(buckets)), "h1 long, h2 long, doc_id long, start long")
+    wide_ones = cut(text_of.where(F.size("widely") > 0).select("doc_id", "widely", "text").mapInArrow(tidy(_prefixes(buckets)), "h1 long, h2 long, doc_id long, start long, mask long"))
+    strings = wide_ones.where("mask IS NULL").drop("mask")
     least = strings.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    merged = merged.unionByName(strings.join(least, ["h1", "h2"]).where("doc_id > least").select("doc_id", "start", F.lit(1).cast("long").alias("mask")))
-    listed = merged.groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))  # bounded by the text
+    across = strings.join(least, ["h1", "h2"]).where("doc_id > least").select("doc_id", "start", F.lit(1).cast("long").alias("mask"))
+    merged = merged.unionByName(across).unionByName(wide_ones.where("mask IS NOT NULL").select("doc_id", "start", "mask"))
+    listed = _words_of(merged).groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))  # one for 32 bytes of the text at most
     marks = listed.join(asked.select("doc_id", "digest"), "doc_id")
     copies = rows.join(owners.select("digest", "owner"), "digest", "left").select("doc_id", "digest", "n_bytes", (F.coalesce(F.col("owner") < F.col("doc_id"), F.lit(False)) & (F.col("n_bytes") >= LENGTH)).alias("copy"))
     return texts, copies, marks
@@ -338,7 +371,7 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
 def _flags(size: int, start: np.ndarray, mask: np.ndarray) -> np.ndarray:
     """Which bytes the marks cover."""
-    row, bit = np.nonzero((mask[:, None] >> np.arange(WINDOW)) & 1)
+    row, bit = np.nonzero((mask[:, None] >> np.arange(32)) & 1)
     at = start[row] + bit
     change = np.bincount(at, minlength=size + 1) - np.bincount(at + LENGTH, minlength=size + 1)
     return np.cumsum(change[:-1]) > 0
@@ -392,9 +425,13 @@ def cut_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     A character that loses some of its bytes goes whole.  Rows of whose text nothing but white space is left after a
     removal are dropped; all others stay, those with null ids, null or empty texts as they are.
     """
-    _, copies, marks = covered(docs, id_column, text_column)
-    lost = copies.dropDuplicates(["doc_id", "digest"]).join(marks, ["doc_id", "digest"], "left").where("copy OR marks IS NOT NULL")
-    lost = lost.select(F.col("doc_id").alias("lost_id"), F.col("digest").alias("lost_digest"), "copy", "marks")
+
+    def build():
+        _, copies, marks = covered(docs, id_column, text_column)
+        lost = copies.dropDuplicates(["doc_id", "digest"]).join(marks, ["doc_id", "digest"], "left").where("copy OR marks IS NOT NULL")
+        return lost.select(F.col("doc_id").alias("lost_id"), F.col("digest").alias("lost_digest"), "copy", "marks")
+
+    lost = settled(docs.sparkSession, build)
     rows = docs.select(F.struct("*").alias("row"), F.col(id_column).cast("long").alias("id"), F.sha2(text_bytes(text_column), 256).alias("digest"))
     joined = rows.join(lost, (F.col("id") == F.col("lost_id")) & (F.col("digest") == F.col("lost_digest")), "left").select("row", "copy", "marks")
     names = docs.columns
