@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from domloom.operators.segments import index_steps
 from domloom.schema import INDEX_COLUMNS, NODE_COLUMNS
 
 # Nodes that make their parent non-empty: elements, and text with at least one character.
@@ -60,7 +61,7 @@ def has_index(nodes: DataFrame) -> bool:
     return set(INDEX_COLUMNS) <= set(nodes.columns)
 
 
-def with_index(nodes: DataFrame, partitioned: bool = False) -> DataFrame:
+def with_index(nodes: DataFrame, partitioned: bool = False, segment: int | None = None) -> DataFrame:
     """Add the index columns, all computed inside one ``page_id`` partitioning.
 
     ``id``, ``class``: plain columns, so that filters on them reach the Parquet scan;
@@ -77,6 +78,9 @@ def with_index(nodes: DataFrame, partitioned: bool = False) -> DataFrame:
     if has_index(nodes):
         return nodes
     rows = nodes.select(*NODE_COLUMNS)
-    for step in _STEPS if partitioned else _STEPS[::-1]:
-        rows = rows.selectExpr("*", *step)
+    if segment is not None:
+        rows = index_steps(rows, segment, _CONTENT)
+    else:
+        for step in _STEPS if partitioned else _STEPS[::-1]:
+            rows = rows.selectExpr("*", *step)
     return rows.selectExpr(*NODE_COLUMNS, *[f"{_COLUMNS[c]} as {c}" for c in INDEX_COLUMNS])

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from domloom.operators.contain import contained_pairs
 from domloom.operators.index import without_index
+from domloom.operators.segments import scan
 from domloom.operators.targets import flagged
+from domloom.plans.match import match
+from domloom.plans.selector import compile_selector
 from domloom.schema import DOCUMENT, ELEMENT, NODE_COLUMNS
 
 # Fixed names of the elements whose children make up the two search scopes.
@@ -24,19 +27,31 @@ def _guard(condition: Column, error: str, value: Column) -> Column:
     return F.when(condition, F.raise_error(F.lit(error)).cast("boolean")).otherwise(value)
 
 
-def decompose(nodes: DataFrame, targets, scope: str = "body", include_root: bool = False) -> DataFrame:
+def decompose(nodes: DataFrame, targets, scope: str = "body", include_root: bool = False, segment: int | None = None) -> DataFrame:
     """Drop the targets with their subtrees.  Removing the document node fails with ``RootNode``.
 
-    Subtrees nest, so a running maximum of the targets' ``last`` tells every covered row: no join.
+    Subtrees nest, so a running maximum of the targets' ``last`` tells every covered row: no join.  With ``segment`` that
+    is a segmented scan, and no page has to fit a task (see operators.segments).
     """
+    plain = scope == "body" and not include_root and not isinstance(targets, DataFrame)
+    if segment is not None and not isinstance(targets, DataFrame):
+        joined = ", ".join(targets) if isinstance(targets, (list, tuple)) else targets
+        targets = match(nodes, compile_selector(joined) if isinstance(joined, str) else joined, scope, include_root, segment)
     rows = flagged(nodes, targets, scope, include_root)
     rows = rows.withColumn("_hit", _guard(F.col("_hit") & (F.col("kind") == DOCUMENT), "RootNode", F.col("_hit")))
-    upto = "partition by page_id order by pre rows between unbounded preceding and current row"
-    rows = rows.selectExpr("*", f"max(if(_hit, last, null)) over ({upto}) as _reach").filter("_reach is null or _reach < pre")
-    if scope == "body" and not include_root and not isinstance(targets, DataFrame):
+    page = {"page": "coalesce(page_id, -1L)"}
+    if segment is not None:
+        rows = scan(rows, page, segment, _reach=("max_upto", "if(_hit, last, null)"))
+    else:
+        upto = "partition by page_id order by pre rows between unbounded preceding and current row"
+        rows = rows.selectExpr("*", f"max(if(_hit, last, null)) over ({upto}) as _reach")
+    rows = rows.filter("_reach is null or _reach < pre")
+    if plain:
         return without_index(rows)
     # The body itself may be gone; the root element is then what searches start from.
     has_body = f"max({_IS_BODY}) over (partition by page_id)"
+    if segment is not None:
+        rows, has_body = scan(rows, page, segment, _bodies=("count_all", f"if({_IS_BODY}, 1, null)")), "_bodies > 0"
     return without_index(rows.withColumn("in_body", F.expr(f"if({has_body}, in_body, depth >= 2)")))
 
 

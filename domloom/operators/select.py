@@ -24,15 +24,17 @@ def select(
     scope: str = "body",
     include_root: bool = False,
     on_error: str = "empty",
+    segment: int | None = None,
 ) -> DataFrame:
     """Matching node rows of every page, each once.
 
     ``scope`` is ``body`` (default), ``head`` or ``document``.  A selector that does not parse
     matches nothing; with ``on_error='raise'`` it raises.  Valid CSS that is not supported always raises
-    ``UnsupportedSelector``.
+    ``UnsupportedSelector``.  ``segment``: for tables with pages that one task cannot hold, deal each page out by so many
+    labels (see operators.segments).
     """
     try:
-        return match(nodes, compiled(selector), scope, include_root)
+        return match(nodes, compiled(selector), scope, include_root, segment)
     except SelectorParseError:
         if on_error == "raise":
             raise

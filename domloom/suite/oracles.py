@@ -336,3 +336,7 @@ ORACLES = {
     "sql_nodes": f"WITH {BODY_TAGS} SELECT page_id, tag, n::BIGINT AS n FROM body_tags",
     "sql_view": _p("SELECT page_id, len(hrefs)::BIGINT AS n, len(hrefs)::BIGINT AS last_item FROM parts WHERE len(hrefs) > 0"),
 }
+ORACLES["index_split"] = ORACLES["sibling_index"]
+ORACLES["sel_split"] = f"""WITH {BLOCKS}, own AS (SELECT page_id, count(*) AS n, sum(n_b) AS bold FROM blocks WHERE tag = 'p' GROUP BY page_id)
+    SELECT page_id, 'desc' AS rule, bold::BIGINT AS n FROM own WHERE bold > 0 UNION ALL SELECT page_id, 'next', 1 FROM own
+    UNION ALL SELECT page_id, 'later', n - 1 FROM own WHERE n > 1"""

@@ -10,6 +10,7 @@ from domloom.functions.props import attr
 from domloom.operators import axes, collection, jobs, mutate, serialize
 from domloom.operators import select as s
 from domloom.operators.css import css_rules
+from domloom.operators.index import with_index, without_index
 from domloom.operators.text import text, text_shallow
 from domloom.plans.rules import rule_index
 from domloom.plans.selector import compile_selector
@@ -531,6 +532,21 @@ def sibling_index(spark, sf):
     return n.filter(props.is_element()).select("page_id", "tag", "sib_idx", "sib_n", "el_idx", "el_rev", "ty_idx", "ty_rev")
 
 
+@query
+def index_split(spark, sf):
+    """Sibling positions by segmented scans, pages dealt out by 16 labels."""
+    n = with_index(without_index(page_nodes(spark, sf)), segment=16)
+    return n.filter(props.is_element()).select("page_id", "tag", "sib_idx", "sib_n", "el_idx", "el_rev", "ty_idx", "ty_rev")
+
+
+@query
+def sel_split(spark, sf):
+    n = without_index(page_nodes(spark, sf))
+    rules = {"desc": "article p b", "next": "h1 + p", "later": "p ~ p"}
+    found = [_n(s.select(n, q, segment=16), "page_id").withColumn("rule", F.lit(rule)) for rule, q in rules.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query
 def coll_nodes(spark, sf):
     return collection.collection(s.select(page_nodes(spark, sf), "a")).select("page_id", "idx", attr("href").alias("href"))
