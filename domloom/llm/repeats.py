@@ -293,8 +293,9 @@ def _merged(table: pa.Table) -> pa.Table:
 def _prefixes(buckets: int):
     """Rows (h1, h2, doc_id, start, mask) of the strings that hang on widely shared names.
 
-    A string that the chunk has in an earlier document too is marked at once, in a mask of 32 starts; only the first
-    document's go on as names (without a mask), so copies of a passage do not leave the task one by one."""
+    A string that the chunk has in an earlier document too is marked at once, in a mask of 32 starts (with doc_id and start
+    for hashes); only the first document's go on as names (without a mask), so copies of a passage do not leave the task
+    one by one."""
 
     def prefixes(batches):
         for rows in _chunked(batches):
@@ -321,8 +322,7 @@ def _prefixes(buckets: int):
             fresh[1:] = (own[1:] != own[:-1]) | (word[1:] != word[:-1])
             at = np.flatnonzero(fresh)
             masks = np.bitwise_or.reduceat(mask, at) if len(at) else mask
-            blank = np.zeros(len(at), np.int64)
-            columns = [np.concatenate(c) for c in zip(names, (blank, blank, own[at], word[at]))]
+            columns = [np.concatenate(c) for c in zip(names, (own[at], word[at], own[at], word[at]))]
             mask = pa.array(np.concatenate([np.zeros(len(names[0]), np.int64), masks]), mask=np.arange(len(names[0]) + len(at)) < len(names[0]))
             yield pa.RecordBatch.from_arrays([*map(pa.array, columns), mask], names=["h1", "h2", "doc_id", "start", "mask"])
 
@@ -358,11 +358,10 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     # The three joins with the texts are one plan, in which Spark moves the texts once.
     text_of = texts.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest"))
     merged = text_of.select("doc_id", "names", "text").mapInArrow(tidy(_suffixes(buckets)), "bucket int, packed binary").groupBy("bucket").applyInArrow(_merged, "doc_id long, start long, mask long")
-    wide_ones = cut(text_of.where(F.size("widely") > 0).select("doc_id", "widely", "text").mapInArrow(tidy(_prefixes(buckets)), "h1 long, h2 long, doc_id long, start long, mask long"))
-    strings = wide_ones.where("mask IS NULL").drop("mask")
-    least = strings.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    across = strings.join(least, ["h1", "h2"]).where("doc_id > least").select("doc_id", "start", F.lit(1).cast("long").alias("mask"))
-    merged = merged.unionByName(across).unionByName(wide_ones.where("mask IS NOT NULL").select("doc_id", "start", "mask"))
+    strings = text_of.where(F.size("widely") > 0).select("doc_id", "widely", "text").mapInArrow(tidy(_prefixes(buckets)), "h1 long, h2 long, doc_id long, start long, mask long")
+    # At most one row a string and chunk; rows that are masks already stand under a key of their own.
+    least = strings.withColumn("least", F.expr("min(if(mask is null, doc_id, null)) over (partition by h1, h2)")).where("mask IS NOT NULL OR doc_id > least")
+    merged = merged.unionByName(least.select("doc_id", "start", F.coalesce("mask", F.lit(1)).cast("long").alias("mask")))
     listed = _words_of(merged).groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))  # one for 32 bytes of the text at most
     marks = listed.join(asked.select("doc_id", "digest"), "doc_id")
     copies = rows.join(owners.select("digest", "owner"), "digest", "left").select("doc_id", "digest", "n_bytes", (F.coalesce(F.col("owner") < F.col("doc_id"), F.lit(False)) & (F.col("n_bytes") >= LENGTH)).alias("copy"))
