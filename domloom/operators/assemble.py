@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from domloom.operators.index import with_index
 from domloom.operators.select import compiled, select
 from domloom.plans.match import scope_filter
+from domloom.plans.selector import any_of
 
 # Where something stands on the page: at a label; opening before closing; of nodes that end together the deeper closes
 # first; marks before (-1) or after (1) the piece of their own place.
@@ -50,19 +51,30 @@ def pieces_and_marks(contexts, nodes: DataFrame, pieces: list[str], ends: list[s
     """The pieces of all nodes (of those that ``used`` holds for) and the ends of the contexts.
 
     Contexts that a selector without combinators describes are told by their own row, in the same scan; others are
-    looked up by ``(page_id, pre)``, which a table bucketed by page answers without a shuffle.
+    looked up by ``(page_id, pre)``, which a table bucketed by page answers without a shuffle.  Where few nodes have pieces,
+    contexts given as a table come beside those instead, so that no other rows are read; that does shuffle the pieces.
     """
     rows = with_index(nodes)
+    if isinstance(contexts, DataFrame) and used is not None:
+        return _rows(rows.filter(used), pieces).unionByName(_rows(contexts_of(contexts, nodes, scope, include_root), ends))
     used = F.lit(True) if used is None else used
     if not isinstance(contexts, DataFrame) and (selector := compiled(contexts)).is_flat:
         hit = selector.column() & scope_filter(scope, include_root)
     else:
         marked = contexts_of(contexts, nodes, scope, include_root).select("page_id", "pre", F.lit(True).alias("_mark"))
-        rows, hit = rows.join(marked, ["page_id", "pre"], "left"), F.col("_mark").isNotNull()
+        rows, hit = rows.filter(used | _may_be(contexts)).join(marked, ["page_id", "pre"], "left"), F.col("_mark").isNotNull()
     rows = rows.filter(used | hit).withColumns({"_used": used, "_hit": F.coalesce(hit, F.lit(False))})
     return _rows(rows, [f"if(_used, {p}, null)" for p in pieces] + [f"if(_hit, {e}, null)" for e in ends])
 
 
+def _may_be(contexts) -> Column:
+    """A condition on one node row that holds for every context; the fewer other rows are read, the better."""
+    if isinstance(contexts, DataFrame):
+        return F.lit(True)
+    last = [p.steps[-1] for p in compiled(contexts).parts]
+    return any_of(step.column() for step in last) if all(step.alone() for step in last) else F.col("kind") == 1
+
+
 def pages_of(rows: DataFrame, *more: Column) -> DataFrame:
     """A row for each page with marks: ``page_id``, ``whole`` (bytes of all pieces), ``marks`` by context and key, and ``more``.
 

@@ -33,6 +33,8 @@ def text(contexts, nodes: DataFrame, strip: bool = False, per_fragment: bool = F
     between = separator if per_fragment else ""
     rows = with_index(nodes).withColumn("_text", F.concat(piece, F.lit(between)) if between else piece)
     ends = marks(note="if(kind = 8, data, null)")
+    if isinstance(contexts, DataFrame):
+        contexts = contexts.select("page_id", "pre", "last", "depth", "kind", "data")
     out = slices(contexts, rows, [text_piece(OPENING, "_text")], ends, scope, include_root, used)
     if between:  # one stands after the last piece too
         out = out.withColumn("joined", F.expr(f"if(joined = '', '', substring(joined, 1, length(joined) - {len(between)}))"))

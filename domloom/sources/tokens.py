@@ -17,14 +17,16 @@ TOKEN = (
 
 
 def tokens(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """``(page_id, pos, token, kind, tag)``; kind is ``start``, ``end``, ``text``, ``comment`` or ``doctype``.
+    """``(page_id, pos, token, kind, tag)``; kind is ``start``, ``end``, ``text``, ``comment``, ``doctype`` or ``unclosed``.
 
-    An unclosed comment, script or style runs to the end of the page; an unclosed tag there is no token.
+    An unclosed comment, script or style runs to the end of the page, and so does an unclosed tag, which is none.
     """
     hits = pages.select(F.col(page_id).alias("page_id"), F.posexplode(F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))))
     token = F.col("col")
+    tag = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))
     kind = (
-        F.when(token.startswith("<!--"), "comment")
+        F.when(token.rlike(r"^</?[A-Za-z]") & ~token.endswith(">") & ~tag.isin("script", "style"), "unclosed")
+        .when(token.startswith("<!--"), "comment")
         .when(token.rlike(r"(?i)^<!doctype"), "doctype")
         .when(token.rlike(r"^<[!?]"), "comment")
         .when(token.rlike(r"^</[^A-Za-z]"), "comment")
@@ -32,6 +34,4 @@ def tokens(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> Da
         .when(token.rlike(r"^<[A-Za-z]"), "start")
         .otherwise("text")
     )
-    tag = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))
-    whole = token.endswith(">") | ~token.rlike(r"^</?[A-Za-z]") | tag.isin("script", "style")
-    return hits.filter(whole).select("page_id", "pos", token.alias("token"), kind.alias("kind"), tag.alias("tag"))
+    return hits.select("page_id", "pos", token.alias("token"), kind.alias("kind"), tag.alias("tag"))

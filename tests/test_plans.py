@@ -84,7 +84,7 @@ def test_attribute_fields_need_no_interval_join(spark, nodes):
 
 
 @pytest.mark.parametrize("contexts", ["*", "p", "article p b"])
-def test_text_and_html_are_slices(nodes, contexts):
+def test_text_and_html_are_slices(nodes, contexts, no_broadcast):
     """One window and no join: a piece is handled once, however many contexts are around it."""
     for df in (text(contexts, nodes), serialize.outer_html(contexts, nodes), serialize.inner_html(contexts, nodes)):
         p = plan(df)

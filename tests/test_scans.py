@@ -26,8 +26,8 @@ def scanned(spark, html):
         ("<script-x>a</script-x>", [("start", "script-x", "<script-x>"), ("text", "", "a"), ("end", "script-x", "</script-x>")]),
         ("<p title=it's>a</p>", [("start", "p", "<p title=it's>"), ("text", "", "a"), ("end", "p", "</p>")]),
         ("<p a = \"x>y\" b='>'>t", [("start", "p", "<p a = \"x>y\" b='>'>"), ("text", "", "t")]),
-        ("t<p a=\"x", [("text", "", "t")]),
-        ("t</p", [("text", "", "t")]),
+        ("t<p a=\"x", [("text", "", "t"), ("unclosed", "p", "<p a=\"x")]),
+        ("t</p", [("text", "", "t"), ("unclosed", "p", "</p")]),
         ("a < b <3 </ x>", [("text", "", "a "), ("text", "", "<"), ("text", "", " b "), ("text", "", "<"), ("text", "", "3 "), ("comment", "", "</ x>")]),
         ("<?xml v=\"1\"?><!doctype html>", [("comment", "", "<?xml v=\"1\"?>"), ("doctype", "", "<!doctype html>")]),
         ("", []),
