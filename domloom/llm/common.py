@@ -65,6 +65,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more, before the next step makes its own."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
     """The rows that ``build`` gives, kept in the shared folder; all that ``build`` itself kept there is deleted.
 
@@ -81,8 +87,7 @@ def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
     del rows
-    gc.collect()
-    context._jvm.System.gc()  # Spark deletes the shuffle files of plans that nothing refers to any more
+    release(spark)
     return kept
 
 

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.llm.common import cut, give_back, settled, text_bytes, tidy
+from domloom.llm.common import cut, give_back, release, settled, text_bytes, tidy
 
 LENGTH, GRAM = 50, 20
 WINDOW = LENGTH - GRAM + 1
@@ -337,6 +337,19 @@ def _words_of(marks: DataFrame) -> DataFrame:
     return words.groupBy("doc_id", "start").agg(F.bit_or("mask").alias("mask"))
 
 
+def _hanging(text_of: DataFrame, buckets: int) -> DataFrame:
+    """Marks of the strings that hang on names which few texts share: all stretches of a name meet in its bucket."""
+    packed = text_of.select("doc_id", "names", "text").mapInArrow(tidy(_suffixes(buckets)), "bucket int, packed binary")
+    return _words_of(packed.groupBy("bucket").applyInArrow(_merged, "doc_id long, start long, mask long"))
+
+
+def _widely_hanging(text_of: DataFrame, buckets: int) -> DataFrame:
+    """Marks of the strings that hang on names which very many texts share: at most one row a string and chunk is moved."""
+    strings = text_of.where(F.size("widely") > 0).select("doc_id", "widely", "text").mapInArrow(tidy(_prefixes(buckets)), "h1 long, h2 long, doc_id long, start long, mask long")
+    least = strings.withColumn("least", F.expr("min(if(mask is null, doc_id, null)) over (partition by h1, h2)")).where("mask IS NOT NULL OR doc_id > least")
+    return _words_of(least.select("doc_id", "start", F.coalesce("mask", F.lit(1)).cast("long").alias("mask")))
+
+
 def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, copies, marks): every row's id, size and digest; which rows copy an earlier text; and the marks
     (doc_id, digest, list of (start, mask)) of the others that lose bytes."""
@@ -350,19 +363,21 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     pairs = cut(entered.mapInArrow(tidy(_enter(buckets)), _ENTERED).groupBy("bucket").applyInArrow(_shared, "class long, name long"))
     many = max(WIDE, int(pairs.count() * WIDE_SHARE))
     wide = pairs.groupBy("name").count().where(F.col("count") > many).select("name", F.lit(True).alias("wide"))  # at most 1 / WIDE_SHARE rows
-    flagged = pairs.join(F.broadcast(cut(wide)), "name", "left")
+    wide = cut(wide)
+    flagged = pairs.join(F.broadcast(wide), "name", "left")
     of_class = flagged.groupBy("class").agg(  # as many as a text has samples
         F.collect_list(F.when(F.col("wide").isNull(), F.col("name"))).alias("names"), F.collect_list(F.when(F.col("wide"), F.col("name"))).alias("widely")
     )
     asked = cut(of_class.join(owners.where(F.col("n") >= LENGTH).select("class", F.col("owner").alias("doc_id"), "digest"), "class").select("doc_id", "digest", "names", "widely"))
-    # The three joins with the texts are one plan, in which Spark moves the texts once.
+    release(docs.sparkSession)
+    # Three steps move the texts, one after another, so that workers, buffers and shuffle files of one are gone before the next.
     text_of = texts.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest"))
-    merged = text_of.select("doc_id", "names", "text").mapInArrow(tidy(_suffixes(buckets)), "bucket int, packed binary").groupBy("bucket").applyInArrow(_merged, "doc_id long, start long, mask long")
-    strings = text_of.where(F.size("widely") > 0).select("doc_id", "widely", "text").mapInArrow(tidy(_prefixes(buckets)), "h1 long, h2 long, doc_id long, start long, mask long")
-    # At most one row a string and chunk; rows that are masks already stand under a key of their own.
-    least = strings.withColumn("least", F.expr("min(if(mask is null, doc_id, null)) over (partition by h1, h2)")).where("mask IS NOT NULL OR doc_id > least")
-    merged = merged.unionByName(least.select("doc_id", "start", F.coalesce("mask", F.lit(1)).cast("long").alias("mask")))
-    listed = _words_of(merged).groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))  # one for 32 bytes of the text at most
+    found = cut(_hanging(text_of, buckets))
+    release(docs.sparkSession)
+    if not wide.isEmpty():
+        found = _words_of(found.unionByName(cut(_widely_hanging(text_of, buckets))))
+        release(docs.sparkSession)
+    listed = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))  # one for 32 bytes of the text at most
     marks = listed.join(asked.select("doc_id", "digest"), "doc_id")
     copies = rows.join(owners.select("digest", "owner"), "digest", "left").select("doc_id", "digest", "n_bytes", (F.coalesce(F.col("owner") < F.col("doc_id"), F.lit(False)) & (F.col("n_bytes") >= LENGTH)).alias("copy"))
     return texts, copies, marks
