@@ -12,10 +12,11 @@ from domloom.operators.index import with_index  # noqa: E402
 from domloom.operators.select import select, select_first  # noqa: E402
 from domloom.plans.selector import compile_selector  # noqa: E402
 from domloom.sources.shred import rejects, shred  # noqa: E402
-from domloom.sources.store import duplicates, materialize, write_nodes  # noqa: E402
+from domloom.sources.store import buckets_for, duplicates, materialize, write_nodes  # noqa: E402
 
 __all__ = [
     "SelectorParseError",
+    "buckets_for",
     "compile_selector",
     "duplicates",
     "materialize",

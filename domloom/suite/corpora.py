@@ -55,8 +55,7 @@ def _nodes(spark: SparkSession, sf_dir: str, corpus) -> DataFrame:
     """The corpus's node table, written once per application and folder."""
     key = (spark.sparkContext.applicationId, sf_dir, corpus.__name__)
     if key not in _written:
-        cores = session(spark).sparkContext.defaultParallelism
-        _written[key] = materialize(corpus(spark, sf_dir).repartition(cores), buckets=cores)
+        _written[key] = materialize(corpus(session(spark), sf_dir))
     return _written[key]
 
 

@@ -389,7 +389,7 @@ def remove(spark, sf):
 @query
 def written(spark, sf):
     """A node table written in buckets and read back."""
-    n = materialize(pages(session(spark), sf), buckets=8)
+    n = materialize(pages(session(spark), sf))
     return _n(n, "page_id")
 
 
