@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from domloom.operators.index import with_index
 from domloom.schema import INDEX_COLUMNS, NODE_COLUMNS
 from domloom.sources.shred import shred
+from domloom.sources.store import buckets_for
 
 _STAMPS = "page_id long, stamp long, write string, bucket int"
 _PLACE = T.StructType([T.StructField("write", T.StringType()), T.StructField("bucket", T.IntegerType())])
@@ -30,7 +31,8 @@ _PLACE = T.StructType([T.StructField("write", T.StringType()), T.StructField("bu
 
 @dataclass
 class PageStore:
-    """A store under ``path`` (a folder that all executors reach).  ``buckets`` is fixed for its life: give about 1 GB to one."""
+    """A store under ``path`` (a folder that all executors reach).  ``buckets`` is fixed for its life, and a task holds one:
+    take what ``buckets_for`` gives for all pages to come."""
 
     spark: SparkSession
     path: str
@@ -84,7 +86,8 @@ class PageStore:
         new = 0 if version is None else version + 1
         latest = Window.partitionBy("page_id").orderBy(F.desc("stamp"), F.xxhash64("html"))
         given = pages.select(F.col("page_id").cast("long").alias("page_id"), "html", F.col(stamp).cast("long").alias("stamp")).where("page_id IS NOT NULL AND stamp IS NOT NULL")
-        given = given.withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n")
+        parts = buckets_for(given)  # the crawl's own tasks; those of the buckets it touches are as large as the buckets
+        given = given.repartition(parts, "page_id").withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n")
         if version is not None:
             held = self.stamps(version).withColumnRenamed("stamp", "held")
             given = given.join(held, "page_id", "left").where("held IS NULL OR stamp > held").drop("held")
@@ -93,7 +96,7 @@ class PageStore:
         taken = self.spark.read.parquet(f"{self.path}/incoming/write={write}")
         touched = F.broadcast(taken.select("bucket").distinct())  # at most one row a bucket
         ids = taken.select("page_id")
-        nodes, stamps = shred(taken), taken.select("page_id", "stamp")
+        nodes, stamps = shred(taken.repartition(parts)), taken.select("page_id", "stamp")
         if version is not None:
             kept = self._current("data", self._node_schema(), version).join(touched, "bucket", "left_semi")
             nodes = nodes.unionByName(kept.join(ids, "page_id", "left_anti").select(*NODE_COLUMNS))

@@ -18,7 +18,7 @@ from domloom.session import shared_dir
 from domloom.sources import sql as sql_face
 from domloom.sources.recrawl import PageStore
 from domloom.sources.shred import shred
-from domloom.sources.store import duplicates, materialize
+from domloom.sources.store import buckets_for, duplicates, materialize
 from domloom.sources.tokens import tokens
 from domloom.streaming.extract import read_page_stream, run_extract
 from domloom.suite.corpora import doc_nodes, doc_pages, page_nodes, pages, session
@@ -396,8 +396,8 @@ def written(spark, sf):
 @query
 def recrawled(spark, sf):
     """Pages crawled three times: the raw pages, then the documents' pages under the same ids, then the raw ones again, late."""
-    store = PageStore(session(spark), f"{shared_dir(spark)}/store", 8)
-    first, second = pages(spark, sf), doc_pages(spark, sf)
+    first, second = pages(session(spark), sf), doc_pages(spark, sf)
+    store = PageStore(spark, f"{shared_dir(spark)}/store", buckets_for(first.unionByName(second)))
     for crawl, stamp in ((first, 5), (second, 9), (first, 7)):
         store.upsert(crawl.withColumn("stamp", F.lit(stamp)))
     n = store.nodes()

@@ -3,6 +3,7 @@
 import pytest
 
 from domloom import buckets_for, materialize, shred
+from domloom.sources import recrawl
 from domloom.suite.corpora import _nodes, doc_pages, pages
 from domloom.suite.queries import QUERIES
 
@@ -61,3 +62,16 @@ def test_results_do_not_depend_on_the_buckets(spark, plain, small, name):
         return sorted(map(str, QUERIES[name](spark, sf).collect()))
 
     assert rows(small) == rows(SF)
+
+
+def test_the_stores_tasks_follow_the_bytes(spark, small, monkeypatch):
+    """The registered query's buckets, and the tasks that a crawl is shredded in."""
+    made, dealt = [], []
+    monkeypatch.setattr(recrawl, "shred", lambda p: (dealt.append(p.rdd.getNumPartitions()), shred(p))[1])
+    write = recrawl.PageStore.upsert
+    monkeypatch.setattr(recrawl.PageStore, "upsert", lambda self, *a: (made.append(self.buckets), write(self, *a))[1])
+    QUERIES["recrawled"](spark, small).count()
+    both = pages(spark, SF).unionByName(doc_pages(spark, SF))
+    assert set(made) == {buckets_for(both, 12_000)}
+    assert max(dealt) == buckets_for(doc_pages(spark, SF), 12_000) > spark.sparkContext.defaultParallelism
+
