@@ -32,10 +32,13 @@ LENGTH, GRAM = 50, 20
 WINDOW = LENGTH - GRAM + 1
 #: Bytes of text handled at once in a task, and bytes of text for each bucket of names.
 CHUNK, BUCKET = 1 << 19, 8 << 20
+#: Bytes of text whose stretches are packed together: with buckets of one size, a chunk alone has too few for each to compress well.
+PACKED_CHUNK = 4 * CHUNK
 #: A name is widely shared beyond so many texts, or beyond this share of all entries: at most 1/WIDE_SHARE such names.
 WIDE, WIDE_SHARE = 5_000, 1e-5
 
 _LOW = np.uint64((1 << 40) - 1)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _BYTE = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -79,7 +82,8 @@ def _names(texts: list[bytes], buckets: int):
     if n <= 0:
         return buffer, np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int32)
     h = _least(_rolling(buffer, GRAM, _BASES[0]))
-    names = ((h & _LOW) | ((((h >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)) << np.uint64(40))).view(np.int64)
+    # The least of several hashes is small, so its own high bits would put a quarter of all samples into one of 64 buckets.
+    names = ((h & _LOW) | (((((h * _SPREAD) >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)) << np.uint64(40))).view(np.int64)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     valid = np.zeros(n, bool)
@@ -87,15 +91,15 @@ def _names(texts: list[bytes], buckets: int):
     return buffer, names, valid, owner[:n]
 
 
-def _chunked(batches):
-    """Rows of the batches as lists of about CHUNK bytes of text; the text is the last column."""
+def _chunked(batches, size: int = CHUNK):
+    """Rows of the batches as lists of about ``size`` bytes of text; the text is the last column."""
     rows, held = [], 0
     for batch in batches:
         for i in range(0, batch.num_rows, 256):
             for row in zip(*(c.to_pylist() for c in batch.slice(i, 256).columns)):
                 rows.append(row)
                 held += len(row[-1])
-                if held >= CHUNK:
+                if held >= size:
                     yield rows
                     rows, held = [], 0
     if rows:
@@ -148,6 +152,7 @@ def _enter(buckets: int):
             packed = np.empty(len(name), [("n", "u4"), ("m", "u1"), ("t", "u4" if len(distinct) > 65_000 else "u2")])
             packed["n"], packed["m"], packed["t"] = low & np.uint64(0xFFFFFFFF), low >> np.uint64(32), text
             wide = packed.dtype["t"].itemsize == 4
+            rows = []
             for b in filled:
                 part = packed[edges[b] : edges[b + 1]]
                 used, at = np.unique(part["t"], return_inverse=True)
@@ -155,21 +160,24 @@ def _enter(buckets: int):
                 part["t"] = at
                 known = np.append(distinct, -1)[used]
                 alone = used < len(distinct)
-                yield _row(int(b), part.tobytes(), known.tobytes(), alone.tobytes(), wide)
+                rows.append((int(b), part.tobytes(), known.tobytes(), alone.tobytes(), wide))
+            yield _batch(rows, _ENTERED)
             for i in range(0, len(pairs), 50_000):
-                yield _row(int(filled[i // 50_000 % len(filled)]), b"", pairs[i : i + 50_000].tobytes(), b"", wide)
+                yield _batch([(int(filled[i // 50_000 % len(filled)]), b"", pairs[i : i + 50_000].tobytes(), b"", wide)], _ENTERED)
 
     return enter
 
 
 _ENTERED = "bucket int, entries binary, classes binary, alone binary, wide boolean"
+_PACKED = "bucket int, packed binary"
+_KINDS = {"int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 
-def _row(bucket, entries, classes, alone, wide):
-    return pa.RecordBatch.from_arrays(
-        [pa.array([bucket], pa.int32()), pa.array([entries], pa.binary()), pa.array([classes], pa.binary()), pa.array([alone], pa.binary()), pa.array([wide])],
-        names=["bucket", "entries", "classes", "alone", "wide"],
-    )
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """All of a chunk's rows in one batch: one for each bucket would cost more than what is in it."""
+    names, kinds = zip(*(field.split() for field in schema.split(", ")))
+    columns = zip(*rows) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, k in zip(columns, kinds)], names=list(names))
 
 
 def _shared(table: pa.Table) -> pa.Table:
@@ -219,7 +227,7 @@ def _suffixes(buckets: int):
     """Rows (bucket, packed): the stretches of text that hang on shared names, packed by name bucket."""
 
     def suffixes(batches):
-        for rows in _chunked(batches):
+        for rows in _chunked(batches, PACKED_CHUNK):
             found_, start_, doc_, text_ = [], [], [], []
             for doc, names, text in rows:
                 own = np.array(names, np.int64)
@@ -235,13 +243,13 @@ def _suffixes(buckets: int):
             sizes = np.fromiter((len(text_[i]) for i in order), np.uint8, len(order))
             bucket = name >> 40
             edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            out = []
             for k in np.flatnonzero(np.diff(edges)):
                 s = slice(edges[k], edges[k + 1])
                 parts = [name[s].tobytes(), doc[s].tobytes(), start[s].tobytes(), sizes[s].tobytes(), b"".join(text_[i] for i in order[s])]
                 packed = len(name[s]).to_bytes(8, "little") + b"".join(parts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(k)], pa.int32()), pa.array([zstandard.compress(packed, 3)], pa.binary())], names=["bucket", "packed"]
-                )
+                out.append((int(k), zstandard.compress(packed, 3)))
+            yield _batch(out, _PACKED)
 
     return suffixes
 
@@ -339,7 +347,7 @@ def _words_of(marks: DataFrame) -> DataFrame:
 
 def _hanging(text_of: DataFrame, buckets: int) -> DataFrame:
     """Marks of the strings that hang on names which few texts share: all stretches of a name meet in its bucket."""
-    packed = text_of.select("doc_id", "names", "text").mapInArrow(tidy(_suffixes(buckets)), "bucket int, packed binary")
+    packed = text_of.select("doc_id", "names", "text").mapInArrow(tidy(_suffixes(buckets)), _PACKED)
     return _words_of(packed.groupBy("bucket").applyInArrow(_merged, "doc_id long, start long, mask long"))
 
 
@@ -369,6 +377,7 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         F.collect_list(F.when(F.col("wide").isNull(), F.col("name"))).alias("names"), F.collect_list(F.when(F.col("wide"), F.col("name"))).alias("widely")
     )
     asked = cut(of_class.join(owners.where(F.col("n") >= LENGTH).select("class", F.col("owner").alias("doc_id"), "digest"), "class").select("doc_id", "digest", "names", "widely"))
+    del pairs, flagged, of_class  # else the pairs stay in the shared folder while the texts are moved
     release(docs.sparkSession)
     # Three steps move the texts, one after another, so that workers, buffers and shuffle files of one are gone before the next.
     text_of = texts.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest"))

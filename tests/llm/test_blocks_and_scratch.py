@@ -4,6 +4,7 @@ import random
 import sys
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -11,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 import brute  # noqa: E402
 
-from domloom.llm import minhash, tokens  # noqa: E402
+from domloom.llm import minhash, repeats, tokens  # noqa: E402
 from domloom.llm.common import cut, settled  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -80,3 +81,13 @@ def test_scratch_goes_when_the_decision_is_kept(spark):
     assert kept.count() == 500 and cut(kept).count() == 500
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert minhash.keep_one(docs).count() == docs.count() - sum(d != c for d, (_, c) in brute.near_components([(r.doc_id, r.text) for r in docs.collect()], 80).items())
+
+
+@pytest.mark.parametrize("buckets", [64, 700])
+def test_samples_are_spread_evenly_over_the_buckets(buckets):
+    """Names are least hashes, so their own high bits gather in the first buckets (the largest had 16 times the mean)."""
+    rng = np.random.default_rng(1)
+    _, names, valid, _ = repeats._names([bytes(rng.integers(97, 123, 2000, dtype=np.uint8)) for _ in range(2000)], buckets)
+    sizes = np.bincount(np.unique(names[valid]) >> 40, minlength=buckets)
+    assert len(sizes) == buckets
+    assert sizes.max() < 1.5 * sizes.mean() and sizes.min() > 0.5 * sizes.mean()
