@@ -77,12 +77,13 @@ def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
     For decisions (ids, marks), which are small beside the texts that went into them.
     """
     context, base = spark.sparkContext, shared_folder(spark)
+    before = context.getCheckpointDir() or base  # another scratch folder, if this is part of a larger step
     folder = f"{base}/scratch-{uuid.uuid4().hex}"
     context.setCheckpointDir(folder)
     try:
         rows = build()
     finally:
-        context.setCheckpointDir(base)
+        context.setCheckpointDir(before)
     kept = cut(rows)
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -368,22 +368,23 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     owners = cut(first)
     buckets = max(1, -(-(rows.agg(F.sum("n_bytes")).first()[0] or 0) // BUCKET))
     entered = docs.where(F.octet_length(text_column) >= LENGTH).where(F.col(id_column).isNotNull()).select(F.xxhash64(text_column).alias("class"), F.col(text_column).alias("text"))
-    pairs = cut(entered.mapInArrow(tidy(_enter(buckets)), _ENTERED).groupBy("bucket").applyInArrow(_shared, "class long, name long"))
-    many = max(WIDE, int(pairs.count() * WIDE_SHARE))
-    wide = pairs.groupBy("name").count().where(F.col("count") > many).select("name", F.lit(True).alias("wide"))  # at most 1 / WIDE_SHARE rows
-    wide = cut(wide)
-    flagged = pairs.join(F.broadcast(wide), "name", "left")
-    of_class = flagged.groupBy("class").agg(  # as many as a text has samples
-        F.collect_list(F.when(F.col("wide").isNull(), F.col("name"))).alias("names"), F.collect_list(F.when(F.col("wide"), F.col("name"))).alias("widely")
-    )
-    asked = cut(of_class.join(owners.where(F.col("n") >= LENGTH).select("class", F.col("owner").alias("doc_id"), "digest"), "class").select("doc_id", "digest", "names", "widely"))
-    del pairs, flagged, of_class  # else the pairs stay in the shared folder while the texts are moved
-    release(docs.sparkSession)
+
+    def named():
+        pairs = cut(entered.mapInArrow(tidy(_enter(buckets)), _ENTERED).groupBy("bucket").applyInArrow(_shared, "class long, name long"))
+        many = max(WIDE, int(pairs.count() * WIDE_SHARE))
+        wide = pairs.groupBy("name").count().where(F.col("count") > many).select("name", F.lit(True).alias("wide"))  # at most 1 / WIDE_SHARE rows
+        flagged = pairs.join(F.broadcast(cut(wide)), "name", "left")
+        of_class = flagged.groupBy("class").agg(  # as many as a text has samples
+            F.collect_list(F.when(F.col("wide").isNull(), F.col("name"))).alias("names"), F.collect_list(F.when(F.col("wide"), F.col("name"))).alias("widely")
+        )
+        return of_class.join(owners.where(F.col("n") >= LENGTH).select("class", F.col("owner").alias("doc_id"), "digest"), "class").select("doc_id", "digest", "names", "widely")
+
+    asked = settled(docs.sparkSession, named)  # the pairs are deleted before the texts are moved
     # Three steps move the texts, one after another, so that workers, buffers and shuffle files of one are gone before the next.
     text_of = texts.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest"))
     found = cut(_hanging(text_of, buckets))
     release(docs.sparkSession)
-    if not wide.isEmpty():
+    if not asked.where(F.size("widely") > 0).isEmpty():
         found = _words_of(found.unionByName(cut(_widely_hanging(text_of, buckets))))
         release(docs.sparkSession)
     listed = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))  # one for 32 bytes of the text at most

@@ -83,6 +83,23 @@ def test_scratch_goes_when_the_decision_is_kept(spark):
     assert minhash.keep_one(docs).count() == docs.count() - sum(d != c for d, (_, c) in brute.near_components([(r.doc_id, r.text) for r in docs.collect()], 80).items())
 
 
+def kept_rows(spark):
+    """Folders of rows kept by ``cut`` and still there."""
+    return set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob("**/rdd-*"))
+
+
+def test_a_decision_within_a_decision_goes_with_its_scratch(spark):
+    before = kept_rows(spark)
+    kept = settled(spark, lambda: settled(spark, lambda: cut(spark.range(100))).where("id < 10"))
+    assert kept.count() == 10 and len(kept_rows(spark) - before) == 1
+
+
+def test_names_are_gone_when_the_texts_are_moved(spark):
+    docs, before = spark.read.parquet(f"{SF}/documents.parquet"), kept_rows(spark)
+    repeats.covered(docs)
+    assert len(kept_rows(spark) - before) == 4  # rows, owners, asked names, marks
+
+
 @pytest.mark.parametrize("buckets", [64, 700])
 def test_samples_are_spread_evenly_over_the_buckets(buckets):
     """Names are least hashes, so their own high bits gather in the first buckets (the largest had 16 times the mean)."""
