@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from domloom.operators.segments import index_steps
+from domloom.operators.segments import index_steps, tasks_for
 from domloom.schema import INDEX_COLUMNS, NODE_COLUMNS
 
 # Nodes that make their parent non-empty: elements, and text with at least one character.
@@ -61,7 +61,7 @@ def has_index(nodes: DataFrame) -> bool:
     return set(INDEX_COLUMNS) <= set(nodes.columns)
 
 
-def with_index(nodes: DataFrame, partitioned: bool = False, segment: int | None = None) -> DataFrame:
+def with_index(nodes: DataFrame, partitioned: bool = False, segment: int | None = None, tasks: int | None = None) -> DataFrame:
     """Add the index columns, all computed inside one ``page_id`` partitioning.
 
     ``id``, ``class``: plain columns, so that filters on them reach the Parquet scan;
@@ -73,13 +73,14 @@ def with_index(nodes: DataFrame, partitioned: bool = False, segment: int | None
 
     The page-wide step comes first, because its exchange serves the finer ones.  With
     ``partitioned`` (rows already partitioned by page) it comes last and leaves each page in document
-    order, so that storing the rows needs no further sort.
+    order, so that storing the rows needs no further sort.  ``segment``: by segmented scans (see operators.segments), in
+    ``tasks`` tasks each, by default ``tasks_for(nodes)``.
     """
     if has_index(nodes):
         return nodes
     rows = nodes.select(*NODE_COLUMNS)
     if segment is not None:
-        rows = index_steps(rows, segment, _CONTENT)
+        rows = index_steps(rows, segment, tasks or tasks_for(rows), _CONTENT)
     else:
         for step in _STEPS if partitioned else _STEPS[::-1]:
             rows = rows.selectExpr("*", *step)

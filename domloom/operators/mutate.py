@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from domloom.operators.contain import contained_pairs
 from domloom.operators.index import without_index
-from domloom.operators.segments import scan
+from domloom.operators.segments import scan, tasks_for
 from domloom.operators.targets import flagged
 from domloom.plans.match import match
 from domloom.plans.selector import compile_selector
@@ -34,14 +34,17 @@ def decompose(nodes: DataFrame, targets, scope: str = "body", include_root: bool
     is a segmented scan, and no page has to fit a task (see operators.segments).
     """
     plain = scope == "body" and not include_root and not isinstance(targets, DataFrame)
-    if segment is not None and not isinstance(targets, DataFrame):
-        joined = ", ".join(targets) if isinstance(targets, (list, tuple)) else targets
-        targets = match(nodes, compile_selector(joined) if isinstance(joined, str) else joined, scope, include_root, segment)
+    if segment is not None:
+        tasks = tasks_for(nodes)
+        if not isinstance(targets, DataFrame):
+            joined = ", ".join(targets) if isinstance(targets, (list, tuple)) else targets
+            targets = match(nodes, compile_selector(joined) if isinstance(joined, str) else joined, scope, include_root, segment)
+        nodes, targets = (rows.repartition(tasks, "page_id", "pre") for rows in (nodes, targets))
     rows = flagged(nodes, targets, scope, include_root)
     rows = rows.withColumn("_hit", _guard(F.col("_hit") & (F.col("kind") == DOCUMENT), "RootNode", F.col("_hit")))
     page = {"page": "coalesce(page_id, -1L)"}
     if segment is not None:
-        rows = scan(rows, page, segment, _reach=("max_upto", "if(_hit, last, null)"))
+        rows = scan(rows, page, segment, tasks, _reach=("max_upto", "if(_hit, last, null)"))
     else:
         upto = "partition by page_id order by pre rows between unbounded preceding and current row"
         rows = rows.selectExpr("*", f"max(if(_hit, last, null)) over ({upto}) as _reach")
@@ -51,7 +54,7 @@ def decompose(nodes: DataFrame, targets, scope: str = "body", include_root: bool
     # The body itself may be gone; the root element is then what searches start from.
     has_body = f"max({_IS_BODY}) over (partition by page_id)"
     if segment is not None:
-        rows, has_body = scan(rows, page, segment, _bodies=("count_all", f"if({_IS_BODY}, 1, null)")), "_bodies > 0"
+        rows, has_body = scan(rows, page, segment, tasks, _bodies=("count_all", f"if({_IS_BODY}, 1, null)")), "_bodies > 0"
     return without_index(rows.withColumn("in_body", F.expr(f"if({has_body}, in_body, depth >= 2)")))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from domloom.operators.index import with_index
-from domloom.operators.segments import match_split
+from domloom.operators.segments import match_split, tasks_for
 from domloom.plans.flags import Flags
 from domloom.plans.selector import Selector, any_of
 
@@ -98,7 +98,8 @@ def _decide(rows: DataFrame, step: int, parts) -> DataFrame:
 def match(nodes: DataFrame, selector: Selector, scope: str = "body", include_root: bool = False, segment: int | None = None) -> DataFrame:
     """Node rows matching ``selector``, each once; with ``segment`` no page has to fit a task."""
     if segment is not None:
-        return match_split(with_index(nodes, segment=segment), selector, scope_filter(scope, include_root), segment)
+        tasks = tasks_for(nodes)
+        return match_split(with_index(nodes, segment=segment, tasks=tasks), selector, scope_filter(scope, include_root), segment, tasks)
     if selector.is_flat:
         return with_index(nodes).filter(selector.column()).filter(scope_filter(scope, include_root))
     rows = match_parts(nodes, {0: selector.parts}, scope, include_root).drop("rule")

@@ -1,5 +1,7 @@
 """Segmented scans: the same rows as the plain windows, and a huge page over many tasks."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from domloom import select, with_index
 from domloom.errors import UnsupportedSelector
 from domloom.operators import mutate
 from domloom.operators.index import without_index
+from domloom.operators.segments import tasks_for
 from domloom.schema import INDEX_COLUMNS, NODE_COLUMNS
 from domloom.suite.corpora import doc_nodes, page_nodes
 
@@ -69,3 +72,36 @@ def test_a_huge_page_is_spread(spark):
         assert indexed.agg(F.max("el_idx"), F.min("el_rev"), F.sum("ty_idx"), F.count("prev_el")).first()[:] == (n, 1, n * (n + 1) // 2, n - 1)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_tasks_follow_the_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    nodes = without_index(page_nodes(spark, SF))
+    once = tasks_for(nodes, 10_000)
+    many = nodes.unionByName(nodes.withColumn("page_id", F.expr("page_id + 1000000")))
+    assert once > 2 * cores and abs(tasks_for(many, 10_000) - 2 * once) <= 1
+    assert tasks_for(nodes) == tasks_for(nodes.limit(0)) == cores
+    long = nodes.limit(1).withColumn("data", F.lit("x" * 50_000)).withColumn("attrs", F.expr("array(named_struct('name', 'a', 'value', repeat('y', 50000)), named_struct('name', 'b', 'value', cast(null as string)))"))
+    assert tasks_for(long, 100) >= 1000
+
+
+SEGMENTED = {
+    "index": lambda n: with_index(n, segment=5),
+    "next": lambda n: select(n, "h1 + p", segment=5),
+    "later": lambda n: select(n, "p ~ p", segment=5),
+    "list": lambda n: select(n, "article p b, nav > a, h1", segment=5),
+    "edit": lambda n: mutate.decompose(n, n.filter("tag = 'p'"), segment=5),
+}
+
+
+@pytest.mark.parametrize("name", SEGMENTED)
+def test_no_shuffle_of_a_scan_has_the_sessions_number(spark, monkeypatch, name):
+    """All of a scan's shuffles have as many partitions as the rows need, not ``spark.sql.shuffle.partitions``."""
+    nodes = without_index(page_nodes(spark, SF))
+    monkeypatch.setattr(tasks_for, "__defaults__", (20_000,))
+    tasks, session = tasks_for(nodes), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert tasks > max(session, spark.sparkContext.defaultParallelism)
+    made = SEGMENTED[name](nodes)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    numbers = {int(n) for n in re.findall(r"hashpartitioning\([^\n]*?, (\d+)\), [A-Z]", plan)}
+    assert numbers == {tasks}
