@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -65,18 +66,36 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more, before the next step makes its own."""
+def release(spark: SparkSession, took: float) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more, before the next step makes its own.
+
+    py4j tells Spark what Python has dropped from a thread that looks once a second.  That is waited for after steps that
+    ``took`` many seconds; of shorter ones the files go with those of the next.
+    """
     gc.collect()
+    time.sleep(min(1.1, took / 10))
     spark.sparkContext._jvm.System.gc()
 
 
+def step(df: DataFrame) -> DataFrame:
+    """``cut`` for a job of many steps: the shuffle files that ``df`` needed are deleted before later steps make theirs.
+
+    Each of them is a file or more for every task, however few rows there are; Spark itself deletes them only when the
+    driver happens to collect its garbage.  So ``df`` should be an expression that nothing else keeps.
+    """
+    spark, began = df.sparkSession, time.monotonic()
+    kept = cut(df)
+    del df
+    release(spark, time.monotonic() - began)
+    return kept
+
+
 def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
     """The rows that ``build`` gives, kept in the shared folder; all that ``build`` itself kept there is deleted.
 
     For decisions (ids, marks), which are small beside the texts that went into them.
     """
-    context, base = spark.sparkContext, shared_folder(spark)
+    context, base, began = spark.sparkContext, shared_folder(spark), time.monotonic()
     before = context.getCheckpointDir() or base  # another scratch folder, if this is part of a larger step
     folder = f"{base}/scratch-{uuid.uuid4().hex}"
     context.setCheckpointDir(folder)
@@ -88,7 +107,7 @@ def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
     del rows
-    release(spark)
+    release(spark, time.monotonic() - began)
     return kept
 
 

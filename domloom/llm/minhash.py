@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.llm.common import cut, settled, tidy
+from domloom.llm.common import settled, step, tidy
 
 WORDS = 5
 DEPTH, SHALLOW = 3, 2
@@ -138,30 +138,30 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): the least node reachable.  Star contraction.
 
     Large stars tie a node's greater neighbours to its least one, small stars the lesser ones; both are grouped minima
-    and joins, so a hub of any degree is pre-aggregated and split.  Each round is cut, and the loop ends when a round
-    changes nothing.
+    and joins, so a hub of any degree is pre-aggregated and split.  Each round is cut, its shuffle files are deleted, and
+    the loop ends when only stars are left: a further round would change nothing.
     """
-    current = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-
-    def state(df):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
-    before = state(current)
-    while before[0]:
-        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.col("a"), F.col("b"))).alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        current = cut(small)
-        after = state(current)
-        if after == before:
-            break
-        before = after
+    current = step(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    while not _only_stars(current):
+        current = step(_contracted(current))
     own = current.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(own).groupBy("node").agg(F.min("component").alias("component"))
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    return large.join(least, "a").select(F.explode(F.array(F.col("a"), F.col("b"))).alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node of the distinct edges (a, b), b < a, has one lesser neighbour or is one, but not both."""
+    ends = edges.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))))
+    return ends.groupBy("node").agg(F.sum("up").alias("n"), F.min("up").alias("least")).where("n > least").count() == 0
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike enough."""
 
@@ -284,9 +284,9 @@ def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id
     """
     n_trees = trees(percent)
     values, alike = n_trees * DEPTH, percent / 100
-    base = cut(_sets(docs, id_column, text_column, values))
+    base = step(_sets(docs, id_column, text_column, values))
     least = int(values * alike - 5 * (values * alike * (1 - alike)) ** 0.5)
-    reps = cut(
+    reps = step(
         base.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     )
 
@@ -297,7 +297,7 @@ def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id
         "rep", "tree", F.expr(f"substring(sig, 1 + tree * {4 * DEPTH}, {4 * DEPTH})").alias("order")
     ).select("rep", *[prefix(d) for d in range(SHALLOW, DEPTH + 1)])
     shared = orders.groupBy(f"p{SHALLOW}").agg(F.count("*").alias("members")).where("members > 1").drop("members")
-    members = cut(orders.join(shared, f"p{SHALLOW}"))
+    members = step(orders.join(shared, f"p{SHALLOW}"))
     tied = [
         members.join(members.groupBy(f"p{d}").agg(F.min("rep").alias("b")), f"p{d}").where("rep <> b").select(F.col("rep").alias("a"), "b")
         for d in (SHALLOW, DEPTH)
@@ -307,15 +307,15 @@ def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id
         rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
         return rows.join(ids, "doc_id").dropDuplicates(["doc_id"])
 
-    stars = cut(reduce(DataFrame.unionByName, tied).distinct())
-    links = cut(_confirmed(stars, texts_of(stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), percent))
+    stars = step(reduce(DataFrame.unionByName, tied).distinct())
+    links = step(_confirmed(stars, texts_of(stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), percent))
     first = components(links)
     of_rep = reps.join(members.select("rep").distinct(), "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left")
-    named = cut(of_rep.select("rep", F.coalesce("component", "rep").alias("component"), "n", F.col("sig").alias("load")))
+    named = step(of_rep.select("rep", F.coalesce("component", "rep").alias("component"), "n", F.col("sig").alias("load")))
     rest, more = members.join(named.select("rep", "component"), "rep").withColumn("weight", F.lit(1).cast("long")), []
     for depth in range(SHALLOW, DEPTH + 1):
         key = f"p{depth}"
-        regions = cut(_regions(rest, key))
+        regions = step(_regions(rest, key))
         small = regions if depth == DEPTH else regions.where(F.col("outside_n") <= region)
         dealt = _dealt(rest, named.select("rep", "load"), small, key, SIGNATURES)
         more.append(dealt.groupBy("key", "i", "j").applyInArrow(_alike(least), "a long, b long"))
@@ -324,9 +324,9 @@ def near_components(docs: DataFrame, percent: int = 80, id_column: str = "doc_id
             if large.isEmpty():
                 break
             rest = rest.join(large.select(key), key, "left_semi")
-    family = cut(components(reduce(DataFrame.unionByName, more)).select(F.col("node").alias("rep"), F.col("component").alias("family")))
+    family = step(components(reduce(DataFrame.unionByName, more)).select(F.col("node").alias("rep"), F.col("component").alias("family")))
     told = family.join(named.select("rep", "component", F.col("n").alias("weight")), "rep")
-    open_ = cut(_regions(told, "family"))
+    open_ = step(_regions(told, "family"))
     texts = texts_of(told.join(open_, "family", "left_semi").select(F.col("rep").alias("doc_id")))
     dealt = _dealt(told, texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("load")), open_, "family", SHINGLES)
     found = dealt.groupBy("key", "i", "j").applyInArrow(_linked(percent), "a long, b long")

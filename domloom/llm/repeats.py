@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from domloom.llm.common import cut, give_back, release, settled, text_bytes, tidy
+from domloom.llm.common import cut, give_back, settled, step, text_bytes, tidy
 
 LENGTH, GRAM = 50, 20
 WINDOW = LENGTH - GRAM + 1
@@ -382,11 +382,9 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     asked = settled(docs.sparkSession, named)  # the pairs are deleted before the texts are moved
     # Three steps move the texts, one after another, so that workers, buffers and shuffle files of one are gone before the next.
     text_of = texts.join(asked, "doc_id").where(F.sha2(F.encode("text", "UTF-8"), 256) == F.col("digest"))
-    found = cut(_hanging(text_of, buckets))
-    release(docs.sparkSession)
+    found = step(_hanging(text_of, buckets))
     if not asked.where(F.size("widely") > 0).isEmpty():
-        found = _words_of(found.unionByName(cut(_widely_hanging(text_of, buckets))))
-        release(docs.sparkSession)
+        found = _words_of(found.unionByName(step(_widely_hanging(text_of, buckets))))
     listed = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "mask")).alias("marks"))  # one for 32 bytes of the text at most
     marks = listed.join(asked.select("doc_id", "digest"), "doc_id")
     copies = rows.join(owners.select("digest", "owner"), "digest", "left").select("doc_id", "digest", "n_bytes", (F.coalesce(F.col("owner") < F.col("doc_id"), F.lit(False)) & (F.col("n_bytes") >= LENGTH)).alias("copy"))

@@ -2,6 +2,7 @@
 
 import random
 import sys
+import time
 from pathlib import Path
 
 import numpy as np
@@ -100,6 +101,39 @@ def test_names_are_gone_when_the_texts_are_moved(spark):
     assert len(kept_rows(spark) - before) == 4  # rows, owners, asked names, marks
 
 
+def shuffles(spark):
+    """Numbers of the shuffles that have files on disk."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {int(f.name.split("_")[1]) for folder in folders for f in Path(folder).glob("*/shuffle_*")}
+
+
+def test_shuffle_files_go_with_their_round(spark):
+    """A chain takes many rounds; the files of all of them stayed until the driver happened to collect its garbage."""
+    before = shuffles(spark)
+    chain = spark.range(1, 3000).selectExpr("(id * 7) % 3000 as a", "((id - 1) * 7) % 3000 as b")
+    found = minhash.components(chain)
+    made, until = max(shuffles(spark)) - max(before, default=-1), time.time() + 10
+    while len(shuffles(spark) - before) > made / 2 and time.time() < until:  # Spark deletes in the background
+        time.sleep(0.1)
+    assert made > 30 and len(shuffles(spark) - before) <= made / 2
+    assert found.count() == 3000 and found.where("component <> 0").isEmpty()
+
+
+def test_contraction_ends_at_stars(spark, monkeypatch):
+    """Edges that are stars already take no round; two stars with a common node take some."""
+    rounds, contracted = [], minhash._contracted
+    monkeypatch.setattr(minhash, "_contracted", lambda edges: rounds.append(1) or contracted(edges))
+
+    def found(edges):
+        rounds.clear()
+        return dict(map(tuple, minhash.components(spark.createDataFrame(edges, "a long, b long")).collect())), len(rounds)
+
+    assert found([(1, 5), (6, 1), (1, 1), (8, 7), (8, 7), (7, 8)]) == ({1: 1, 5: 1, 6: 1, 7: 7, 8: 7}, 0)
+    assert found([(3, 1), (3, 2)]) == ({1: 1, 2: 1, 3: 1}, 1)
+    assert found([(3, 2), (2, 1)]) == ({1: 1, 2: 1, 3: 1}, 1)
+    assert found([]) == ({}, 0)
+
+
 @pytest.mark.parametrize("buckets", [64, 700])
 def test_samples_are_spread_evenly_over_the_buckets(buckets):
     """Names are least hashes, so their own high bits gather in the first buckets (the largest had 16 times the mean)."""
